@@ -42,7 +42,7 @@ def as_timestamp(value: dt.datetime | str | Column) -> Column:
 
 def age_days(c: Column | str, as_of: dt.datetime | str | Column) -> Column:
     """Whole days between the value and ``as_of``, rounded down (negative for the future)."""
-    micros = F.unix_micros(as_timestamp(as_of)) - F.unix_micros(col(c))
+    micros = F.unix_micros(as_timestamp(as_of)) - F.unix_micros(col(c).cast("timestamp"))
     return ((micros - F.pmod(micros, F.lit(_DAY_MICROS))) / _DAY_MICROS).cast("bigint")
 
 
