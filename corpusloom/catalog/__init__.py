@@ -1,6 +1,6 @@
 """Every operator as a query over the given tables."""
 
-from corpusloom.catalog import groups, rows, scans  # noqa: F401
+from corpusloom.catalog import groups, rows, scans, whole_jobs  # noqa: F401
 from corpusloom.catalog.registry import ORACLES, QUERIES
 
 
