@@ -19,7 +19,7 @@ from corpusloom.operators.sets import distinct_sentences, union_sources
 from corpusloom.operators.split import sampled_split, stratified_split
 from corpusloom.plans import jobs
 from corpusloom.schemas import BINARY_LABELS
-from corpusloom.sources.documents import parse_reviews, to_comment_rows, to_post_rows
+from corpusloom.sources.documents import page_title, parse_reviews, to_comment_rows, to_post_rows
 
 BY = ["model", "domain"]
 
@@ -267,8 +267,7 @@ def _(spark, sf):
 
 @query("F2_dedupe_url_title", "WITH " + I.NEWS + " SELECT page_id, url, title_key AS title FROM pass2")
 def _(spark, sf):
-    title = F.nullif(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1), F.lit(""))
-    pages = I.news_pages(spark, sf).withColumn("title", normalize_title(F.replace(title, F.lit("&amp;"), F.lit("&"))))
+    pages = I.news_pages(spark, sf).withColumn("title", normalize_title(page_title("html")))
     return D.dedupe_url_title(pages.select("page_id", "source", "url", "title"), "page_id").select("page_id", "url", "title")
 
 

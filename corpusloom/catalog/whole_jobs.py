@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.catalog import inputs as I
-from corpusloom.catalog.groups import _OVERALL, COMPARED
+from corpusloom.catalog.groups import COMPARED
 from corpusloom.catalog.registry import query
-from corpusloom.catalog.rows import _ALIGNED, BIN, CHUNKS, HEAD_TAIL, SMART, _todo
+from corpusloom.catalog.rows import _ALIGNED, BIN, CHUNKS, SMART, _todo
 from corpusloom.catalog.scans import LENGTH_STATS, SPLIT_60_20_20, rounded, split_rows
 from corpusloom.functions.scores import argmax_label, softmax
 from corpusloom.functions.tokens import tokenizer_udf
@@ -17,6 +17,7 @@ from corpusloom.operators.filters import encode_label
 from corpusloom.operators.sets import union_sources
 from corpusloom.plans import jobs
 from corpusloom.schemas import BINARY_LABELS
+from corpusloom.sources.documents import page_title
 from corpusloom.session import materialize, scratch_path
 from corpusloom.streaming import intake
 
@@ -373,8 +374,8 @@ def _(spark, sf):
 def _(spark, sf):
     rows = materialize(I.annotations(spark, sf), "annotations")
     domains = {
-        "reddit": jobs.prepare_domain(rows.where("lang = 'en'"), "reddit"),
-        "news": jobs.prepare_domain(rows.where("lang <> 'en'"), "news"),
+        "reddit": jobs.prepare_domain(rows.where("doc_id % 2 = 0"), "reddit"),
+        "news": jobs.prepare_domain(rows.where("doc_id % 2 = 1"), "news"),
     }
     domains = {name: materialize(df, name) for name, df in domains.items()}
     _, scores = jobs.train_domains(domains, "unigram", **_FAST)
@@ -390,10 +391,9 @@ def _(spark, sf):
 )
 def _(spark, sf):
     landed = scratch_path(spark, "articles")
-    title = F.replace(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1), F.lit("&amp;"), F.lit("&"))
     day = F.lit(I.AS_OF).cast("timestamp") - F.make_interval(days=(F.col("page_id") % 30).cast("int"))
     dated = F.when(F.col("page_id") % 9 != 2, day)
-    pages = I.news_pages(spark, sf).select("page_id", "source", "url", title.alias("title"), dated.alias("publish_ts"))
+    pages = I.news_pages(spark, sf).select("page_id", "source", "url", page_title("html").alias("title"), dated.alias("publish_ts"))
     pages.write.parquet(landed)
     stream = spark.readStream.schema(pages.schema).parquet(landed)
     out = scratch_path(spark, "articles-out")

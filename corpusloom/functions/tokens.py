@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 WHITESPACE_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 WHITESPACE_CLASS = r"[\s\x1c-\x1f]"
-TOKEN_PATTERN = r"(?U)[^\s\x1c-\x1f]+"
+TOKEN_PATTERN = r"(?U)[^\s\x1c-\x1f]++"  # possessive: a token never needs to give back
 
 
 def col(c: Column | str) -> Column:

@@ -5,12 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import CONTENT_LIMIT, LENGTH_BINS, length_bin
 from corpusloom.functions.tokens import char_count, token_count, word_count
-from corpusloom.operators.joins import with_totals
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -118,26 +116,36 @@ def truncation_summary(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+MAX_CLASSES = 10_000
+
+
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """``(label, n, share, weight, weight_ratio)`` with balanced weights ``total / (classes * n)``.
 
     ``share`` is in percent; ``weight_ratio`` is relative to the first label in order.
     """
-    weighted = with_totals(df, label).withColumn("weight", F.col("total") / (F.col("n_classes") * F.col("n")))
-    first = F.min_by("weight", label).over(W.partitionBy(F.lit(0)))
-    return weighted.select(
+    counts = df.groupBy(label).agg(F.count("*").alias("n"))
+    totals = counts.agg(
+        F.struct(
+            F.sum("n").alias("total"), F.count("*").alias("n_classes"), F.min_by("n", label).alias("first_n")
+        )
+    )
+    n, total = F.col("n"), F.col("_t.total")
+    return counts.withColumn("_t", totals.scalar()).select(
         label,
         "n",
-        (F.col("n") / F.col("total") * 100).alias("share"),
-        "weight",
-        (F.col("weight") / first).alias("weight_ratio"),
+        (n / total * 100).alias("share"),
+        F.when(F.col("_t.n_classes") > MAX_CLASSES, F.raise_error(F.lit("class weights: too many classes")))
+        .otherwise(total / (F.col("_t.n_classes") * n))
+        .alias("weight"),
+        (F.col("_t.first_n") / n).alias("weight_ratio"),
     )
 
 
 def attach_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
-    """Put each row's class weight on it."""
+    """Put each row's class weight on it. The broadcast side is one row per class, at most ``MAX_CLASSES``."""
     weights = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(F.broadcast(weights), label)  # one row per class
+    return df.join(F.broadcast(weights), label)
 
 
 def require_classes(df: DataFrame, label: str = "label", at_least: int = 2) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 DIMENSION_ROWS = 100_000
@@ -53,18 +52,10 @@ def join_predictions(df: DataFrame, predictions: DataFrame, key: str = "doc_id")
 
 
 def with_totals(df: DataFrame, label: str) -> DataFrame:
-    """``(label, n, total, n_classes)``: the totals ride on every class row.
-
-    The window sees the per-class counts only, one row per class.
-    """
+    """``(label, n, total, n_classes)``: the totals ride on every class row, as a scalar subquery."""
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
-    everything = W.partitionBy(F.lit(0))
-    return counts.withColumns(
-        {
-            "total": F.sum("n").over(everything),
-            "n_classes": F.count("*").over(everything),
-        }
-    )
+    totals = counts.agg(F.struct(F.sum("n").alias("total"), F.count("*").alias("n_classes")))
+    return counts.withColumn("_t", totals.scalar()).select(label, "n", "_t.total", "_t.n_classes")
 
 
 def split_leakage(df: DataFrame, text: str = "text", split: str = "split") -> DataFrame:

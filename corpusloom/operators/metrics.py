@@ -1,4 +1,7 @@
-"""Classification metrics. Everything derives from one aggregation into (true, predicted) counts."""
+"""Classification metrics. Everything derives from one aggregation into (true, predicted) counts.
+
+Every function takes rows, or counts of rows: ``n`` names the column that says how many rows one stands for.
+"""
 
 from __future__ import annotations
 
@@ -9,47 +12,66 @@ from pyspark.sql import functions as F
 
 from corpusloom.schemas import BINARY_LABELS, ORIGINAL_LABELS
 
-_ZERO = F.lit
-
-
 def _ratio(a: Column, b: Column) -> Column:
     """Quotient with 0 for a zero denominator."""
     return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
 
-def outcome_counts(df: DataFrame, true: str, pred: str, by: Sequence[str] = ()) -> DataFrame:
+def _rows(n: str | None) -> Column:
+    return F.count("*") if n is None else F.sum(n)
+
+
+def _rows_where(condition: Column, n: str | None) -> Column:
+    one = F.lit(1) if n is None else F.col(n)
+    return F.sum(F.when(condition, one).otherwise(F.lit(0)).cast("bigint"))
+
+
+def outcome_counts(df: DataFrame, true: str, pred: str, by: Sequence[str] = (), n: str | None = None) -> DataFrame:
     """``(by..., true_label, pred_label, n)``: the only pass over the rows."""
-    return df.groupBy(*by, F.col(true).alias("true_label"), F.col(pred).alias("pred_label")).agg(
+    return df.groupBy(*by, F.col(true).alias("true_label"), F.col(pred).alias("pred_label")).agg(_rows(n).alias("n"))
+
+
+def prediction_cells(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Row counts by binary, original and predicted label and ``correct``: all a full evaluation needs."""
+    return df.groupBy(*by, "binary_label", "original_label", "predicted_binary", "correct").agg(
         F.count("*").alias("n")
     )
 
 
 def confusion(
-    df: DataFrame, true: str, pred: str, labels: Sequence[str] = BINARY_LABELS, by: Sequence[str] = ()
+    df: DataFrame,
+    true: str,
+    pred: str,
+    labels: Sequence[str] = BINARY_LABELS,
+    by: Sequence[str] = (),
+    n: str | None = None,
 ) -> DataFrame:
     """One row per true label in the given order, one column ``pred_<label>`` each; absent cells are 0."""
-    counts = outcome_counts(df, true, pred, by)
+    counts = outcome_counts(df, true, pred, by, n)
     zero = F.lit(0).cast("bigint")
-    cell = lambda t, p, n: F.struct(t.alias("t"), p.alias("p"), n.alias("n"))
+    cell = lambda t, p, rows: F.struct(t.alias("t"), p.alias("p"), rows.alias("rows"))
     cells = [cell(F.col("true_label"), F.col("pred_label"), F.col("n"))]
     cells += [cell(F.lit(x), F.lit(x), zero) for x in labels]  # so that absent labels get their row
     flat = counts.select(*by, F.explode(F.array(*cells)).alias("c")).select(*by, "c.*")
-    rank = (F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("t")) - 1).cast("int")
-    sums = [
-        F.sum(F.when(F.col("p") == x, F.col("n")).otherwise(zero)).alias(f"pred_{x}") for x in labels
-    ]
+    rank = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("true_label")) - 1
+    sums = [F.sum(F.when(F.col("p") == x, F.col("rows")).otherwise(zero)).alias(f"pred_{x}") for x in labels]
     grouped = flat.where(F.col("t").isin(list(labels))).groupBy(*by, F.col("t").alias("true_label")).agg(*sums)
-    return grouped.withColumn("label_rank", F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("true_label")).cast("int") - 1)
+    return grouped.withColumn("label_rank", rank.cast("int"))
 
 
 def per_class(
-    df: DataFrame, true: str, pred: str, by: Sequence[str] = (), labels: Sequence[str] | None = None
+    df: DataFrame,
+    true: str,
+    pred: str,
+    by: Sequence[str] = (),
+    labels: Sequence[str] | None = None,
+    n: str | None = None,
 ) -> DataFrame:
     """Precision, recall, F1, support, correct and class accuracy per class.
 
     Without ``labels``: every class in truth or prediction. With them: exactly these, absent ones as 0.
     """
-    return _class_scores(outcome_counts(df, true, pred, by), by, labels)
+    return _class_scores(outcome_counts(df, true, pred, by, n), by, labels)
 
 
 def _class_scores(counts: DataFrame, by: Sequence[str], labels: Sequence[str] | None = None) -> DataFrame:
@@ -79,12 +101,12 @@ def _class_scores(counts: DataFrame, by: Sequence[str], labels: Sequence[str] |
     )
 
 
-def overall(df: DataFrame, true: str, pred: str, by: Sequence[str] = ()) -> DataFrame:
+def overall(df: DataFrame, true: str, pred: str, by: Sequence[str] = (), n: str | None = None) -> DataFrame:
     """Accuracy, macro and weighted averages, total and correct, one row per group.
 
     Macro averages run over the classes present in truth or prediction.
     """
-    return _overall(_class_scores(outcome_counts(df, true, pred, by), by), by)
+    return _overall(_class_scores(outcome_counts(df, true, pred, by, n), by), by)
 
 
 def _overall(scores: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -103,9 +125,9 @@ def _overall(scores: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def report(df: DataFrame, true: str, pred: str, by: Sequence[str] = ()) -> DataFrame:
+def report(df: DataFrame, true: str, pred: str, by: Sequence[str] = (), n: str | None = None) -> DataFrame:
     """Class rows, then ``accuracy`` (the scalar in every column), ``macro avg`` and ``weighted avg``."""
-    scores = per_class(df, true, pred, by)
+    scores = per_class(df, true, pred, by, n=n)
     total = _overall(scores, by)
     line = lambda rank, name, *values: F.struct(
         F.lit(rank).alias("section"),
@@ -131,24 +153,30 @@ def report(df: DataFrame, true: str, pred: str, by: Sequence[str] = ()) -> DataF
     return classes.unionByName(summary)
 
 
-def binary_metrics(df: DataFrame, true: str, pred: str, positive: str = "figurative", by: Sequence[str] = ()) -> DataFrame:
+def binary_metrics(
+    df: DataFrame, true: str, pred: str, positive: str = "figurative", by: Sequence[str] = (), n: str | None = None
+) -> DataFrame:
     """Precision, recall and F1 of the positive class, and the macro F1."""
     pick = lambda c: F.coalesce(F.max(F.when(F.col("class") == positive, F.col(c))), F.lit(0.0)).alias(c)
-    scores = per_class(df, true, pred, by)
+    scores = per_class(df, true, pred, by, n=n)
     return scores.groupBy(*by).agg(
         F.avg("f1").alias("macro_f1"), pick("precision"), pick("recall"), pick("f1")
     )
 
 
 def breakdown(
-    df: DataFrame, by: Sequence[str] = (), original: str = "original_label", correct: str = "correct"
+    df: DataFrame,
+    by: Sequence[str] = (),
+    original: str = "original_label",
+    correct: str = "correct",
+    n: str | None = None,
 ) -> DataFrame:
     """Total, correct and accuracy per original label, and a ``Total`` row over all rows.
 
     Labels outside the four classes get no row of their own but count in the total.
     """
     counts = df.groupBy(*by, F.col(original).alias("original_label")).agg(
-        F.count("*").alias("total"), F.count_if(correct).alias("correct")
+        _rows(n).alias("total"), _rows_where(F.col(correct), n).alias("correct")
     )
     sets = [[*by, "original_label"], [*by]]
     names = F.array(*[F.lit(x) for x in ORIGINAL_LABELS])
@@ -177,10 +205,11 @@ def error_rates(
     binary: str = "binary_label",
     original: str = "original_label",
     correct: str = "correct",
+    n: str | None = None,
 ) -> DataFrame:
     """Errors, rows and error rate (%) overall, per binary label and per original label."""
     counts = df.groupBy(*by, F.col(binary).alias("binary_label"), F.col(original).alias("original_label")).agg(
-        F.count("*").alias("total"), F.count_if(~F.col(correct)).alias("errors")
+        _rows(n).alias("total"), _rows_where(~F.col(correct), n).alias("errors")
     )
     sets = [[*by], [*by, "binary_label"], [*by, "original_label"]]
     grouped = counts.groupingSets(sets, *by, "binary_label", "original_label").agg(

@@ -114,13 +114,12 @@ def assign_splits(
             ]
         )
     )
-    # Left join on the quotas' labels: a class whose first parts are empty has no boundary row.
-    bounds = quotas.select(label).join(cuts, label, "left")
     own = F.struct(order_hash(key, seed).alias("_hash"), F.col(key).alias("_key"))
     chosen = F.lit(names[-1])
     for i in reversed(range(len(fractions))):
         chosen = F.when(own <= F.col(f"_cut_{i}"), names[i]).otherwise(chosen)
-    return df.join(F.broadcast(bounds), label).withColumn(out, chosen).select(*df.columns, out)
+    # Left join: a class all of whose earlier parts are empty has no boundary and belongs to the last part.
+    return df.join(F.broadcast(cuts), label, "left").withColumn(out, chosen).select(*df.columns, out)
 
 
 def stratified_split(

@@ -210,13 +210,15 @@ def evaluate(
 ) -> dict[str, DataFrame]:
     """All frames of a single-domain evaluation, by the names of their files."""
     scored = attach_predictions(df, logits, true, labels).withColumnRenamed("predicted_binary", "pred_label")
-    classes = M.per_class(scored, true, "pred_label")
+    cells = scored.groupBy(F.col(true).alias("true_label"), "pred_label").agg(F.count("*").alias("n"))
+    names = {"true": "true_label", "pred": "pred_label", "n": "n"}
     order = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("class"))
+    classes = M.per_class(cells, **names).where(F.col("support") > 0)
     return {
-        "classification_report": M.report(scored, true, "pred_label"),
-        "per_class_metrics": classes.where(F.col("support") > 0).withColumn("class_rank", order.cast("int") - 1),
-        "overall_metrics": M.overall(scored, true, "pred_label"),
-        "confusion_matrix": M.confusion(scored, true, "pred_label", labels),
+        "classification_report": M.report(cells, **names),
+        "per_class_metrics": classes.withColumn("class_rank", order.cast("int") - 1),
+        "overall_metrics": M.overall(cells, **names),
+        "confusion_matrix": M.confusion(cells, labels=labels, **names),
         "detailed_predictions": scored.select(
             *key,
             F.col(true).alias("true_label"),
@@ -243,20 +245,22 @@ class CrossDomain:
 def evaluate_cross_domain(df: DataFrame, domains: Sequence[str] = ("Reddit", "News")) -> CrossDomain:
     """Several models on several domains at once: both are columns, so one pass counts all outcomes.
 
-    ``df``: ``doc_id, model, domain, text, label`` (four classes) and ``logits``.
+    ``df``: ``doc_id, model, domain, text, label`` (four classes) and ``logits``. The outcome counts, some
+    thirty rows per model and domain, are written once; every metric frame reads those.
     """
     by = ["model", "domain"]
-    rows = to_binary(df.withColumn("original_label", F.col("label")))
-    scored = attach_predictions(rows)
-    metrics = M.overall(scored, "binary_label", "predicted_binary", by)
+    scored = attach_predictions(to_binary(df.withColumn("original_label", F.col("label"))))
+    cells = materialize(M.prediction_cells(scored, by), "outcomes")
+    names = {"true": "binary_label", "pred": "predicted_binary", "by": by, "n": "n"}
+    metrics = M.overall(cells, **names)
     first, second = domains
     return CrossDomain(
         predictions=scored,
         metrics=metrics,
-        classes=M.per_class(scored, "binary_label", "predicted_binary", by, BINARY_LABELS),
-        confusion=M.confusion(scored, "binary_label", "predicted_binary", BINARY_LABELS, by),
-        breakdown=M.breakdown(scored, by),
-        errors=M.error_rates(scored, by),
+        classes=M.per_class(cells, labels=BINARY_LABELS, **names),
+        confusion=M.confusion(cells, labels=BINARY_LABELS, **names),
+        breakdown=M.breakdown(cells, by, n="n"),
+        errors=M.error_rates(cells, by, n="n"),
         comparison=M.compare_domains(metrics, first, second),
         grid=M.model_grid(metrics, domains),
     )

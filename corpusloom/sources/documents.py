@@ -82,13 +82,19 @@ def page_text(html: Column | str) -> Column:
     return strip(F.regexp_replace(body, rf"(?U){WHITESPACE_CLASS}+", " "))
 
 
+def page_title(html: Column | str) -> Column:
+    """Text of the title element, unescaped and stripped; null when there is none."""
+    found = F.nullif(F.regexp_extract(col(html), r"(?is)<title[^>]*>(.*?)</title>", 1), F.lit(""))
+    return strip(unescape(found))
+
+
 def extract_article(df: DataFrame, html_col: str = "html") -> DataFrame:
     """Add ``title, meta_lang, text, publish_date`` read from the page; absent parts are null."""
     html = F.col(html_col)
     found = lambda pattern: F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
     return df.withColumns(
         {
-            "title": strip(unescape(found(r"(?is)<title[^>]*>(.*?)</title>"))),
+            "title": page_title(html),
             "meta_lang": found(r"""(?is)<html[^>]*\blang=["']([^"']*)["']"""),
             "text": F.nullif(page_text(html), F.lit("")),
             "publish_date": found(
