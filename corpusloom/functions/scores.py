@@ -30,7 +30,7 @@ def argmax(c: Column | str) -> Column:
 
 
 def argmax_label(c: Column | str, labels: Sequence[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(x) for x in labels]), argmax(c) + 1)
+    return F.get(F.array(*[F.lit(x) for x in labels]), argmax(c))
 
 
 def confidence(c: Column | str) -> Column:
