@@ -280,7 +280,7 @@ def train_domains(
     """
     models, scores = {}, []
     for rank, (name, df) in enumerate(domains.items()):
-        rows = encode_label(df, "label")
+        rows = materialize(encode_label(df, "label"), f"domain-{name}")  # several passes read it
         train = rows.where(F.col("split") == "train")
         models[name] = adapt(base, train, **options) if base is not None else fit_weighted(train, kind=kind, **options)
         predicted = apply_model(models[name], rows.where(F.col("split") == "test"))

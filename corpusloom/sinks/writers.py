@@ -17,7 +17,6 @@ CSV = {
     "escape": '"',
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
-    "emptyValue": '""',
 }
 
 
