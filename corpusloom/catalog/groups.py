@@ -16,7 +16,7 @@ from corpusloom.operators import ranking as R
 from corpusloom.operators.filters import to_binary
 from corpusloom.operators.long_texts import shorten
 from corpusloom.operators.sets import distinct_sentences, union_sources
-from corpusloom.operators.split import sampled_split, stratified_split
+from corpusloom.operators.split import stratified_split
 from corpusloom.plans import jobs
 from corpusloom.schemas import BINARY_LABELS
 from corpusloom.sources.documents import page_title, parse_reviews, to_comment_rows, to_post_rows
@@ -290,14 +290,6 @@ def _(spark, sf):
     return stratified_split(I.annotations(spark, sf).select("doc_id", "label"), "label", 0.1, seed=7)
 
 
-@query(
-    "F3_sampled_split",
-    "SELECT doc_id, CASE WHEN ('0x' || substr(md5('42:' || doc_id), 1, 8))::UBIGINT / 4294967296.0::DOUBLE < 0.1::DOUBLE THEN 'val' ELSE 'train' END AS split FROM documents",
-)
-def _(spark, sf):
-    return sampled_split(I.documents(spark, sf).select("doc_id"), 0.1)
-
-
 @query("F4_split_60_20_20", "WITH " + SPLIT_60_20_20 + " SELECT doc_id, binary_label, split FROM split")
 def _(spark, sf):
     return split_rows(spark, sf).select("doc_id", "binary_label", "split")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.catalog import inputs as I
 from corpusloom.catalog.registry import query
-from corpusloom.catalog.scans import SPLIT_60_20_20, rounded, split_rows
+from corpusloom.catalog.scans import rounded
 from corpusloom.functions import normalize as N
 from corpusloom.functions import scores as P
 from corpusloom.functions import text as T
@@ -234,16 +234,6 @@ def _(spark, sf):
     return J.with_totals(I.annotations(spark, sf), "label")
 
 
-@query(
-    "D6_split_leakage",
-    "WITH " + SPLIT_60_20_20 + " SELECT md5(text) AS text_md5, string_agg(DISTINCT split, '+' ORDER BY split) AS splits, "
-    "count(*) AS copies FROM split GROUP BY text HAVING count(DISTINCT split) > 1",
-)
-def _(spark, sf):
-    leaks = J.split_leakage(split_rows(spark, sf))
-    return leaks.select(F.md5("text").alias("text_md5"), F.array_join("splits", "+").alias("splits"), "copies")
-
-
 # --- scalar, array and JSON functions -----------------------------------------------------------------
 
 

@@ -88,7 +88,7 @@ def _(spark, sf):
 
 
 @query(
-    "J4_make_pipeline",
+    "J4_classifier_kinds",
     "WITH " + SPLIT_60_20_20 + " SELECT kind, doc_id, true AS valid FROM split, (VALUES ('unigram'), ('ngram'), ('bayes')) k(kind) WHERE split = 'test'",
 )
 def _(spark, sf):

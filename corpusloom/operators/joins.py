@@ -56,13 +56,3 @@ def with_totals(df: DataFrame, label: str) -> DataFrame:
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
     totals = counts.agg(F.struct(F.sum("n").alias("total"), F.count("*").alias("n_classes")))
     return counts.withColumn("_t", totals.scalar()).select(label, "n", "_t.total", "_t.n_classes")
-
-
-def split_leakage(df: DataFrame, text: str = "text", split: str = "split") -> DataFrame:
-    """Texts present in more than one split, with the splits they are in.
-
-    One aggregation keyed by text: a text copied a billion times still arrives as one row per map task.
-    """
-    splits = F.array_sort(F.collect_set(split))
-    grouped = df.groupBy(text).agg(splits.alias("splits"), F.count("*").alias("copies"))
-    return grouped.where(F.size("splits") > 1)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import ellipsize
 from corpusloom.operators.split import order_hash
 
-SALTS = 32
+SALTS = 1024
 _PREFIX = 4
 
 
@@ -24,26 +24,20 @@ def cap_per_group(
 ) -> DataFrame:
     """The first ``n`` rows of every group in ``order`` (which must be total within a group).
 
-    Two rounds: first within (group, salt), then within the group. A group with a third of all rows is
-    ranked by ``salts`` tasks, and the last one sees at most ``salts * n`` of its rows.
+    Two rounds: first within (group, salt), then within the group. The salt is the input partition, so a map
+    task sends at most ``n`` rows of a group, all to one salt: with M map tasks a group with a third of all
+    rows costs a first-round task ``n * M / salts`` rows and the last one ``n * salts``, never the group.
     """
     keys, order = _columns(key), _columns(order)
-    plain = [F.col(o) if isinstance(o, str) else o for o in order]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in _order_names(df, order)]), F.lit(salts)))
     name = rank or "_rank"
-    first = F.row_number().over(W.partitionBy(*keys, "_salt").orderBy(*plain))
-    second = F.row_number().over(W.partitionBy(*keys).orderBy(*plain))
+    salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    first = F.row_number().over(W.partitionBy(*keys, "_salt").orderBy(*order))
+    second = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
     capped = salted.withColumn(name, first).where(F.col(name) <= n).drop("_salt", name)
     capped = capped.withColumn(name, second).where(F.col(name) <= n)
     return capped if rank else capped.drop(name)
 
 
-def _order_names(df: DataFrame, order: list) -> list[str]:
-    """Columns to salt by: the plainly named order columns, else every column that can be hashed."""
-    named = [o for o in order if isinstance(o, str)]
-    return named or [c for c, t in df.dtypes if not t.startswith("map")]
-
-
 def limit_per_source(
     df: DataFrame, limit: int, order, source: str = "source", kind: str = "type", salts: int = SALTS
 ) -> DataFrame:
@@ -67,7 +61,7 @@ def error_samples(df: DataFrame, n: int = 3, key: str = "doc_id", text: str = "t
 def assign_batches(df: DataFrame, key: str = "row_id", size: int = 10) -> DataFrame:
     """Add ``batch_id`` and ``batch_pos``: consecutive batches of exactly ``size`` rows, the last may be short.
 
-    Rows are numbered in hash order of the key. Buckets of the hash are counted, their running totals
+    ``key`` must be unique. Rows are numbered in hash order of the key. Buckets of the hash are counted, their running totals
     (at most 65,536 rows) are broadcast, and rows are ranked inside their bucket only.
     """
     hashed = df.withColumn("_hash", F.md5(F.col(key).cast("string")))

@@ -144,11 +144,3 @@ def split_60_20_20(
 ) -> DataFrame:
     """Forty percent held out, then halved."""
     return assign_splits(df, label, key, [0.4, 0.5], names, seed, min_classes=min_classes)
-
-
-def sampled_split(
-    df: DataFrame, frac: float, seed: int = 42, key: str = "doc_id", names: Sequence[str] = ("train", "val")
-) -> DataFrame:
-    """The cheap alternative: a hash threshold in one pass; sizes only approximate ``frac``."""
-    share = F.conv(F.substring(order_hash(key, seed), 1, 8), 16, 10).cast("double") / float(16**8)
-    return df.withColumn("split", F.when(share < frac, names[1]).otherwise(names[0]))

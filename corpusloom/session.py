@@ -32,7 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
     other machines; a cluster without the setting is an error rather than a machine-local folder.
     """
     context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not context.master.startswith("local"):

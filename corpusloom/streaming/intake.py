@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -11,6 +11,15 @@ from corpusloom.operators.dedupe import dedupe_first
 from corpusloom.sinks.writers import append_annotations
 
 
+def _once(stream: DataFrame, keys: list[str], own: Column, salts: int) -> DataFrame:
+    """First arrival per key, in two rounds: per (key, salt), then per key.
+
+    A key with a third of all rows is thinned out by ``salts`` tasks before one task sees it.
+    """
+    salted = stream.withColumn("_salt", F.pmod(F.xxhash64(own), F.lit(salts)))
+    return salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt").dropDuplicatesWithinWatermark(keys)
+
+
 def stream_articles(
     stream: DataFrame,
     key: str = "page_id",
@@ -19,6 +28,7 @@ def stream_articles(
     source: str = "source",
     url: str = "url",
     title: str = "title",
+    salts: int = 16,
 ) -> DataFrame:
     """Drop repeats of a normalised URL, then of a normalised title, within a source.
 
@@ -34,8 +44,8 @@ def stream_articles(
             "title_key": F.coalesce(F.nullif(normalize_title(title), F.lit("")), own),
         }
     )
-    once = keyed.dropDuplicatesWithinWatermark([source, "url_key"])
-    return once.dropDuplicatesWithinWatermark([source, "title_key"]).drop("url_key", "title_key")
+    by_url = _once(keyed, [source, "url_key"], F.col(key), salts)
+    return _once(by_url, [source, "title_key"], F.col(key), salts).drop("url_key", "title_key")
 
 
 def stream_annotations(stream: DataFrame, sink: str, checkpoint: str, key: str = "row_id") -> StreamingQuery:

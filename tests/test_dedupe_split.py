@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import dedupe as D
-from corpusloom.operators.split import assign_splits, sampled_split, split_60_20_20, stratified_split
+from corpusloom.operators.split import assign_splits, split_60_20_20, stratified_split
 from corpusloom.plans import jobs
 
 
@@ -144,12 +144,6 @@ def test_rows_are_not_shuffled_by_a_split(spark, tmp_path):
     assert "Exchange hashpartitioning" not in before_text
 
 
-def test_sampled_split_is_close_and_seeded(spark):
-    df = spark.range(5000).withColumnRenamed("id", "doc_id")
-    n = sampled_split(df, 0.2).where("split = 'val'").count()
-    assert 850 < n < 1150 and n == sampled_split(df.repartition(5), 0.2).where("split = 'val'").count()
-
-
 def test_sentence_corpus_prefers_folder_order(spark):
     schema = "sentence string, label int, source string, source_rank int, pos_folder string, pos_rank int, split string"
     rows = [
