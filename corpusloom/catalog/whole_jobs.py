@@ -190,9 +190,7 @@ def _(spark, sf):
     + " FROM t GROUP BY stage",
 )
 def _(spark, sf):
-    result = jobs.process_long_texts(I.documents(spark, sf))
-    stage = lambda df, name: df.withColumn("stage", F.lit(name))
-    return rounded(union_sources([stage(result.before, "before"), stage(result.after, "after")]))
+    return rounded(jobs.process_long_texts(I.documents(spark, sf)).profile)
 
 
 @query(

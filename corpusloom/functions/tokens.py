@@ -6,6 +6,7 @@ Whitespace means what ``str.split()`` means: the Unicode White_Space property pl
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -56,19 +57,24 @@ class WhitespaceTokenizer:
 class FunctionTokenizer:
     """A user's ``text -> list of tokens`` function, run in Arrow batches.
 
-    ``glue`` is what decoding puts between tokens (``""`` for sub-words that carry their own spaces).
+    ``make`` returns the function; it runs in the Python workers, once per task, so that a vocabulary is
+    loaded there and not shipped with the plan. ``glue`` is what belongs between tokens when they are put
+    together again (``""`` for sub-words that carry their own spaces).
     """
 
-    def __init__(self, fn: Callable[[str], list[str]], glue: str = ""):
-        self.fn, self.glue = fn, glue
+    def __init__(self, make: Callable[[], Callable[[str], list[str]]], glue: str = ""):
+        self.glue = glue
 
         @F.pandas_udf("array<string>")
         def _tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            fn = make()
             for texts in batches:
                 yield texts.map(lambda t: None if t is None else list(fn(t)))
 
         @F.pandas_udf("int")
         def _fit(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+            fn = make()
+
             def leading(pieces, limit):
                 if pieces is None:
                     return None
@@ -94,6 +100,7 @@ class FunctionTokenizer:
         return F.size(self.tokens(c))
 
     def fit(self, pieces: Column, limit: int) -> Column:
+        """How many leading pieces hold at most ``limit`` tokens when put together."""
         return self._fit(pieces, F.lit(limit))
 
     def join(self, tokens: Column) -> Column:
@@ -105,7 +112,32 @@ WHITESPACE = WhitespaceTokenizer()
 
 def tokenizer_udf(fn: Callable[[str], list[str]], glue: str = "") -> FunctionTokenizer:
     """Wrap a user's tokenizing function for every ``tokenizer=`` argument of this package."""
-    return FunctionTokenizer(fn, glue)
+    return FunctionTokenizer(lambda: fn, glue)
+
+
+@lru_cache(maxsize=4)
+def _load_subwords(path: str) -> Callable[[str], list[str]]:
+    from tokenizers import Tokenizer  # optional dependency, needed in the workers only
+
+    tokenizer = Tokenizer.from_file(path)
+
+    def pieces(text: str) -> list[str]:
+        """The text cut at the token ends: one piece per token, together the whole text."""
+        ends = [end for _, end in tokenizer.encode(text, add_special_tokens=False).offsets]
+        out, start = [], 0
+        for end in ends:
+            out.append(text[start:end])
+            start = max(start, end)
+        if out:
+            out[-1] += text[start:]
+        return out
+
+    return pieces
+
+
+def subword_tokenizer(path: str) -> FunctionTokenizer:
+    """Sub-word tokens of a ``tokenizer.json`` that every worker can read under ``path``."""
+    return FunctionTokenizer(lambda: _load_subwords(path))
 
 
 def fit_prefix(pieces: Column, limit: int, count: Callable[[Column], Column]) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,9 @@ from corpusloom.functions.tokens import WHITESPACE, is_blank, word_count
 STRATEGIES = ("simple", "smart_truncate", "chunk")
 
 
-def chunk(df: DataFrame, column: str = "text", limit: int = T.CONTENT_LIMIT, overlap: int = 50, tokenizer=None) -> DataFrame:
+def chunk(
+    df: DataFrame, column: str = "text", limit: int = T.CONTENT_LIMIT, overlap: int = 50, tokenizer=None
+) -> DataFrame:
     """One row per chunk: ``column`` holds the chunk, ``chunk_pos`` its position. Null text is one null chunk."""
     pieces = F.coalesce(T.chunks(column, limit, overlap, tokenizer), F.array(F.lit(None).cast("string")))
     others = [c for c in df.columns if c != column]
@@ -38,25 +42,42 @@ def with_truncation_record(
     return steps.withColumn(out, F.when(~is_blank(text), fields)).drop("_tokens", "_n", "_cut", "_m")
 
 
-def shorten(df: DataFrame, column: str = "text", strategy: str = "smart_truncate", limit: int = T.CONTENT_LIMIT, overlap: int = 50, tokenizer=None) -> DataFrame:
-    """Bring every text within ``limit`` tokens.
+def shorten(
+    df: DataFrame,
+    column: str = "text",
+    strategy: str = "smart_truncate",
+    limit: int = T.CONTENT_LIMIT,
+    overlap: int = 50,
+    tokenizer=None,
+    keep_original: bool = False,
+) -> DataFrame:
+    """Bring every text within ``limit`` tokens, by ``simple``, ``smart_truncate`` or ``chunk``.
 
     Output: the input with ``column`` shortened, ``original_tokens``, ``was_truncated`` and the length
-    columns of the new text; ``chunk`` adds ``chunk_pos`` and keeps all tokens.
+    columns of the new text; ``chunk`` adds ``chunk_pos`` and keeps all tokens. ``keep_original`` adds
+    ``original_chars`` and ``original_words``.
     """
     if strategy not in STRATEGIES:
-        raise ValueError(f"strategy must be one of {STRATEGIES}")
+        warnings.warn(f"unknown strategy {strategy!r}, using smart_truncate", stacklevel=2)
+        strategy = "smart_truncate"
     tk = tokenizer or WHITESPACE
     tokenised = df.withColumn("_tokens", tk.tokens(column)).withColumn(
         "original_tokens", F.size("_tokens").cast("bigint")
     )
     tokens = F.col("_tokens")
+    kept = ["original_tokens"]
+    if keep_original:
+        words = F.col("original_tokens") if tokenizer is None else word_count(column).cast("bigint")
+        tokenised = tokenised.withColumns(
+            {"original_chars": F.length(column).cast("bigint"), "original_words": words}
+        )
+        kept += ["original_chars", "original_words"]
     if strategy == "chunk":
         pieces = F.coalesce(
             T.chunks(column, limit, overlap, tokenizer, tokens), F.array(F.lit(None).cast("string"))
         )
         others = [c for c in df.columns if c != column]
-        out = tokenised.select(*others, "original_tokens", F.posexplode(pieces).alias("chunk_pos", column))
+        out = tokenised.select(*others, *kept, F.posexplode(pieces).alias("chunk_pos", column))
     else:
         cut = (
             T.truncate(column, limit, "head", tokenizer, tokens)

@@ -19,7 +19,6 @@ from corpusloom.operators.aggregates import (
     split_report,
     truncation_summary,
     value_counts,
-    with_lengths,
     words_to_sentences,
 )
 from corpusloom.operators.annotation import annotation_requests, annotation_results
@@ -87,23 +86,35 @@ def annotations_report(df: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class LongTexts:
+    """``profile`` has one row per ``stage``, ``before`` and ``after``."""
+
     rows: DataFrame
-    before: DataFrame
-    after: DataFrame
+    profile: DataFrame
     summary: DataFrame
 
 
 def process_long_texts(
     df: DataFrame, strategy: str = "smart_truncate", column: str = "text", limit: int = CONTENT_LIMIT, tokenizer=None
 ) -> LongTexts:
-    """Shortened rows, the length profile before and after, and the truncation summary."""
-    rows = shorten(df, column, strategy, limit, tokenizer=tokenizer)
-    summary = truncation_summary(rows.withColumn("final_tokens", F.col("token_count")))
+    """Shortened rows, the length profile before and after, and the truncation summary.
+
+    Both profiles come from one pass: every row carries its lengths of before and after.
+    """
+    wide = shorten(df, column, strategy, limit, tokenizer=tokenizer, keep_original=True)
+    lengths = lambda stage, *columns: F.struct(
+        F.lit(stage).alias("stage"),
+        *[F.col(c).alias(n) for c, n in zip(columns, ("token_count", "char_count", "word_count"))],
+    )
+    before = lengths("before", "original_tokens", "original_chars", "original_words")
+    after = lengths("after", "token_count", "char_count", "word_count")
+    sides = F.array(before, after)
+    if "chunk_pos" in wide.columns:  # a text counts once before, each of its chunks after
+        sides = F.when(F.col("chunk_pos") == 0, sides).otherwise(F.array(after))
+    both = wide.select(F.explode(sides).alias("s")).select("s.*")
     return LongTexts(
-        rows=rows,
-        before=length_stats(with_lengths(df, column, tokenizer), column, limit),
-        after=length_stats(rows, column, limit),
-        summary=summary,
+        rows=wide.drop("original_chars", "original_words"),
+        profile=length_stats(both, limit=limit, by=["stage"]),
+        summary=truncation_summary(wide.withColumn("final_tokens", F.col("token_count"))),
     )
 
 

@@ -1,5 +1,6 @@
 """Edge rows of the text functions, and brute-force comparison on random texts."""
 
+import os
 import random
 
 import pytest
@@ -13,6 +14,7 @@ from corpusloom.functions import text as T
 from corpusloom.functions import tokens as K
 from corpusloom.operators import aggregates as E
 from corpusloom.operators import long_texts as L
+from corpusloom.plans import jobs
 
 
 def one(spark, value, expr, kind="string"):
@@ -183,6 +185,43 @@ def test_chunks_cover_all_tokens(spark, texts, limit):
             assert chunks[0].split() + [t for c in chunks[1:] for t in c.split()[1:]] == text.split()
 
 
+BPE = "/opt/tokenizers/byte_bpe_50k.json"
+
+
+@pytest.mark.skipif(not os.path.exists(BPE), reason="no vocabulary file")
+def test_subword_tokenizer(spark):
+    tk = K.subword_tokenizer(BPE)
+    texts = ["Hello there, general. Kenobi was here. And then he left", "ünï çödé \U0001f600!", "", None, "  two  spaces "]
+    got = run(spark, texts, tk.tokens("x"))
+    assert all(t is None or "".join(p) == t for p, t in zip(got, texts))
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(BPE)
+    assert [len(p) for p in got if p is not None] == [len(plain.encode(t, add_special_tokens=False).ids) for t in texts if t is not None]
+    n = len(plain.encode("Hello there, general. ", add_special_tokens=False).ids)
+    assert one(spark, texts[0], T.smart_truncate("x", n, tk)) == "Hello there, general."
+    chunks = one(spark, texts[0], T.chunks("x", 5, 2, tk))
+    assert all(len(tk_piece) <= len(texts[0]) for tk_piece in chunks) and texts[0].startswith(chunks[0])
+
+
+def test_profiles_of_chunked_texts(spark):
+    df = spark.createDataFrame([(words(25),), (words(3),)], "text string")
+    split = K.tokenizer_udf(lambda t: t.split(), glue=" ")
+    for tk in (None, split):
+        result = jobs.process_long_texts(df, "chunk", limit=60, tokenizer=tk)
+        assert {r.stage: (r.total_samples, r.tokens_max) for r in result.profile.collect()} == {"before": (2, 25), "after": (2, 25)}
+        result = jobs.process_long_texts(df, "simple", limit=10, tokenizer=tk)
+        got = {r.stage: (r.total_samples, r.tokens_max, r.words_mean) for r in result.profile.collect()}
+        assert got == {"before": (2, 25, 14.0), "after": (2, 10, 6.5)}
+        assert (result.summary.first().truncated, result.summary.first().max_final_tokens) == (1, 10)
+
+
+def test_unknown_strategy_warns(spark):
+    df = spark.createDataFrame([("a b. c d",)], "text string")
+    with pytest.warns(UserWarning):
+        assert L.shorten(df, strategy="other", limit=3).first().text == "a b."
+
+
 def test_encode_fixed(spark):
     df = spark.createDataFrame([("a b a",), ("",), (words(9),)], "text string")
     rows = L.encode_fixed(df, length=5).collect()
