@@ -51,13 +51,12 @@ def _(spark, sf):
     _LENGTHS
     + ", b AS (SELECT "
     + BIN.format("tk")
-    + """ AS token_bin FROM t WHERE lang <> 'en' AND tk <= 1024),
+    + """ AS token_bin FROM t),
 bins(bin_rank, token_bin) AS (VALUES (0, '0-128'), (1, '128-256'), (2, '256-384'), (3, '384-512'), (4, '512-1024'), (5, '1024-2048'), (6, '2048+'))
 SELECT bin_rank, token_bin, count(b.token_bin) AS count FROM bins LEFT JOIN b USING (token_bin) GROUP BY ALL""",
 )
 def _(spark, sf):
-    lengths = E.with_lengths(I.documents(spark, sf).where("lang <> 'en'"))
-    return E.length_histogram(lengths.where("token_count <= 1024"))
+    return E.length_histogram(E.with_lengths(I.documents(spark, sf)))
 
 
 @query(

@@ -324,9 +324,13 @@ def responses(requests: DataFrame) -> DataFrame:
     return batches.select("batch_id", body.alias("response"))
 
 
-REQUESTS = r"""todo AS (
+def _requests_sql(condition: str) -> str:
+    return (
+        """todo AS (
   SELECT doc_id AS row_id, CASE WHEN doc_id % 11 = 3 THEN '  ' ELSE text END AS content, lang AS sentiment
-  FROM documents WHERE doc_id % 5 <> 0),
+  FROM documents WHERE """
+        + condition
+        + """),
 numbered AS (
   SELECT *, row_number() OVER (ORDER BY md5(row_id::VARCHAR), row_id) - 1 AS n FROM todo),
 requests AS (
@@ -335,6 +339,13 @@ requests AS (
          sentiment AS original_sentiment,
          row_number() OVER (PARTITION BY n // 10 ORDER BY n) - 1 AS pos,
          count(*) OVER (PARTITION BY n // 10) AS n_texts
-  FROM numbered WHERE trim(content) <> '')"""
+  FROM numbered WHERE trim(content) <> ''),
+aligned AS (
+  SELECT row_id, batch_id, text, original_sentiment, (row_id % 2 = 0)::INTEGER AS label_metaphor,
+         (row_id % 3 = 0)::INTEGER AS label_irony, CASE WHEN row_id % 4 <> 1 THEN 'r' || row_id ELSE '' END AS reasoning
+  FROM requests WHERE batch_id % 7 NOT IN (3, 5) AND (batch_id % 7 <> 6 OR n_texts = 1))"""
+    )
 
 
+REQUESTS = _requests_sql("true")
+PENDING_REQUESTS = _requests_sql("doc_id NOT IN (SELECT doc_id FROM labels)")

@@ -181,30 +181,17 @@ def _(spark, sf):
 
 @query(
     "D1_lookup",
-    "SELECT c_custkey, n_name FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey <> 3) ON c_nationkey = n_nationkey",
+    "SELECT c_custkey, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey",
 )
 def _(spark, sf):
     dim = I.table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    rows = J.lookup(I.table(spark, sf, "customer"), dim.where("c_nationkey <> 3"), "c_nationkey")
+    rows = J.lookup(I.table(spark, sf, "customer"), dim, "c_nationkey")
     return rows.select("c_custkey", "n_name")
 
 
-_ALIGNED = (
-    I.REQUESTS
-    + """, aligned AS (
-  SELECT row_id, batch_id, text, original_sentiment, (row_id % 2 = 0)::INTEGER AS label_metaphor,
-         (row_id % 3 = 0)::INTEGER AS label_irony, CASE WHEN row_id % 4 <> 1 THEN 'r' || row_id ELSE '' END AS reasoning
-  FROM requests WHERE batch_id % 7 NOT IN (3, 5) AND (batch_id % 7 <> 6 OR n_texts = 1))"""
-)
-
-
-def _todo(spark, sf):
-    return I.annotation_rows(spark, sf).where(F.col("row_id") % 5 != 0)
-
-
-@query("D2_align_answers", "WITH " + _ALIGNED + " SELECT row_id, batch_id, label_metaphor, label_irony FROM aligned")
+@query("D2_align_answers", "WITH " + I.REQUESTS + " SELECT row_id, batch_id, label_metaphor, label_irony FROM aligned")
 def _(spark, sf):
-    requests = A.annotation_requests(_todo(spark, sf))
+    requests = A.annotation_requests(I.annotation_rows(spark, sf))
     answers = A.parse_answers(I.responses(requests)).select("batch_id", "answers")
     aligned = J.align_answers(requests, answers)
     return aligned.select("row_id", "batch_id", "answer.label_metaphor", "answer.label_irony")
@@ -446,7 +433,7 @@ def _(spark, sf):
 ', '' ORDER BY pos) AS body FROM requests GROUP BY batch_id""",
 )
 def _(spark, sf):
-    prompts = A.build_prompts(A.annotation_requests(_todo(spark, sf)))
+    prompts = A.build_prompts(A.annotation_requests(I.annotation_rows(spark, sf)))
     body = F.substr("prompt", F.lit(len(A.INSTRUCTION) + 1))
     return prompts.select("batch_id", "n_texts", body.alias("body"))
 
@@ -461,7 +448,7 @@ SELECT batch_id, (row_id % 2 = 0)::INTEGER AS label_metaphor, (row_id % 3 = 0)::
 FROM b WHERE batch_id % 7 <> 3 AND (batch_id % 7 <> 5 OR pos < n_texts - 1) AND (batch_id % 7 <> 6 OR pos = 0)""",
 )
 def _(spark, sf):
-    parsed = A.parse_answers(I.responses(A.annotation_requests(_todo(spark, sf))))
+    parsed = A.parse_answers(I.responses(A.annotation_requests(I.annotation_rows(spark, sf))))
     return parsed.select("batch_id", F.explode("answers").alias("a")).select("batch_id", "a.*")
 
 

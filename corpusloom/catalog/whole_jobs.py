@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corpusloom.catalog import inputs as I
 from corpusloom.catalog.groups import COMPARED
 from corpusloom.catalog.registry import query
-from corpusloom.catalog.rows import _ALIGNED, BIN, CHUNKS, SMART, _todo
+from corpusloom.catalog.rows import BIN, CHUNKS, SMART
 from corpusloom.catalog.scans import LENGTH_STATS, SPLIT_60_20_20, rounded, split_rows
 from corpusloom.functions.scores import argmax_label, softmax
 from corpusloom.functions.tokens import tokenizer_udf
@@ -293,14 +293,14 @@ def _(spark, sf):
 
 @query(
     "K8_annotation_round_trip",
-    "WITH " + _ALIGNED + " SELECT row_id, text, label_metaphor, label_irony, reasoning, original_sentiment, 'news' AS source FROM aligned",
+    "WITH " + I.PENDING_REQUESTS + " SELECT row_id, text, label_metaphor, label_irony, reasoning, original_sentiment, 'news' AS source FROM aligned",
 )
 def _(spark, sf):
     from corpusloom.operators.annotation import annotation_requests
 
     rows = I.annotation_rows(spark, sf)
-    done = rows.where(F.col("row_id") % 5 == 0).select("row_id")
-    landed = I.responses(annotation_requests(_todo(spark, sf)))
+    done = I.table(spark, sf, "labels").select(F.col("doc_id").alias("row_id"))  # labelled rows need no answer
+    landed = I.responses(annotation_requests(rows, done))
     return jobs.annotation_round_trip(rows, landed, done)
 
 

@@ -34,7 +34,8 @@ def stream_articles(
 
     Rows without a date are dropped first. State lives as long as the watermark: ``delay`` behind the
     newest date seen, so recency is relative to the events, not to a clock. The first arrival wins. Rows
-    without a URL or title are exempt from that pass (their own key stands in).
+    without a URL or title are exempt from that pass (their own key stands in). For large state run with
+    the RocksDB state store (``spark.sql.streaming.stateStore.providerClass``).
     """
     own = F.concat(F.lit("#"), F.col(key).cast("string"))
     dated = stream.where(F.col(date).isNotNull()).withWatermark(date, delay)
