@@ -338,7 +338,7 @@ def _(spark, sf):
     path = scratch_path(spark, "report")
     rows = shorten(I.documents(spark, sf)).withColumn("final_tokens", F.col("token_count"))
     stats = truncation_summary(rows).select("total", "truncated", "truncation_rate", "mean_original_tokens")
-    writers.write_report(stats, path, "TEXT LENGTH PROCESSING STATISTICS")
+    writers.write_report([("TEXT LENGTH PROCESSING STATISTICS", stats, None)], path)
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators.joins import pending
+from corpusloom.operators.sets import union_sources
 from corpusloom.schemas import ORIGINAL_LABELS
 from corpusloom.sources.files import path_exists
 
@@ -34,16 +35,24 @@ def write_splits(df: DataFrame, path: str, label: str = "binary_label", fmt: str
     _write(df.select("text", F.col(label).alias("label"), "split"), path, fmt, mode, ["split"])
 
 
-def write_basic_detailed(df: DataFrame, path: str, basic: Sequence[str], fmt: str = "parquet", mode: str = "errorifexists") -> None:
+def write_basic_detailed(
+    df: DataFrame,
+    path: str,
+    basic: Sequence[str],
+    fmt: str = "parquet",
+    mode: str = "errorifexists",
+    partition: Sequence[str] = (),
+) -> None:
     """All columns to ``<path>/detailed``, the ``basic`` ones to ``<path>/basic``.
 
     The second copy is read from the first, so the frame is computed once and nothing is cached.
     """
-    _write(df, f"{path}/detailed", fmt, mode)
-    reader = df.sparkSession.read.schema(df.schema).format(fmt)
+    _write(df, f"{path}/detailed", fmt, mode, partition)
+    ordered = [f.name for f in df.schema if f.name not in partition] + list(partition)  # as stored
+    reader = df.sparkSession.read.schema(df.select(*ordered).schema).format(fmt)
     if fmt == "csv":
         reader = reader.options(**CSV, multiLine=True)
-    _write(reader.load(f"{path}/detailed").select(*basic), f"{path}/basic", fmt, mode)
+    _write(reader.load(f"{path}/detailed").select(*basic), f"{path}/basic", fmt, mode, partition)
 
 
 def append_annotations(df: DataFrame, path: str, key: str = "row_id") -> None:
@@ -130,34 +139,47 @@ def write_summary(df: DataFrame, path: str, mode: str = "errorifexists") -> None
     _write(df, path, "json", mode)
 
 
-def report_lines(df: DataFrame, title: str, key: str | None = None) -> DataFrame:
-    """``(line_no, line)``: a title and ``name: value`` for every numeric column of a small stats frame."""
-    numbers = [c for c, t in df.dtypes if c != key]
-    shown = lambda c: F.when(F.col(c).isNull(), "n/a").otherwise(
-        F.format_string("%.1f", F.col(c).cast("double")) if dict(df.dtypes)[c] == "double" else F.col(c).cast("string")
-    )
-    prefix = F.concat(F.col(key).cast("string"), F.lit(" ")) if key else F.lit("")
-    lines = F.array(*[F.concat(prefix, F.lit(f"{c.replace('_', ' ')}: "), shown(c)) for c in numbers])
-    body = df.select(*([key] if key else []), F.posexplode(lines).alias("i", "line"))
-    order = F.concat_ws("|", F.col(key).cast("string"), F.lpad(F.col("i").cast("string"), 4, "0")) if key else F.lpad(
-        F.col("i").cast("string"), 4, "0"
-    )
-    head = df.sparkSession.range(1).select(F.lit("").alias("line_no"), F.lit(title).alias("line"))
-    return head.unionByName(body.select(order.alias("line_no"), "line"))
+def report_lines(df: DataFrame, title: str, key: str | None = None, section: int = 0) -> DataFrame:
+    """``(line_no, line)``: a title and ``name: value`` for every column of a small statistics frame."""
+    types = dict(df.dtypes)
+    names = [c for c in df.columns if c != key]
+
+    def shown(c: str) -> Column:
+        value = F.format_string("%.4f" if "rate" not in c and "mean" not in c else "%.1f", F.col(c).cast("double"))
+        return F.coalesce(value if types[c] == "double" else F.col(c).cast("string"), F.lit("n/a"))
+
+    number = lambda *parts: F.concat_ws("|", F.lpad(F.lit(section).cast("string"), 3, "0"), *parts)
+    group = F.coalesce(F.col(key).cast("string"), F.lit("")) if key else F.lit("")
+    label = F.concat(group, F.lit(" ")) if key else F.lit("")
+    lines = F.array(*[F.concat(label, F.lit(f"{c.replace('_', ' ')}: "), shown(c)) for c in names])
+    body = df.select(group.alias("_group"), F.posexplode(lines).alias("i", "line"))
+    body = body.select(number(F.lit("1"), "_group", F.lpad(F.col("i").cast("string"), 4, "0")).alias("line_no"), "line")
+    head = df.sparkSession.range(1).select(number(F.lit("0")).alias("line_no"), F.lit(title).alias("line"))
+    return head.unionByName(body)
 
 
-def write_report(df: DataFrame, path: str, title: str, key: str | None = None, mode: str = "errorifexists") -> None:
-    """Plain-text report of a small statistics frame, in order, as one file."""
-    lines = report_lines(df, title, key).orderBy("line_no").select("line")
+def write_report(sections: Sequence[tuple[str, DataFrame, str | None]], path: str, mode: str = "errorifexists") -> None:
+    """Plain-text report as one file. A section is a title, a small statistics frame and its key column, if any."""
+    parts = [report_lines(frame, title, key, i) for i, (title, frame, key) in enumerate(sections)]
+    lines = union_sources(parts).orderBy("line_no").select("line")
     lines.coalesce(1).write.mode(mode).text(path)  # a few lines by construction
 
 
 def write_evaluation(frames: dict[str, DataFrame], path: str, mode: str = "errorifexists") -> None:
-    """One CSV folder per frame of an evaluation, plus the text summary of its overall metrics."""
+    """One CSV folder per frame of an evaluation, and the text summary of its metrics."""
     for name, frame in frames.items():
         _write(frame, f"{path}/{name}", "csv", mode)
-    if "overall_metrics" in frames:
-        write_report(frames["overall_metrics"], f"{path}/evaluation_summary", "MODEL EVALUATION SUMMARY", mode=mode)
+    summary = [
+        (title, frames[name], key)
+        for title, name, key in (
+            ("OVERALL METRICS", "overall_metrics", None),
+            ("CONFUSION MATRIX", "confusion_matrix", "true_label"),
+            ("PER-CLASS METRICS", "per_class_metrics", "class"),
+        )
+        if name in frames
+    ]
+    if summary:
+        write_report(summary, f"{path}/evaluation_summary", mode)
 
 
 def write_comparison(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -33,8 +33,8 @@ def scan_corpus(
     found = available(spark, candidates)
     if not found:
         raise ValueError(f"no corpus files under {root}")
-    words = read_word_tsv(spark, list(found.values()))
-    path = F.regexp_replace(F.col("_metadata.file_path"), "%20", " ")
+    words = read_word_tsv(spark, list(found.values())).withColumn("_path", F.input_file_name())
+    path = F.url_decode("_path")
     part = F.regexp_extract(path, r"([^/]+)(?:/(" + "|".join(pos) + r"))?/(train|test)\.tsv(?:/[^/]+)?$", 0)
     pieces = F.split(F.regexp_replace(part, r"\.tsv(/[^/]+)?$", ""), "/")
     n = F.size(pieces)
@@ -45,7 +45,7 @@ def scan_corpus(
             "split": F.element_at(pieces, -1),
         }
     )
-    return tagged.withColumns(
+    return tagged.drop("_path").withColumns(
         {
             "source_rank": rank_of(F.col("source"), list(folders)),
             "pos_rank": F.coalesce(rank_of(F.col("pos_folder"), list(pos)), F.lit(-1)),

@@ -13,6 +13,12 @@ from pyspark.sql import types as T
 from corpusloom import schemas
 from corpusloom.operators.aggregates import length_stats
 
+# Field contents that mean "missing" in the source data's tools, besides the empty field.
+MISSING = (
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
 _CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
 
 
@@ -24,16 +30,26 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df
 
 
-def read_labeled(spark: SparkSession, path: str, schema: str = schemas.SPLIT_FILE) -> DataFrame:
+def _with_missing(df: DataFrame, missing: Sequence[str]) -> DataFrame:
+    """String fields that spell a missing value become null. An empty field is null already."""
+    if not missing:
+        return df
+    clean = lambda c: F.when(~F.col(c).isin(list(missing)), F.col(c)).alias(c)
+    return df.select(*[clean(f.name) if isinstance(f.dataType, T.StringType) else f.name for f in df.schema])
+
+
+def read_labeled(
+    spark: SparkSession, path: str, schema: str = schemas.SPLIT_FILE, missing: Sequence[str] = MISSING
+) -> DataFrame:
     """Labelled CSV with a header and quoted text, or Parquet when the path says so."""
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.schema(schema).parquet(path)
-    return spark.read.schema(schema).options(**_CSV).csv(path)
+    return _with_missing(spark.read.schema(schema).options(**_CSV).csv(path), missing)
 
 
-def read_word_tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_word_tsv(spark: SparkSession, path: str | list[str], missing: Sequence[str] = MISSING) -> DataFrame:
     """Word-level corpus: one row per word, eight tab-separated columns."""
-    return spark.read.schema(schemas.WORD_LEVEL).options(**_CSV, sep="\t").csv(path)
+    return _with_missing(spark.read.schema(schemas.WORD_LEVEL).options(**_CSV, sep="\t").csv(path), missing)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

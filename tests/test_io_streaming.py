@@ -11,6 +11,14 @@ from corpusloom.sinks import writers
 from corpusloom.sources import corpus, files
 from corpusloom.streaming import intake
 
+def test_missing_spellings(spark, tmp_path):
+    write(str(tmp_path / "m.csv"), 'text,label\nNA,literal\n"null",x\nNAN,NaN\n')
+    got = sorted(((r.text, r.label) for r in files.read_labeled(spark, str(tmp_path / "m.csv")).collect()), key=str)
+    assert got == [("NAN", None), (None, "literal"), (None, "x")]
+    raw = files.read_labeled(spark, str(tmp_path / "m.csv"), missing=())
+    assert sorted(r.text for r in raw.collect()) == ["NA", "NAN", "null"]
+
+
 TEXTS = ['plain', 'with, comma', 'a "quoted" word', "two\nlines", "  padded  ", "tab\there", "", None, "back\\slash", "ünï"]
 
 
@@ -96,12 +104,17 @@ def test_splits_variants_report_evaluation(spark, tmp_path):
     writers.write_splits(df, str(tmp_path / "s"), fmt="parquet")
     back = spark.read.parquet(str(tmp_path / "s")).where("split = 'val'")
     assert back.columns == ["text", "label", "split"] and back.count() == 6
+    writers.write_basic_detailed(df, str(tmp_path / "w"), ["text", "split"], partition=["split"])
+    assert spark.read.parquet(str(tmp_path / "w" / "basic" / "split=val")).count() == 6
     writers.write_basic_detailed(df, str(tmp_path / "v"), ["doc_id", "text"], fmt="csv")
     basic = spark.read.options(**writers.CSV).csv(str(tmp_path / "v" / "basic"))
     assert basic.columns == ["doc_id", "text"] and basic.count() == 12
     stats = df.agg(F.count("*").alias("total_rows"), F.avg("doc_id").alias("mean_id"))
-    writers.write_report(stats, str(tmp_path / "r"), "TITLE")
-    assert [r.value for r in spark.read.text(str(tmp_path / "r")).collect()] == ["TITLE", "total rows: 12", "mean id: 5.5"]
+    counts = df.groupBy("split").agg(F.count("*").alias("n"))
+    writers.write_report([("TITLE", stats, None), ("SPLITS", counts, "split")], str(tmp_path / "r"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "r")).collect()] == [
+        "TITLE", "total rows: 12", "mean id: 5.5", "SPLITS", "train n: 6", "val n: 6"
+    ]
     scored = df.select("doc_id", F.col("binary_label").alias("true_label"), F.array(F.lit(1.0), (F.col("doc_id") % 2) * 2.0).alias("logits"))
     writers.write_evaluation(jobs.evaluate(scored), str(tmp_path / "e"))
     names = {n for n in os.listdir(tmp_path / "e")}
