@@ -113,29 +113,32 @@ def select_model(
     return Selection(best, index, scores)
 
 
-def adapt(base: PipelineModel, df: DataFrame, label: str = "label_id", features: int = 2**16, reg: float = 0.01, iterations: int = 20) -> PipelineModel:
-    """Transfer to a domain: refit on its rows with the base model's score as one more feature."""
-    base_score = _BaseScore(base)
-    words = RegexTokenizer(inputCol="text", outputCol="_words", pattern=r"[\s\x1c-\x1f]+")
-    counts = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=features)
-    idf = IDF(inputCol="_counts", outputCol="_tfidf")
-    both = VectorAssembler(inputCols=["_tfidf", "base_score"], outputCol="_features")
-    final = LogisticRegression(
-        featuresCol="_features", labelCol=label, weightCol="weight", maxIter=iterations, regParam=reg
+def adapt(
+    base: PipelineModel,
+    df: DataFrame,
+    label: str = "label_id",
+    features: int = 2**16,
+    reg: float = 0.01,
+    iterations: int = 20,
+) -> PipelineModel:
+    """Transfer to a domain: refit on its rows with the base model's probabilities as more features.
+
+    The base's stages come first, with their outputs renamed; its words are reused. The result is an ordinary
+    pipeline model.
+    """
+    judge = base.stages[-1].copy()
+    judge.setRawPredictionCol("_base_raw").setProbabilityCol("_base_probability").setPredictionCol("_base_prediction")
+    first = PipelineModel([*base.stages[:-1], judge])
+    head = Pipeline(
+        stages=[
+            HashingTF(inputCol="_words", outputCol="_own_counts", numFeatures=features),
+            IDF(inputCol="_own_counts", outputCol="_own_features"),
+            VectorAssembler(inputCols=["_own_features", "_base_probability"], outputCol="_adapted_features"),
+            LogisticRegression(
+                featuresCol="_adapted_features", labelCol=label, weightCol="weight", maxIter=iterations, regParam=reg
+            ),
+        ]
     )
     usable = df.where(F.col("text").isNotNull() & F.col(label).isNotNull())
-    weighted = attach_weights(usable, label)
-    head = Pipeline(stages=[words, counts, idf, both, final]).fit(base_score.transform(weighted))
-    return PipelineModel([base_score, *head.stages])
-
-
-class _BaseScore(Transformer):
-    """Runs a fitted classifier and keeps only its positive-class probability, as ``base_score``."""
-
-    def __init__(self, base: PipelineModel):
-        super().__init__()
-        self._base = base
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        scored = self._base.transform(df)
-        return scored.select(*df.columns, vector_to_array("probability")[1].alias("base_score"))
+    fitted = head.fit(first.transform(attach_weights(usable, label)))
+    return PipelineModel([*first.stages, *fitted.stages])

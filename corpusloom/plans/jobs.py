@@ -1,4 +1,8 @@
-"""Whole jobs, composed from the operators. Each returns frames; writing is the caller's choice."""
+"""Whole jobs, composed from the operators.
+
+Each returns frames. Given ``out``, a job also writes its files there and returns frames over what it wrote
+where later steps would otherwise compute the rows again.
+"""
 
 from __future__ import annotations
 
@@ -40,6 +44,7 @@ from corpusloom.operators.sets import union_sources
 from corpusloom.operators.split import split_60_20_20, stratified_split
 from corpusloom.schemas import BINARY_LABELS
 from corpusloom.session import materialize
+from corpusloom.sinks import writers
 from corpusloom.sources.corpus import scan_corpus
 from corpusloom.sources.documents import extract_article, parse_reviews, to_comment_rows, to_post_rows
 
@@ -60,24 +65,44 @@ def split_sentence_corpus(sentences: DataFrame, val_size: float = 0.1, seed: int
     return union_sources([parts, corpus.where(F.col("split") == "test")]).select(*columns)
 
 
-def prepare_word_corpus(spark: SparkSession, root: str, val_size: float = 0.1, seed: int = 42) -> DataFrame:
-    """Word-level corpus folders to one sentence frame with ``split`` in train, val and test."""
-    return split_sentence_corpus(sentence_corpus(scan_corpus(spark, root)), val_size, seed)
+def prepare_word_corpus(
+    spark: SparkSession, root: str, val_size: float = 0.1, seed: int = 42, out: str | None = None
+) -> DataFrame:
+    """Word-level corpus folders to one sentence frame with ``split`` in train, val and test.
+
+    ``out`` gets ``basic`` (text and label) and ``detailed``, a folder per split each.
+    """
+    corpus = split_sentence_corpus(sentence_corpus(scan_corpus(spark, root)), val_size, seed)
+    if out is None:
+        return corpus
+    writers.write_basic_detailed(corpus, out, ["text", "label", "split"], partition=["split"])
+    return spark.read.parquet(f"{out}/detailed").select(*corpus.columns)
 
 
-def prepare_domain(df: DataFrame, domain: str, key: str = "doc_id", seed: int = 42, min_chars: int = 11) -> DataFrame:
+def prepare_domain(
+    df: DataFrame, domain: str, key: str = "doc_id", seed: int = 42, min_chars: int = 11, out: str | None = None
+) -> DataFrame:
     """One domain's annotations to ``(key, text, label, split)`` with binary labels.
 
-    Fails when fewer than two classes are left.
+    Fails when fewer than two classes are left. ``out`` gets ``(text, label)`` as CSV, a folder per split.
     """
     rows = min_length(harmonise(df, domain), "text", min_chars)
     binary = to_binary(rows, "label", "label").select(key, "text", "label")
-    return split_60_20_20(binary, "label", seed, key, min_classes=2)
+    rows = split_60_20_20(binary, "label", seed, key, min_classes=2)
+    if out is not None:
+        writers.write_splits(rows, out, "label")
+    return rows
+
 
+def prepare_annotations(df: DataFrame, key: str = "doc_id", seed: int = 42, out: str | None = None) -> DataFrame:
+    """Annotated rows to ``binary_label`` and an exact 60/20/20 ``split``.
 
-def prepare_annotations(df: DataFrame, key: str = "doc_id", seed: int = 42) -> DataFrame:
-    """Annotated rows to ``binary_label`` and an exact 60/20/20 ``split``."""
-    return split_60_20_20(to_binary(df), "binary_label", seed, key)
+    ``out`` gets ``(text, label)`` as CSV, a folder per split.
+    """
+    rows = split_60_20_20(to_binary(df), "binary_label", seed, key)
+    if out is not None:
+        writers.write_splits(rows, out, "binary_label")
+    return rows
 
 
 def annotations_report(df: DataFrame) -> DataFrame:
@@ -94,13 +119,22 @@ class LongTexts:
 
 
 def process_long_texts(
-    df: DataFrame, strategy: str = "smart_truncate", column: str = "text", limit: int = CONTENT_LIMIT, tokenizer=None
+    df: DataFrame,
+    strategy: str = "smart_truncate",
+    column: str = "text",
+    limit: int = CONTENT_LIMIT,
+    tokenizer=None,
+    out: str | None = None,
 ) -> LongTexts:
     """Shortened rows, the length profile before and after, and the truncation summary.
 
-    Both profiles come from one pass: every row carries its lengths of before and after.
+    Both profiles come from one pass: every row carries its lengths of before and after. ``out`` gets the
+    rows and a text report.
     """
     wide = shorten(df, column, strategy, limit, tokenizer=tokenizer, keep_original=True)
+    if out is not None:
+        wide.write.parquet(f"{out}/rows")
+        wide = df.sparkSession.read.schema(wide.schema).parquet(f"{out}/rows")
     lengths = lambda stage, *columns: F.struct(
         F.lit(stage).alias("stage"),
         *[F.col(c).alias(n) for c, n in zip(columns, ("token_count", "char_count", "word_count"))],
@@ -111,11 +145,12 @@ def process_long_texts(
     if "chunk_pos" in wide.columns:  # a text counts once before, each of its chunks after
         sides = F.when(F.col("chunk_pos") == 0, sides).otherwise(F.array(after))
     both = wide.select(F.explode(sides).alias("s")).select("s.*")
-    return LongTexts(
-        rows=wide.drop("original_chars", "original_words"),
-        profile=length_stats(both, limit=limit, by=["stage"]),
-        summary=truncation_summary(wide.withColumn("final_tokens", F.col("token_count"))),
-    )
+    profile = length_stats(both, limit=limit, by=["stage"])
+    summary = truncation_summary(wide.withColumn("final_tokens", F.col("token_count")))
+    if out is not None:
+        sections = [("TEXT LENGTH PROCESSING STATISTICS", summary, None), ("LENGTHS", profile, "stage")]
+        writers.write_report(sections, f"{out}/report")
+    return LongTexts(wide.drop("original_chars", "original_words"), profile, summary)
 
 
 def collect_news(
@@ -166,10 +201,12 @@ def collect_forum(
     min_chars: int = 50,
     token_limit: int = CONTENT_LIMIT,
     tokenizer=None,
+    out: str | None = None,
 ) -> ForumCollection:
     """Posts and comments to detailed rows, with the collection's statistics.
 
     The per-source limit comes before the length filter. Posts are measured stripped, comments as they are.
+    ``out`` gets ``basic`` and ``detailed`` rows and a text report.
     """
     order = [order] if isinstance(order, str) else list(order)
     post_rows = to_post_rows(posts, tuple(order))
@@ -190,26 +227,49 @@ def collect_forum(
         "_r.was_truncated",
         length_bin("_r.original_tokens", short_labels=True).alias("token_bin"),
     )
-    return ForumCollection(
+    if out is not None:
+        writers.write_basic_detailed(rows, out, ["text", "source", "type", "score", "timestamp", "url"])
+        rows = posts.sparkSession.read.schema(rows.schema).parquet(f"{out}/detailed")
+    result = ForumCollection(
         rows=rows,
         summary=truncation_summary(rows),
         histogram=length_histogram(rows, "original_tokens", short_labels=True),
         by_source=value_counts(rows, "source"),
         by_type=value_counts(rows, "type"),
     )
-
-
-def collect_reviews(responses: DataFrame, n: int = 100, json_col: str = "json", page_col: str | None = None) -> DataFrame:
-    """Landed review pages to at most ``n`` reviews per title, in arrival order."""
-    reviews = parse_reviews(responses, json_col, page_col)
-    return cap_per_group(reviews, "movie_id", ["page", "pos"], n)
+    if out is not None:
+        sections = [
+            ("COLLECTION STATISTICS", result.summary, None),
+            ("BY SOURCE", result.by_source, "source"),
+            ("BY TYPE", result.by_type, "type"),
+        ]
+        writers.write_report(sections, f"{out}/report")
+    return result
+
+
+def collect_reviews(
+    responses: DataFrame, n: int = 100, json_col: str = "json", page_col: str | None = None, out: str | None = None
+) -> DataFrame:
+    """Landed review pages to at most ``n`` reviews per title, in arrival order; appended to ``out``."""
+    reviews = cap_per_group(parse_reviews(responses, json_col, page_col), "movie_id", ["page", "pos"], n)
+    if out is not None:
+        writers.append_reviews(reviews, out)
+    return reviews
 
 
 def annotation_round_trip(
-    df: DataFrame, responses: DataFrame, done: DataFrame | None = None, source: str = "news", key: str = "row_id"
+    df: DataFrame,
+    responses: DataFrame,
+    done: DataFrame | None = None,
+    source: str = "news",
+    key: str = "row_id",
+    out: str | None = None,
 ) -> DataFrame:
-    """Annotations of the rows not done yet, from the landed responses to their batches."""
-    return annotation_results(annotation_requests(df, done, key), responses, source, key)
+    """Annotations of the rows not done yet, from the landed responses to their batches; appended to ``out``."""
+    results = annotation_results(annotation_requests(df, done, key), responses, source, key)
+    if out is not None:
+        writers.append_annotations(results, out, key)
+    return results
 
 
 def evaluate(
@@ -218,14 +278,15 @@ def evaluate(
     logits: str = "logits",
     labels: Sequence[str] = BINARY_LABELS,
     key: Sequence[str] = ("doc_id",),
+    out: str | None = None,
 ) -> dict[str, DataFrame]:
-    """All frames of a single-domain evaluation, by the names of their files."""
+    """All frames of a single-domain evaluation, by the names of their files; written to ``out``."""
     scored = attach_predictions(df, logits, true, labels).withColumnRenamed("predicted_binary", "pred_label")
     cells = scored.groupBy(F.col(true).alias("true_label"), "pred_label").agg(F.count("*").alias("n"))
     names = {"true": "true_label", "pred": "pred_label", "n": "n"}
     order = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("class"))
     classes = M.per_class(cells, **names).where(F.col("support") > 0)
-    return {
+    frames = {
         "classification_report": M.report(cells, **names),
         "per_class_metrics": classes.withColumn("class_rank", order.cast("int") - 1),
         "overall_metrics": M.overall(cells, **names),
@@ -239,6 +300,9 @@ def evaluate(
             "confidence",
         ),
     }
+    if out is not None:
+        writers.write_evaluation(frames, out)
+    return frames
 
 
 @dataclass(frozen=True)
@@ -253,11 +317,14 @@ class CrossDomain:
     grid: DataFrame
 
 
-def evaluate_cross_domain(df: DataFrame, domains: Sequence[str] = ("Reddit", "News")) -> CrossDomain:
+def evaluate_cross_domain(
+    df: DataFrame, domains: Sequence[str] = ("Reddit", "News"), out: str | None = None
+) -> CrossDomain:
     """Several models on several domains at once: both are columns, so one pass counts all outcomes.
 
     ``df``: ``doc_id, model, domain, text, label`` (four classes) and ``logits``. The outcome counts, some
-    thirty rows per model and domain, are written once; every metric frame reads those.
+    thirty rows per model and domain, are written once; every metric frame reads those. ``out`` gets the
+    predictions by model and domain, and the nested summary.
     """
     by = ["model", "domain"]
     scored = attach_predictions(to_binary(df.withColumn("original_label", F.col("label"))))
@@ -265,7 +332,7 @@ def evaluate_cross_domain(df: DataFrame, domains: Sequence[str] = ("Reddit", "Ne
     names = {"true": "binary_label", "pred": "predicted_binary", "by": by, "n": "n"}
     metrics = M.overall(cells, **names)
     first, second = domains
-    return CrossDomain(
+    result = CrossDomain(
         predictions=scored,
         metrics=metrics,
         classes=M.per_class(cells, labels=BINARY_LABELS, **names),
@@ -275,6 +342,11 @@ def evaluate_cross_domain(df: DataFrame, domains: Sequence[str] = ("Reddit", "Ne
         comparison=M.compare_domains(metrics, first, second),
         grid=M.model_grid(metrics, domains),
     )
+    if out is not None:
+        scored.write.partitionBy(*by).parquet(f"{out}/predictions")
+        summary = writers.summary_frame(result.metrics, result.classes, result.breakdown, result.comparison, domains)
+        writers.write_summary(summary, f"{out}/results_summary")
+    return result
 
 
 def cross_domain_samples(scored: DataFrame, n: int = 3) -> DataFrame:
@@ -283,11 +355,16 @@ def cross_domain_samples(scored: DataFrame, n: int = 3) -> DataFrame:
 
 
 def train_domains(
-    domains: dict[str, DataFrame], kind: str = "unigram", base: PipelineModel | None = None, **options
+    domains: dict[str, DataFrame],
+    kind: str = "unigram",
+    base: PipelineModel | None = None,
+    out: str | None = None,
+    **options,
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
     """Fit every prepared domain on its ``train`` rows, adapting ``base`` if given, and compare on ``test``.
 
-    Returns the models and ``(Domain, Macro_F1, Accuracy, Model, domain_rank)``.
+    Returns the models and ``(Domain, Macro_F1, Accuracy, Model, domain_rank)``; ``best(scores, "Macro_F1",
+    "domain_rank")`` picks the winner. ``out`` gets the models and the comparison.
     """
     models, scores = {}, []
     for rank, (name, df) in enumerate(domains.items()):
@@ -306,4 +383,9 @@ def train_domains(
         )
     if not scores:
         raise ValueError("no domain to train on")
-    return models, union_sources(scores)
+    compared = union_sources(scores)
+    if out is not None:
+        for name, model in models.items():
+            model.write().save(f"{out}/models/{name}")
+        writers.write_comparison(compared, f"{out}/comparison")
+    return models, compared

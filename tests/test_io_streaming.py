@@ -48,7 +48,9 @@ def test_corpus_scan_and_job(spark, tmp_path):
     assert sorted({(r.source, r.pos_folder, r.split) for r in words.collect()}, key=str) == [
         ("VUA18", None, "test"), ("VUA18", None, "train"), ("VUA18_pos", "verb", "train")
     ]
-    got = jobs.prepare_word_corpus(spark, root)
+    got = jobs.prepare_word_corpus(spark, root, out=str(tmp_path / "prepared"))
+    basic = spark.read.parquet(str(tmp_path / "prepared" / "basic"))
+    assert sorted(basic.columns) == ["label", "split", "text"] and basic.count() == 42
     sizes = {r.split: r["count"] for r in got.groupBy("split").count().collect()}
     assert sizes == {"train": 36, "val": 5, "test": 1}
     row = got.where("text = 's0'").first()
@@ -184,3 +186,31 @@ def test_news_job_shadows_copies_of_filtered_rows(spark):
     got = {r.page_id: r for r in jobs.collect_news(pages, "2024-06-30 12:00:00", date="ts").collect()}
     assert set(got) == {3, 5}
     assert len(got[3].text.split()) == 451 and got[3].publish_date == "2024-06-20"
+
+
+def test_jobs_write_their_files(spark, tmp_path):
+    rows = [(i, f"text number {i} is long", ["literal", "metaphor", "irony"][i % 3]) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    path = lambda name: str(tmp_path / name)
+    jobs.prepare_annotations(df, out=path("k3"))
+    jobs.prepare_domain(df, "news", out=path("k2"))
+    for name in ("k2", "k3"):
+        read = spark.read.options(**writers.CSV).csv(path(name))
+        assert sorted(read.columns) == ["label", "split", "text"] and read.count() == 60
+    jobs.process_long_texts(df, "simple", limit=3, out=path("k4"))
+    assert spark.read.parquet(path("k4") + "/rows").where("was_truncated").count() == 60
+    assert "truncation rate: 100.0" in [r.value for r in spark.read.text(path("k4") + "/report").collect()]
+    post = spark.createDataFrame(
+        [("f", "t" * 60, "body", 1, 0, "/p", 1)],
+        "forum string, title string, body string, score int, created_utc long, permalink string, position int",
+    )
+    jobs.collect_forum(post, post.withColumn("body", F.lit("c" * 50)), out=path("k6"))
+    assert spark.read.parquet(path("k6") + "/basic").columns == ["text", "source", "type", "score", "timestamp", "url"]
+    assert "reddit_f count: 2" in [r.value for r in spark.read.text(path("k6") + "/report").collect()]
+    scored = df.select(
+        "doc_id", F.lit("m").alias("model"), F.when(F.col("doc_id") < 30, "Reddit").otherwise("News").alias("domain"),
+        "text", "label", F.array(F.lit(0.5), (F.col("doc_id") % 2).cast("double")).alias("logits"),
+    )
+    jobs.evaluate_cross_domain(scored, out=path("k10"))
+    assert spark.read.json(path("k10") + "/results_summary").first().model == "m"
+    assert spark.read.parquet(path("k10") + "/predictions").count() == 60

@@ -1,10 +1,12 @@
 """Scoring and fitting."""
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from corpusloom.operators import learning as J
 from corpusloom.operators.metrics import overall
+from corpusloom.operators.ranking import best
 from corpusloom.plans import jobs
 from corpusloom.session import materialize
 
@@ -53,13 +55,28 @@ def test_select_keeps_first_best_and_is_patient(prepared):
     assert chosen.index == 0 and len(chosen.scores) == 3
 
 
-def test_adapt_and_compare(prepared):
-    df = prepared
-    base = J.fit_weighted(df.where("split = 'train'"), **OPTIONS)
-    models, scores = jobs.train_domains({"reddit": df.drop("label_id"), "news": df.drop("label_id")}, base=base, **OPTIONS)
+@pytest.mark.parametrize("kind", J.KINDS)
+def test_adapt_every_kind(prepared, kind):
+    options = {"features": 256} if kind == "bayes" else OPTIONS
+    base = J.fit_weighted(prepared.where("split = 'train'"), kind=kind, **options)
+    model = J.adapt(base, prepared.where("split = 'train'"), **OPTIONS)
+    out = J.apply_model(model, prepared.where("split = 'test'"))
+    assert overall(out, "label_id", "predicted_id").first().accuracy > 0.95
+
+
+def test_train_domains_adapts_compares_and_saves(prepared, tmp_path):
+    df = prepared.drop("label_id")
+    base = J.fit_weighted(prepared.where("split = 'train'"), **OPTIONS)
+    out = str(tmp_path / "out")
+    models, scores = jobs.train_domains({"reddit": df, "news": df}, base=base, out=out, **OPTIONS)
     got = scores.orderBy("domain_rank").collect()
     assert [r.Domain for r in got] == ["reddit", "news"] and all(r.Macro_F1 > 0.9 for r in got)
-    assert set(models) == {"reddit", "news"}
+    assert best(scores, "Macro_F1", "domain_rank").first().Domain == "reddit"  # equal scores: the first
+    again = PipelineModel.load(f"{out}/models/news")
+    test = prepared.where("split = 'test'")
+    a, b = (sorted((r.doc_id, r.predicted_id) for r in J.apply_model(m, test).collect()) for m in (again, models["news"]))
+    assert a == b
+    assert sorted(r.Domain for r in df.sparkSession.read.csv(f"{out}/comparison", header=True).collect()) == ["news", "reddit"]
 
 
 def test_score_runs_in_batches(spark):
