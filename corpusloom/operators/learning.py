@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.feature import IDF, HashingTF, NGram, RegexTokenizer, VectorAssembler
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from corpusloom.operators.aggregates import attach_weights
 from corpusloom.operators.metrics import overall
+from corpusloom.session import materialize
 
 KINDS = ("unigram", "ngram", "bayes")
 
@@ -31,6 +32,32 @@ def score(
     return df.withColumn(out, udf(*inputs))
 
 
+def _counting_stages(kind: str, text: str, features: int) -> tuple[list[Transformer], str]:
+    """Stages that need no fitting, from text to term counts, and the column the counts end up in."""
+    words = RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"[\s\x1c-\x1f]+")
+    counts = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=features)
+    if kind != "ngram":
+        return [words, counts], "_counts"
+    pairs = [
+        NGram(n=2, inputCol="_words", outputCol="_pairs"),
+        HashingTF(inputCol="_pairs", outputCol="_pair_counts", numFeatures=features),
+        VectorAssembler(inputCols=["_counts", "_pair_counts"], outputCol="_all_counts"),
+    ]
+    return [words, counts, *pairs], "_all_counts"
+
+
+def _fitted_stages(
+    kind: str, counts: str, label: str, weight: str | None, reg: float, iterations: int
+) -> list[Estimator]:
+    extra = {"weightCol": weight} if weight else {}
+    if kind == "bayes":
+        return [NaiveBayes(featuresCol=counts, labelCol=label, modelType="multinomial", **extra)]
+    return [
+        IDF(inputCol=counts, outputCol="_features"),
+        LogisticRegression(featuresCol="_features", labelCol=label, maxIter=iterations, regParam=reg, **extra),
+    ]
+
+
 def make_pipeline(
     kind: str = "unigram",
     text: str = "text",
@@ -43,32 +70,33 @@ def make_pipeline(
     """One of three interchangeable classifiers: word or word-pair logistic regression, or naive Bayes."""
     if kind not in KINDS:
         raise ValueError(f"kind must be one of {KINDS}")
-    extra = {"weightCol": weight} if weight else {}
-    words = RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"[\s\x1c-\x1f]+")
-    counts = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=features)
-    if kind == "bayes":
-        model = NaiveBayes(featuresCol="_counts", labelCol=label, modelType="multinomial", **extra)
-        return Pipeline(stages=[words, counts, model])
-    stages = [words, counts]
-    source = "_counts"
-    if kind == "ngram":
-        stages += [
-            NGram(n=2, inputCol="_words", outputCol="_pairs"),
-            HashingTF(inputCol="_pairs", outputCol="_pair_counts", numFeatures=features),
-            VectorAssembler(inputCols=["_counts", "_pair_counts"], outputCol="_all_counts"),
-        ]
-        source = "_all_counts"
-    stages.append(IDF(inputCol=source, outputCol="_features"))
-    stages.append(
-        LogisticRegression(featuresCol="_features", labelCol=label, maxIter=iterations, regParam=reg, **extra)
-    )
-    return Pipeline(stages=stages)
+    stages, counts = _counting_stages(kind, text, features)
+    return Pipeline(stages=[*stages, *_fitted_stages(kind, counts, label, weight, reg, iterations)])
 
 
-def fit_weighted(df: DataFrame, label: str = "label_id", kind: str = "unigram", **options) -> PipelineModel:
-    """Fit with balanced class weights on non-null text and label."""
+def _counted(df: DataFrame, kind: str, label: str, features: int) -> tuple[DataFrame, PipelineModel, str]:
+    """Weighted term counts of the usable rows, written once: fitting reads them several times, the text once."""
+    if kind not in KINDS:
+        raise ValueError(f"kind must be one of {KINDS}")
     usable = df.where(F.col("text").isNotNull() & F.col(label).isNotNull())
-    return make_pipeline(kind, label=label, **options).fit(attach_weights(usable, label))
+    stages, counts = _counting_stages(kind, "text", features)
+    counting = PipelineModel(stages)
+    rows = counting.transform(attach_weights(usable.select("text", label), label)).select(label, "weight", counts)
+    return materialize(rows, "counts"), counting, counts
+
+
+def fit_weighted(
+    df: DataFrame,
+    label: str = "label_id",
+    kind: str = "unigram",
+    features: int = 2**16,
+    reg: float = 0.01,
+    iterations: int = 20,
+) -> PipelineModel:
+    """Fit with balanced class weights on the rows with text and label."""
+    rows, counting, counts = _counted(df, kind, label, features)
+    fitted = Pipeline(stages=_fitted_stages(kind, counts, label, "weight", reg, iterations)).fit(rows)
+    return PipelineModel([*counting.stages, *fitted.stages])
 
 
 def apply_model(model: Transformer, df: DataFrame) -> DataFrame:
@@ -98,9 +126,16 @@ def select_model(
 
     Stops after ``patience`` candidates in a row without improvement.
     """
-    best, index, scores = None, -1, []
+    best, index, scores, seen = None, -1, [], {}
     for i, options in enumerate(grid):
-        model = fit_weighted(train, label, **options)
+        kind, features = options.get("kind", "unigram"), options.get("features", 2**16)
+        if (kind, features) not in seen:  # candidates over the same counts share one pass over the text
+            seen[kind, features] = _counted(train, kind, label, features)
+        rows, counting, counts = seen[kind, features]
+        stages = _fitted_stages(
+            kind, counts, label, "weight", options.get("reg", 0.01), options.get("iterations", 20)
+        )
+        model = PipelineModel([*counting.stages, *Pipeline(stages=stages).fit(rows).stages])
         predicted = apply_model(model, val)
         value = overall(predicted, label, "predicted_id").select("f1_macro").first()[0]
         scores.append(value)
@@ -129,9 +164,9 @@ def adapt(
     judge = base.stages[-1].copy()
     judge.setRawPredictionCol("_base_raw").setProbabilityCol("_base_probability").setPredictionCol("_base_prediction")
     first = PipelineModel([*base.stages[:-1], judge])
+    counting = HashingTF(inputCol="_words", outputCol="_own_counts", numFeatures=features)
     head = Pipeline(
         stages=[
-            HashingTF(inputCol="_words", outputCol="_own_counts", numFeatures=features),
             IDF(inputCol="_own_counts", outputCol="_own_features"),
             VectorAssembler(inputCols=["_own_features", "_base_probability"], outputCol="_adapted_features"),
             LogisticRegression(
@@ -139,6 +174,7 @@ def adapt(
             ),
         ]
     )
-    usable = df.where(F.col("text").isNotNull() & F.col(label).isNotNull())
-    fitted = head.fit(first.transform(attach_weights(usable, label)))
-    return PipelineModel([*first.stages, *fitted.stages])
+    usable = df.where(F.col("text").isNotNull() & F.col(label).isNotNull()).select("text", label)
+    rows = counting.transform(first.transform(attach_weights(usable, label)))
+    rows = materialize(rows.select(label, "weight", "_own_counts", "_base_probability"), "counts")
+    return PipelineModel([*first.stages, counting, *head.fit(rows).stages])
