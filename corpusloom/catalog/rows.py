@@ -65,9 +65,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     rows = C.encode_label(I.annotations(spark, sf), "label", labels=("literal", "metaphor"))
-    dropped = F.broadcast(C.invalid_count(rows).select("invalid", F.lit(1).alias("_one")))  # one row
-    kept = C.drop_invalid(rows).select("doc_id", "label_id", F.lit(1).alias("_one"))
-    return kept.join(dropped, "_one").drop("_one")
+    dropped = C.invalid_count(rows).select("invalid").scalar()
+    return C.drop_invalid(rows).select("doc_id", "label_id", dropped.alias("invalid"))
 
 
 @query(

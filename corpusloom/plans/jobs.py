@@ -230,6 +230,8 @@ def collect_forum(
     if out is not None:
         writers.write_basic_detailed(rows, out, ["text", "source", "type", "score", "timestamp", "url"])
         rows = posts.sparkSession.read.schema(rows.schema).parquet(f"{out}/detailed")
+    else:
+        rows = materialize(rows, "forum")  # at most ``limit`` rows per source; four statistics read them
     result = ForumCollection(
         rows=rows,
         summary=truncation_summary(rows),
