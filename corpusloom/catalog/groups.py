@@ -297,16 +297,16 @@ def _(spark, sf):
 _SAMPLES = (
     I.PREDICTIONS
     + """, samples AS (
-  SELECT binary_label, original_label, predicted_binary, doc_id,
+  SELECT model, domain, binary_label, original_label, predicted_binary, doc_id,
          CASE WHEN length(text) > 100 THEN substr(text, 1, 100) || '...' ELSE text END AS excerpt,
-         row_number() OVER (PARTITION BY binary_label, original_label ORDER BY doc_id)::INTEGER AS sample
-  FROM pred WHERE model = 'alpha' AND NOT correct QUALIFY sample <= 3)"""
+         row_number() OVER (PARTITION BY model, domain, binary_label, original_label ORDER BY doc_id)::INTEGER AS sample
+  FROM pred WHERE NOT correct QUALIFY sample <= 3)"""
 )
 
 
 @query("F5_error_samples", "WITH " + _SAMPLES + " SELECT * FROM samples")
 def _(spark, sf):
-    return R.error_samples(I.scored(spark, sf).where("model = 'alpha'"))
+    return R.error_samples(I.scored(spark, sf), by=BY)
 
 
 @query(

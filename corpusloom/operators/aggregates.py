@@ -156,7 +156,9 @@ def require_classes(df: DataFrame, label: str = "label", at_least: int = 2) -> D
     return df
 
 
-def dedupe_report(df: DataFrame, keys: Sequence[str] = ("text",), by: Sequence[str] = (), approximate: bool = False) -> DataFrame:
+def dedupe_report(
+    df: DataFrame, keys: Sequence[str] = ("text",), by: Sequence[str] = (), approximate: bool = False
+) -> DataFrame:
     """Rows before and after keeping one per key; null keys count as equal."""
     key = F.struct(*keys)
     kept = F.approx_count_distinct(key, 0.01) if approximate else F.count_distinct(key)

@@ -22,7 +22,9 @@ INSTRUCTION = (
 )
 
 
-def build_prompts(df: DataFrame, batch: str = "batch_id", pos: str = "pos", text: str = "text", instruction: str = INSTRUCTION) -> DataFrame:
+def build_prompts(
+    df: DataFrame, batch: str = "batch_id", pos: str = "pos", text: str = "text", instruction: str = INSTRUCTION
+) -> DataFrame:
     """``(batch_id, n_texts, prompt)``: the instruction and the batch's texts, numbered from 1.
 
     A group is one batch, so what is collected is bounded by the batch size.
@@ -66,7 +68,9 @@ def parse_answers(df: DataFrame, json_col: str = "response") -> DataFrame:
     return df.withColumn("answers", parsed_answers(json_col))
 
 
-def annotation_requests(df: DataFrame, done: DataFrame | None = None, key: str = "row_id", size: int = 10, width: int = 2000) -> DataFrame:
+def annotation_requests(
+    df: DataFrame, done: DataFrame | None = None, key: str = "row_id", size: int = 10, width: int = 2000
+) -> DataFrame:
     """Rows still to annotate: ``key, batch_id, pos, n_texts, text, original_sentiment``.
 
     Batches are cut before blank texts are skipped, so a batch may hold fewer texts than ``size`` and an

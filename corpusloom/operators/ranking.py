@@ -50,12 +50,15 @@ def order_by_helpfulness(df: DataFrame) -> DataFrame:
     return df.orderBy("movie_id", F.desc("upvotes"), "page", "pos")
 
 
-def error_samples(df: DataFrame, n: int = 3, key: str = "doc_id", text: str = "text", width: int = 100) -> DataFrame:
+def error_samples(
+    df: DataFrame, n: int = 3, key: str = "doc_id", text: str = "text", width: int = 100, by: Sequence[str] = ()
+) -> DataFrame:
     """The first ``n`` wrong rows per true and original label, with the text cut to ``width`` characters."""
+    labels = ["binary_label", "original_label"]
     wrong = df.where(~F.col("correct")).select(
-        "binary_label", "original_label", "predicted_binary", key, ellipsize(text, width).alias("excerpt")
+        *by, *labels, "predicted_binary", key, ellipsize(text, width).alias("excerpt")
     )
-    return cap_per_group(wrong, ["binary_label", "original_label"], key, n, rank="sample")
+    return cap_per_group(wrong, [*by, *labels], key, n, rank="sample")
 
 
 def assign_batches(df: DataFrame, key: str = "row_id", size: int = 10) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions.normalize import format_date
+from corpusloom.functions.normalize import format_date, parse_date
 from corpusloom.functions.text import CONTENT_LIMIT, head_tail, length_bin
 from corpusloom.operators import metrics as M
 from corpusloom.operators.aggregates import (
@@ -171,7 +171,7 @@ def collect_news(
     articles = extract_article(pages) if date == "publish_date" else extract_article(pages).drop("publish_date")
     winners = url_title_winners(articles, key)
     kept = min_length(recent(keep_language(articles, "meta_lang", language), date, as_of), "text", min_chars)
-    day = F.col(date) if dict(kept.dtypes)[date] == "timestamp" else F.split_part(F.col(date), F.lit("T"), F.lit(1)).cast("timestamp")
+    day = parse_date(date) if dict(kept.dtypes)[date] == "string" else F.col(date)
     rows = kept.join(winners, key, "left_semi").select(
         key,
         "source",
@@ -213,7 +213,8 @@ def collect_forum(
     if query:
         post_rows = search(post_rows, query)
     post_rows = min_length(limit_per_source(post_rows, limit, order), "text", min_chars, strip_first=True)
-    comment_rows = min_length(limit_per_source(to_comment_rows(comments, tuple(order)), limit, order), "text", min_chars)
+    comment_rows = limit_per_source(to_comment_rows(comments, tuple(order)), limit, order)
+    comment_rows = min_length(comment_rows, "text", min_chars)
     both = with_truncation_record(union_sources([post_rows, comment_rows]), "text", token_limit, "_r", tokenizer)
     rows = both.where(F.col("_r").isNotNull()).select(
         "_r.text",
@@ -315,6 +316,7 @@ class CrossDomain:
     confusion: DataFrame
     breakdown: DataFrame
     errors: DataFrame
+    samples: DataFrame
     comparison: DataFrame
     grid: DataFrame
 
@@ -341,6 +343,7 @@ def evaluate_cross_domain(
         confusion=M.confusion(cells, labels=BINARY_LABELS, **names),
         breakdown=M.breakdown(cells, by, n="n"),
         errors=M.error_rates(cells, by, n="n"),
+        samples=error_samples(scored, by=by),
         comparison=M.compare_domains(metrics, first, second),
         grid=M.model_grid(metrics, domains),
     )
@@ -351,11 +354,6 @@ def evaluate_cross_domain(
     return result
 
 
-def cross_domain_samples(scored: DataFrame, n: int = 3) -> DataFrame:
-    """The first errors of one model on one domain, per true and original label."""
-    return error_samples(scored, n)
-
-
 def train_domains(
     domains: dict[str, DataFrame],
     kind: str = "unigram",

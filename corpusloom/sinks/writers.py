@@ -30,7 +30,9 @@ def _write(df: DataFrame, path: str, fmt: str, mode: str = "errorifexists", part
     writer.save(path)
 
 
-def write_splits(df: DataFrame, path: str, label: str = "binary_label", fmt: str = "csv", mode: str = "errorifexists") -> None:
+def write_splits(
+    df: DataFrame, path: str, label: str = "binary_label", fmt: str = "csv", mode: str = "errorifexists"
+) -> None:
     """``(text, label)`` in one folder per split."""
     _write(df.select("text", F.col(label).alias("label"), "split"), path, fmt, mode, ["split"])
 

@@ -82,6 +82,12 @@ def page_text(html: Column | str) -> Column:
     return strip(F.regexp_replace(body, rf"(?U){WHITESPACE_CLASS}+", " "))
 
 
+_PUBLISHED = (
+    r"""(?is)<meta[^>]*(?:property|name)=["'](?:article:published_time|date)["']"""
+    r"""[^>]*content=["']([^"']*)["']"""
+)
+
+
 def page_title(html: Column | str) -> Column:
     """Text of the title element, unescaped and stripped; null when there is none."""
     found = F.nullif(F.regexp_extract(col(html), r"(?is)<title[^>]*>(.*?)</title>", 1), F.lit(""))
@@ -97,9 +103,7 @@ def extract_article(df: DataFrame, html_col: str = "html") -> DataFrame:
             "title": page_title(html),
             "meta_lang": found(r"""(?is)<html[^>]*\blang=["']([^"']*)["']"""),
             "text": F.nullif(page_text(html), F.lit("")),
-            "publish_date": found(
-                r"""(?is)<meta[^>]*(?:property|name)=["'](?:article:published_time|date)["'][^>]*content=["']([^"']*)["']"""
-            ),
+            "publish_date": found(_PUBLISHED),
         }
     )
 
