@@ -285,7 +285,7 @@ def evaluate(
 ) -> dict[str, DataFrame]:
     """All frames of a single-domain evaluation, by the names of their files; written to ``out``."""
     scored = attach_predictions(df, logits, true, labels).withColumnRenamed("predicted_binary", "pred_label")
-    cells = scored.groupBy(F.col(true).alias("true_label"), "pred_label").agg(F.count("*").alias("n"))
+    cells = materialize(M.outcome_counts(scored, true, "pred_label"), "outcomes")  # a few rows for four frames
     names = {"true": "true_label", "pred": "pred_label", "n": "n"}
     order = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("class"))
     classes = M.per_class(cells, **names).where(F.col("support") > 0)

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom import schemas
 from corpusloom.operators.aggregates import length_stats
+from corpusloom.operators.sets import union_sources
 
 # Field contents that mean "missing" in the source data's tools, besides the empty field.
 MISSING = (
@@ -104,24 +105,35 @@ def read_tolerant(spark: SparkSession, path: str, schema: str, fmt: str = "csv",
     )
 
 
+def list_files(spark: SparkSession, pattern: str) -> dict[str, str]:
+    """The files a glob matches, by name, in order."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or []
+    paths = [status.getPath() for status in found]
+    return {p.getName(): p.toString() for p in sorted(paths, key=lambda p: p.toString())}
+
+
 def scan_texts(spark: SparkSession, files: dict[str, str]) -> DataFrame:
-    """``(input_name, text)`` over several files; a file without a ``text`` column is skipped.
+    """``(input_name, text)`` over several files; a file that cannot be read or has no ``text`` is skipped.
 
     Only each file's header (or Parquet footer) is looked at on the driver.
     """
     frames = []
     for name, path in files.items():
-        if path.rstrip("/").endswith(".parquet"):
-            df = spark.read.parquet(path)
-        else:
-            df = spark.read.options(**_CSV).csv(path)
+        reader = spark.read.option("ignoreCorruptFiles", True)
+        try:
+            df = reader.parquet(path) if path.rstrip("/").endswith(".parquet") else reader.options(**_CSV).csv(path)
+        except PySparkException:
+            continue
         if "text" in df.columns:
             frames.append(df.select(F.lit(name).alias("input_name"), F.col("text").cast("string")))
     if not frames:
         raise ValueError("no input has a text column")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return union_sources(frames)
 
 
-def profile_files(spark: SparkSession, files: dict[str, str], limit: int = 510) -> DataFrame:
-    """Length profile of every readable input, one row each."""
-    return length_stats(scan_texts(spark, files), "text", limit, by=["input_name"])
+def profile_files(spark: SparkSession, files: str | dict[str, str], limit: int = 510) -> DataFrame:
+    """Length profile of every readable input, one row each. ``files`` is a glob, or paths by name."""
+    named = list_files(spark, files) if isinstance(files, str) else files
+    return length_stats(scan_texts(spark, named), "text", limit, by=["input_name"])

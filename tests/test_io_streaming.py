@@ -80,6 +80,9 @@ def test_profile_skips_files_without_text(spark, tmp_path):
     write(str(tmp_path / "b.csv"), "title\nno\n")
     got = files.profile_files(spark, {"a": str(tmp_path / "a.csv"), "b": str(tmp_path / "b.csv")}).collect()
     assert [(r.input_name, r.tokens_max) for r in got] == [("a", 2)]
+    write(str(tmp_path / "c.parquet"), "not parquet")
+    got = files.profile_files(spark, str(tmp_path / "*.*")).collect()
+    assert [(r.input_name, r.tokens_max) for r in got] == [("a.csv", 2)]
 
 
 def test_append_annotations_is_idempotent(spark, tmp_path):
