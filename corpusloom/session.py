@@ -43,15 +43,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused folder below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new, unused folder below the shared folder.
+
+    All of an application's scratch lies in one folder, which its file system removes when the driver ends.
+    """
+    context = spark.sparkContext
+    run = f"{shared_dir(spark)}/corpusloom-{context.applicationId}"
+    path = context._jvm.org.apache.hadoop.fs.Path(run)
+    fs = path.getFileSystem(context._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return f"{run}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write the frame once to the shared folder and read it back.
 
     For a frame several later passes read: each pass scans only its own columns, and a lost executor
-    recomputes nothing before this point.
+    recomputes nothing before this point. The copy lives as long as the application.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
