@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.operators.aggregates import attach_weights
+from corpusloom.operators.aggregates import class_weights
 from corpusloom.operators.metrics import overall
 from corpusloom.session import materialize
 
@@ -74,6 +74,13 @@ def make_pipeline(
     return Pipeline(stages=[*stages, *_fitted_stages(kind, counts, label, weight, reg, iterations)])
 
 
+def _weighted(rows: DataFrame, label: str) -> DataFrame:
+    """Add balanced class weights as literals; the classes are few, their weights are looked up once per fit."""
+    weights = class_weights(rows, label).select(label, "weight").collect()
+    pairs = [F.lit(v) for row in weights for v in row]
+    return rows.withColumn("weight", F.try_element_at(F.create_map(*pairs), F.col(label)))
+
+
 def _counted(df: DataFrame, kind: str, label: str, features: int) -> tuple[DataFrame, PipelineModel, str]:
     """Weighted term counts of the usable rows, written once: fitting reads them several times, the text once."""
     if kind not in KINDS:
@@ -81,8 +88,8 @@ def _counted(df: DataFrame, kind: str, label: str, features: int) -> tuple[DataF
     usable = df.where(F.col("text").isNotNull() & F.col(label).isNotNull())
     stages, counts = _counting_stages(kind, "text", features)
     counting = PipelineModel(stages)
-    rows = counting.transform(attach_weights(usable.select("text", label), label)).select(label, "weight", counts)
-    return materialize(rows, "counts"), counting, counts
+    rows = materialize(counting.transform(usable.select("text", label)).select(label, counts), "counts")
+    return _weighted(rows, label), counting, counts
 
 
 def fit_weighted(
@@ -175,6 +182,6 @@ def adapt(
         ]
     )
     usable = df.where(F.col("text").isNotNull() & F.col(label).isNotNull()).select("text", label)
-    rows = counting.transform(first.transform(attach_weights(usable, label)))
-    rows = materialize(rows.select(label, "weight", "_own_counts", "_base_probability"), "counts")
+    rows = counting.transform(first.transform(usable)).select(label, "_own_counts", "_base_probability")
+    rows = _weighted(materialize(rows, "counts"), label)
     return PipelineModel([*first.stages, counting, *head.fit(rows).stages])
