@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,18 +27,14 @@ def local_session(cores: int | str = 8, app: str = "corpusloom", memory: str = "
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, taken from ``spark.checkpoint.dir``.
 
-    Where the setting is absent a temporary folder is used, but only by a local master, which has no
-    other machines; a cluster without the setting is an error rather than a machine-local folder.
+    Where the setting is absent, as in tests, a folder in the warehouse is set, which is shared as well.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    path = tempfile.mkdtemp(prefix="corpusloom-")
-    context.setCheckpointDir(path)
-    return context.getCheckpointDir().rstrip("/")
+    if not configured:
+        context.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch")
+        configured = context.getCheckpointDir()
+    return configured.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
