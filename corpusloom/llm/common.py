@@ -136,17 +136,15 @@ def anchor_rows(values: np.ndarray, window: int, size: int) -> tuple[np.ndarray,
     n, reach = len(values), window - size
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for start in range(0, max(n - window + 1, 0), PIECE):
-        low, high = max(0, start - reach), min(n, start + PIECE + 2 * window)
-        part = values[low:high]
-        grams, context = GRAM.prefix(part), CONTEXT.prefix(part)
-        own = part[start - low : start - low + PIECE + window - 1]
-        hashes = GRAM.grams(GRAM.prefix(own), size)
+        low = max(0, start - reach)
+        part = values[low : start + PIECE + 2 * window]
+        hashes = GRAM.grams(GRAM.prefix(part), size)[start - low :][: PIECE + reach]
         at = anchors(hashes, reach + 1)
         place = at + (start - low)
         left, right = np.maximum(place - reach, 0), np.minimum(place + window, len(part))
-        del grams
         shape = ((place - left) * (window + 1) + right - place).astype(np.uint64)
-        found.append((at + start, hashes[at], CONTEXT.slices(context, left, right) ^ mix(shape + np.uint64(1))))
+        context = CONTEXT.slices(CONTEXT.prefix(part), left, right) ^ mix(shape + np.uint64(1))
+        found.append((at + start, hashes[at], context))
     if not found:
         empty = np.zeros(0, np.int64)
         return empty, empty.astype(np.uint64), empty.astype(np.uint64)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe
+from corpusloom.llm import bpe, doubling, suffixes
 from corpusloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,25 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def _n_removed():
+    return F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["e"] - s["s"]).alias("n_removed")
+
+
+@query("op2_suffix_dedup")
+def _(spark, sf):
+    rows = suffixes.remove_repeats(table(spark, sf, "documents"), "doc_id", "text")
+    return rows.select(
+        "doc_id", "n_bytes", _n_removed(), F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+@query("op8_word_windows")
+def _(spark, sf):
+    rows = doubling.remove_repeats(table(spark, sf, "documents"), "doc_id", "text")
+    return rows.select("doc_id", "n_words", _n_removed(), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def bpe_digests(docs: DataFrame) -> DataFrame:
     """Token counts and digests of the ids and of the decoded text."""
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
