@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, doubling, suffixes, winnowing
+from corpusloom.llm import bpe, doubling, minhash, suffixes, winnowing
 from corpusloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,25 @@ def _(spark, sf):
     )
 
 
+@query(
+    "op3_minmax_hash",
+    """WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+common AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT u, v FROM common JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * c >= 80 * (a.n + b.n - c)),
+both_ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach AS (SELECT doc_id AS id, doc_id AS r FROM documents UNION SELECT reach.id, both_ways.v FROM reach JOIN both_ways ON reach.r = both_ways.u),
+least_id AS (SELECT id, min(r) AS c FROM reach GROUP BY 1)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c AS component_id, c = doc_id AS kept
+FROM documents JOIN least_id ON doc_id = id LEFT JOIN n USING (doc_id)""",
+)
+def _(spark, sf):
+    return minhash.near_duplicates(table(spark, sf, "documents"), "doc_id", "text")
+
+
 @query("op8_word_windows")
 def _(spark, sf):
     rows = doubling.remove_repeats(table(spark, sf, "documents"), "doc_id", "text")
