@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, doubling, minhash, suffixes, winnowing
+from corpusloom.llm import bpe, doubling, minhash, quantised, suffixes, winnowing
 from corpusloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,23 @@ def _n_removed():
     return F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["e"] - s["s"]).alias("n_removed")
 
 
+@query(
+    "op1_quantised_tiles",
+    """WITH RECURSIVE e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND NOT list_contains(list_transform(embedding, lambda x: coalesce(NOT isfinite(x), true)), true)
+    AND list_contains(list_transform(embedding, lambda x: x <> 0), true)),
+links AS (SELECT a.vec_id AS u, b.vec_id AS v FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.95),
+reach AS (SELECT vec_id AS id, vec_id AS r FROM embeddings UNION SELECT reach.id, links.v FROM reach JOIN links ON reach.r = links.u),
+least_id AS (SELECT id, min(r) AS c FROM reach GROUP BY 1),
+n AS (SELECT u, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, c AS component_id, c = vec_id AS kept
+FROM embeddings JOIN least_id ON vec_id = id LEFT JOIN n ON n.u = vec_id""",
+)
+def _(spark, sf):
+    return quantised.near_vectors(table(spark, sf, "embeddings"), "vec_id", "embedding")
+
+
 @query("op2_suffix_dedup")
 def _(spark, sf):
     rows = suffixes.remove_repeats(table(spark, sf, "documents"), "doc_id", "text")
