@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, doubling, minhash, quantised, suffixes, winnowing
+from corpusloom.llm import bpe, doubling, minhash, packing, quantised, suffixes, toxicity, urls, winnowing
 from corpusloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,46 @@ def _(spark, sf):
     return minhash.near_duplicates(table(spark, sf, "documents"), "doc_id", "text")
 
 
+RULES = (
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
+    ("block", "net/fr/"),
+)
+
+
+@query("op4_url_trees")
+def _(spark, sf):
+    return urls.judge(table(spark, sf, "pages"), "page_id", "url", RULES)
+
+
+def _is_held_out(key: str = "doc_id"):
+    return F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    return toxicity.learn(docs, labels, "doc_id", "text", "toxic", ~_is_held_out())
+
+
+def is_toxic():
+    return F.col("score") >= 0.3
+
+
+@query("op5_string_kernel")
+def _(spark, sf):
+    docs = table(spark, sf, "documents")
+    rows = toxicity.toxicity(docs, "doc_id", "text", toxicity_model(docs, table(spark, sf, "labels")))
+    held_out = F.coalesce(_is_held_out(), F.lit(False))
+    return rows.select("doc_id", held_out.alias("held_out"), "score", is_toxic().cast("int").alias("predicted"))
+
+
+@query("op7_vector_packing")
+def _(spark, sf):
+    rows = packing.shard(table(spark, sf, "documents"), "doc_id", "text")
+    return rows.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "tokens",
+    )
+
+
 @query("op8_word_windows")
 def _(spark, sf):
     rows = doubling.remove_repeats(table(spark, sf, "documents"), "doc_id", "text")
