@@ -56,8 +56,18 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write the frame once to the shared folder and read it back.
 
     For a frame several later passes read: each pass scans only its own columns, and a lost executor
-    recomputes nothing before this point. The copy lives as long as the application.
+    recomputes nothing before this point. The copy lives until ``discard`` or the end of the application.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept._scratch = path
+    return kept
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the copies behind frames that ``materialize`` returned and nothing reads any more."""
+    for df in frames:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
