@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, doubling, minhash, packing, quantised, suffixes, toxicity, urls, winnowing
-from corpusloom.llm.common import table
+from corpusloom.llm import bpe, doubling, minhash, packing, quantised, secrets, suffixes, toxicity, urls, winnowing
+from corpusloom.llm.common import id_or_null, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -106,6 +106,15 @@ def _(spark, sf):
     return rows.select("doc_id", held_out.alias("held_out"), "score", is_toxic().cast("int").alias("predicted"))
 
 
+@query("op6_secret_forest")
+def _(spark, sf):
+    rows = secrets.scan(table(spark, sf, "documents"), "doc_id", "text")
+    return rows.select(
+        id_or_null(F.col("id")).alias("doc_id"), F.col("s").alias("start"), F.col("e").alias("end"), "kind", "name",
+        "score", "secret",
+    )
+
+
 @query("op7_vector_packing")
 def _(spark, sf):
     rows = packing.shard(table(spark, sf, "documents"), "doc_id", "text")
