@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import GRAM, anchor_rows, as_long
-from corpusloom.session import materialize
+from corpusloom.session import discard, materialize
 
 #: From a text's bytes to its items: the values that are hashed.
 Items = Callable[[bytes], np.ndarray]
@@ -55,13 +55,18 @@ def find_anchors(docs: DataFrame, items: Callable[[], Items], window: int, size:
 def repeated(found: DataFrame) -> DataFrame:
     """The anchors whose hash occurs twice at least, with the first document (``first``) and, in ``one``, whether all
     their contexts are equal. Written once: later steps read it several times."""
-    grams = (
+    found = materialize(found, "found")
+    # written too, so that the join deals out both sides anew and Spark can split a hash with very many rows
+    grams = materialize(
         found.groupBy("gram")
         .agg(F.count("*").alias("n"), F.min("ctx").alias("lo"), F.max("ctx").alias("hi"), F.min("id").alias("first"))
         .where("n > 1")
-        .select("gram", (F.col("lo") == F.col("hi")).alias("one"), "first")
+        .select("gram", (F.col("lo") == F.col("hi")).alias("one"), "first"),
+        "grams",
     )
-    return materialize(found.join(grams, "gram"), "anchors")
+    anchors = materialize(found.join(grams, "gram"), "anchors")
+    discard(found, grams)
+    return anchors
 
 
 def classes(anchors: DataFrame) -> DataFrame:
@@ -72,7 +77,9 @@ def classes(anchors: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("n"), F.min(F.struct("id", "tag", "pos")).alias("rep"))
         .select("gram", "ctx", "n", "rep.*")
     )
-    return materialize(own.join(own.groupBy("gram").agg(F.count("*").alias("n_classes")), "gram"), "classes")
+    own = materialize(own, "own")
+    numbers = materialize(own.groupBy("gram").agg(F.count("*").alias("n_classes")), "numbers")
+    return materialize(own.join(numbers, "gram"), "classes")
 
 
 def with_text(reps: DataFrame, docs: DataFrame, *fields: str) -> DataFrame:
