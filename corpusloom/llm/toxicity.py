@@ -97,7 +97,8 @@ class Model:
         return np.bincount(which, weight * self.table[key], minlength=len(words)) + self.offset
 
     def texts(self, texts: list[str | None], known: dict[str, float]) -> np.ndarray:
-        """Highest and second highest word score of each text; ``known`` remembers scores of units."""
+        """Highest and second highest word score of each text (a text of one word has it twice); ``known`` remembers
+        scores of units."""
         of = [units(t or "") for t in texts]
         new = list({u for us in of for u in us if u not in known})
         if len(known) + len(new) > REMEMBERED:
@@ -110,7 +111,7 @@ class Model:
         for row, us in zip(out, of, strict=True):
             if us:
                 scores = sorted(map(known.__getitem__, us))[-2:]
-                row[: len(scores)] = scores[::-1]
+                row[:] = scores[-1], scores[0]
         return np.clip(out, -2, 4)
 
     def score(self, top: np.ndarray) -> np.ndarray:
