@@ -44,9 +44,9 @@ def _grams(values: str, size: int) -> Column:
     return F.when(F.size(values) >= size, hashes).otherwise(F.array().cast("array<bigint>"))
 
 
-def fingerprints(df: DataFrame, text: str, *keep: str) -> DataFrame:
+def fingerprints(hashed: DataFrame, *keep: str) -> DataFrame:
     """``keep``, the number of words ``n`` and the distinct winnowed hashes ``prints`` of texts of a window at least."""
-    grams = _hashes(df, text, *keep).select(*keep, "n", _grams("h", GRAM).alias("g"))
+    grams = hashed.select(*keep, "n", _grams("h", GRAM).alias("g"))
     places = F.sequence(F.lit(1), F.size("g") - SPAN + 1)
     least = F.array_distinct(F.transform(places, lambda i: F.array_min(F.slice("g", i, SPAN))))
     none = F.array().cast("array<bigint>")
@@ -92,8 +92,8 @@ def contamination(
     )
     keys = _small(tests_by_hash.select("hash", "len").distinct())
 
-    prints = fingerprints(tests, "_text").select(F.explode("prints").alias("print")).distinct()
-    exploded = fingerprints(rows, "_text", "id", "tag").select("id", "tag", "n", F.explode_outer("prints").alias("print"))
+    prints = fingerprints(sizes).select(F.explode("prints").alias("print")).distinct()
+    exploded = fingerprints(_hashes(rows, "_text", "id", "tag"), "id", "tag").select("id", "tag", "n", F.explode_outer("prints").alias("print"))
     met = exploded.join(_small(prints.withColumn("met", F.lit(True))), "print", "left")
     # a task holds all rows of a document, so this collapses before the shuffle
     counted = materialize(
