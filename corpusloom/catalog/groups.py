@@ -120,7 +120,7 @@ def _(spark, sf):
 
 @query(
     "E9_overall_ten_classes",
-    r"""WITH v AS (SELECT label AS t, (list_position(embedding[1:10], list_max(embedding[1:10])) - 1)::INTEGER AS p FROM embeddings),
+    r"""WITH v AS (SELECT label AS t, (list_position(embedding, list_max(embedding)) - 1)::INTEGER AS p FROM embeddings),
 k AS (SELECT t AS class FROM v UNION SELECT p FROM v),
 c AS (SELECT class, count(*) FILTER (t = class AND p = class) AS tp, count(*) FILTER (t = class) AS s,
              count(*) FILTER (p = class) AS q FROM v, k GROUP BY class),
@@ -133,7 +133,7 @@ SELECT round(sum(tp) / sum(s)::DOUBLE, 6) AS accuracy, round(avg(f1), 6) AS f1_m
 def _(spark, sf):
     from corpusloom.functions.scores import argmax
 
-    rows = I.table(spark, sf, "embeddings").withColumn("pred", argmax(F.slice("embedding", 1, 10)))
+    rows = I.table(spark, sf, "embeddings").withColumn("pred", argmax("embedding"))
     return rounded(M.overall(rows, "label", "pred"))
 
 

@@ -228,7 +228,7 @@ def forum(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     rows = table(spark, sf, "conversations").select(
         "conv_id",
         "turn",
-        F.col("role").alias("forum"),
+        F.concat_ws("_", "role", F.floor(F.col("conv_id") / 50).cast("bigint")).alias("forum"),  # more with more rows
         F.substring("text", 1, 40).alias("title"),
         F.substring("text", 41, 1_000_000_000).alias("post_body"),
         F.col("text").alias("comment_body"),
@@ -246,7 +246,7 @@ FORUM = r"""frows AS (
          CASE WHEN turn > 0 THEN text
               WHEN substr(text, 41) = '' THEN substr(text, 1, 40)
               ELSE substr(text, 1, 40) || ' ' || substr(text, 41) END AS text,
-         'reddit_' || role AS source, CASE WHEN turn = 0 THEN 'post' ELSE 'comment' END AS type,
+         'reddit_' || role || '_' || (conv_id // 50) AS source, CASE WHEN turn = 0 THEN 'post' ELSE 'comment' END AS type,
          conv_id % 100 AS score, make_timestamp((1700000000 + conv_id * 60 + turn) * 1000000) AS timestamp,
          'https://reddit.com/r/' || role || '/' || conv_id || '/' || turn AS url
   FROM conversations)"""
@@ -311,7 +311,7 @@ def responses(requests: DataFrame) -> DataFrame:
         (F.col("row_id") % 6 == 1).alias("is_literal"),
         F.when(F.col("row_id") % 4 != 1, F.concat(F.lit("r"), F.col("row_id"))).alias("reasoning"),
     )
-    batches = requests.groupBy("batch_id").agg(  # a group is one batch
+    batches = requests.groupBy("batch_id", "request_id").agg(  # a group is one batch
         F.transform(F.array_sort(F.collect_list(F.struct("pos", answer.alias("a")))), lambda x: x["a"]).alias("all")
     )
     kind = F.col("batch_id") % 7
@@ -321,7 +321,7 @@ def responses(requests: DataFrame) -> DataFrame:
         .when(kind == 6, F.to_json(F.element_at("all", 1)))
         .otherwise(F.to_json("all"))
     )
-    return batches.select("batch_id", body.alias("response"))
+    return batches.select("batch_id", "request_id", body.alias("response"))
 
 
 def _requests_sql(condition: str) -> str:

@@ -334,10 +334,10 @@ def _(spark, sf):
 
 @query(
     "I9_normalize_title",
-    r"SELECT doc_id, lower(trim(coalesce(CASE WHEN doc_id % 5 <> 0 THEN '  ' || substr(text, 1, 60) END, ''), E' \n\r\t')) AS title_key FROM documents",
+    r"SELECT doc_id, lower(trim(coalesce(CASE WHEN doc_id % 5 <> 0 THEN '  ' || text END, ''), E' \n\r\t')) AS title_key FROM documents",
 )
 def _(spark, sf):
-    title = F.when(F.col("doc_id") % 5 != 0, F.concat(F.lit("  "), F.substring("text", 1, 60)))
+    title = F.when(F.col("doc_id") % 5 != 0, F.concat(F.lit("  "), F.col("text")))
     return I.documents(spark, sf).select("doc_id", N.normalize_title(title).alias("title_key"))
 
 
@@ -364,17 +364,17 @@ def _(spark, sf):
     return I.table(spark, sf, "events").select("event_id", N.age_days("ts", "2024-01-20 00:00:00").alias("age"))
 
 
-_LOGITS = """v AS (SELECT vec_id, label, list_transform(embedding[1:10], lambda x: x::DOUBLE) AS a FROM embeddings),
+_LOGITS = """v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS a FROM embeddings),
 e AS (SELECT *, list_transform(a, lambda x: exp(x - list_max(a))) AS ex FROM v)"""
 
 
 def _vectors(spark, sf):
-    return I.table(spark, sf, "embeddings").select("vec_id", "label", F.slice("embedding", 1, 10).alias("logits"))
+    return I.table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").alias("logits"))
 
 
 @query(
     "I12_softmax",
-    "WITH " + _LOGITS + " SELECT vec_id, unnest(range(1, 11))::INTEGER AS k, round(unnest(list_transform(ex, lambda x: x / list_sum(ex))), 6) AS p FROM e",
+    "WITH " + _LOGITS + " SELECT vec_id, unnest(range(1, len(a) + 1))::INTEGER AS k, round(unnest(list_transform(ex, lambda x: x / list_sum(ex))), 6) AS p FROM e",
 )
 def _(spark, sf):
     probs = _vectors(spark, sf).select("vec_id", F.posexplode(P.softmax("logits")).alias("k", "p"))
@@ -383,7 +383,7 @@ def _(spark, sf):
 
 @query("I13_argmax_label", "WITH " + _LOGITS + " SELECT vec_id, 'c' || (list_position(a, list_max(a)) - 1) AS label FROM v")
 def _(spark, sf):
-    return _vectors(spark, sf).select("vec_id", P.argmax_label("logits", [f"c{i}" for i in range(10)]).alias("label"))
+    return _vectors(spark, sf).select("vec_id", P.argmax_label("logits", [f"c{i}" for i in range(64)]).alias("label"))
 
 
 @query("I14_confidence", "WITH " + _LOGITS + " SELECT vec_id, round(1 / list_sum(ex), 6) AS confidence FROM e")

@@ -9,6 +9,7 @@ from corpusloom.catalog.registry import query
 from corpusloom.operators import metrics as M
 from corpusloom.operators.aggregates import truncation_summary
 from corpusloom.operators.filters import to_binary
+from corpusloom.operators.joins import split_leakage
 from corpusloom.operators.long_texts import shorten
 from corpusloom.operators.sets import union_sources
 from corpusloom.operators.split import split_60_20_20
@@ -243,6 +244,16 @@ def split_rows(spark, sf):
     return split_60_20_20(to_binary(I.annotations(spark, sf)), "binary_label")
 
 
+@query(
+    "D6_split_leakage",
+    "WITH "
+    + SPLIT_60_20_20
+    + " SELECT doc_id, split FROM split WHERE text IN (SELECT text FROM split GROUP BY text HAVING count(DISTINCT split) > 1)",
+)
+def _(spark, sf):
+    return split_leakage(split_rows(spark, sf)).select("doc_id", "split")
+
+
 @query("B1_write_splits", "WITH " + SPLIT_60_20_20 + " SELECT text, binary_label AS label, split FROM split")
 def _(spark, sf):
     path = scratch_path(spark, "splits")
@@ -331,14 +342,14 @@ def _(spark, sf):
     + I.TOKENS.format("text")
     + """ AS tk FROM documents),
 s AS (SELECT count(*) AS n, count(*) FILTER (tk > 510) AS cut, avg(tk) AS mean FROM t)
-SELECT unnest(['TEXT LENGTH PROCESSING STATISTICS', 'total: ' || n, 'truncated: ' || cut,
+SELECT unnest(['Shortened texts', 'total: ' || n, 'truncated: ' || cut,
   'truncation rate: ' || format('{:.1f}', cut * 100.0 / n), 'mean original tokens: ' || format('{:.1f}', mean)]) AS line FROM s""",
 )
 def _(spark, sf):
     path = scratch_path(spark, "report")
     rows = shorten(I.documents(spark, sf)).withColumn("final_tokens", F.col("token_count"))
     stats = truncation_summary(rows).select("total", "truncated", "truncation_rate", "mean_original_tokens")
-    writers.write_report([("TEXT LENGTH PROCESSING STATISTICS", stats, None)], path)
+    writers.write_report([("Shortened texts", stats, None)], path)
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 

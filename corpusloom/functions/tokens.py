@@ -6,7 +6,6 @@ Whitespace means what ``str.split()`` means: the Unicode White_Space property pl
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -115,31 +114,6 @@ def tokenizer_udf(fn: Callable[[str], list[str]], glue: str = "") -> FunctionTok
     return FunctionTokenizer(lambda: fn, glue)
 
 
-@lru_cache(maxsize=4)
-def _load_subwords(path: str) -> Callable[[str], list[str]]:
-    from tokenizers import Tokenizer  # optional dependency, needed in the workers only
-
-    tokenizer = Tokenizer.from_file(path)
-
-    def pieces(text: str) -> list[str]:
-        """The text cut at the token ends: one piece per token, together the whole text."""
-        ends = [end for _, end in tokenizer.encode(text, add_special_tokens=False).offsets]
-        out, start = [], 0
-        for end in ends:
-            out.append(text[start:end])
-            start = max(start, end)
-        if out:
-            out[-1] += text[start:]
-        return out
-
-    return pieces
-
-
-def subword_tokenizer(path: str) -> FunctionTokenizer:
-    """Sub-word tokens of a ``tokenizer.json`` that every worker can read under ``path``."""
-    return FunctionTokenizer(lambda: _load_subwords(path))
-
-
 def fit_prefix(pieces: Column, limit: int, count: Callable[[Column], Column]) -> Column:
     """Number of leading ``pieces`` whose counts sum to at most ``limit`` (greedy, stops at the first miss)."""
 

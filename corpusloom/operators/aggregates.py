@@ -88,7 +88,9 @@ def length_stats(
 def length_histogram(df: DataFrame, value: str = "token_count", short_labels: bool = False) -> DataFrame:
     """``(bin_rank, token_bin, count)``: every bin in order, empty ones as 0."""
     names = [short if short_labels else label for _, label, short in LENGTH_BINS]
-    counts = df.groupBy(length_bin(value, short_labels).alias("token_bin")).agg(F.count("*").alias("count"))
+    # by the exact length first: each text is tokenised once, and the bins are of a few thousand lengths
+    exact = df.groupBy(F.col(value).alias("_length")).agg(F.count("*").alias("_n"))
+    counts = exact.groupBy(length_bin("_length", short_labels).alias("token_bin")).agg(F.sum("_n").alias("count"))
     # Zero rows for all bins instead of a join: the union is at most fifteen rows.
     rows = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(n).alias("name")) for i, n in enumerate(names)]))
     one = df.sparkSession.range(1).select(rows.alias("b"))
@@ -116,15 +118,13 @@ def truncation_summary(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-MAX_CLASSES = 10_000
-
-
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """``(label, n, share, weight, weight_ratio)`` with balanced weights ``total / (classes * n)``.
 
-    ``share`` is in percent; ``weight_ratio`` is relative to the first label in order.
+    ``share`` is in percent; ``weight_ratio`` is relative to the first label in order. A null label is no class and is
+    not counted.
     """
-    counts = df.groupBy(label).agg(F.count("*").alias("n"))
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
     totals = counts.agg(
         F.struct(
             F.sum("n").alias("total"), F.count("*").alias("n_classes"), F.min_by("n", label).alias("first_n")
@@ -135,17 +135,15 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
         label,
         "n",
         (n / total * 100).alias("share"),
-        F.when(F.col("_t.n_classes") > MAX_CLASSES, F.raise_error(F.lit("class weights: too many classes")))
-        .otherwise(total / (F.col("_t.n_classes") * n))
-        .alias("weight"),
+        (total / (F.col("_t.n_classes") * n)).alias("weight"),
         (F.col("_t.first_n") / n).alias("weight_ratio"),
     )
 
 
 def attach_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
-    """Put each row's class weight on it. The broadcast side is one row per class, at most ``MAX_CLASSES``."""
+    """Put each row's class weight on it; a row without a label keeps a null weight."""
     weights = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(F.broadcast(weights), label)
+    return df.join(weights, label, "left")
 
 
 def require_classes(df: DataFrame, label: str = "label", at_least: int = 2) -> DataFrame:

@@ -14,11 +14,11 @@ from corpusloom.operators.ranking import assign_batches
 from corpusloom.schemas import ANSWERS_JSON
 
 INSTRUCTION = (
-    "Decide for each numbered text below whether it uses metaphor, irony or neither.\n"
-    "Metaphor: the contextual meaning of a word contrasts with its basic meaning.\n"
-    "Irony: what is meant contradicts what is said. Literal: neither of the two.\n"
-    "Answer with a JSON array holding one object per text, in the order of the texts, with the fields\n"
-    'is_metaphor (boolean), is_irony (boolean), is_literal (boolean) and reasoning (string).\n'
+    "You will read several numbered passages. Say of each one how it is meant.\n"
+    "Mark is_metaphor where words are used figuratively, is_irony where the writer means the opposite of the words,\n"
+    "and is_literal where neither holds. Give your grounds in reasoning, in a sentence.\n"
+    "Reply with nothing but a JSON array: one object for every passage, in their order, with the booleans\n"
+    "is_metaphor, is_irony, is_literal and the string reasoning.\n"
 )
 
 
@@ -71,17 +71,20 @@ def parse_answers(df: DataFrame, json_col: str = "response") -> DataFrame:
 def annotation_requests(
     df: DataFrame, done: DataFrame | None = None, key: str = "row_id", size: int = 10, width: int = 2000
 ) -> DataFrame:
-    """Rows still to annotate: ``key, batch_id, pos, n_texts, text, original_sentiment``.
+    """Rows still to annotate: ``key, batch_id, request_id, pos, n_texts, text, original_sentiment``.
 
-    Batches are cut before blank texts are skipped, so a batch may hold fewer texts than ``size`` and an
+    ``batch_id`` numbers what is pending now, so it changes from one round to the next. ``request_id`` is derived from
+    the keys of the batch's texts: a response that carries it can never be given to other texts. Batches are cut before blank texts are skipped, so a batch may hold fewer texts than ``size`` and an
     all-blank batch sends nothing.
     """
     todo = df if done is None else pending(df, done, key)
     texts = drop_blank(pick_sentiment(pick_text(assign_batches(todo, key, size))), "text")
     batch = W.partitionBy("batch_id")
+    members = lambda x: x.cast("string")
     return texts.select(
         key,
         "batch_id",
+        F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(key).over(batch)), members), ",")).alias("request_id"),
         (F.row_number().over(batch.orderBy("batch_pos")) - 1).alias("pos"),
         F.count("*").over(batch).alias("n_texts"),
         ellipsize("text", width).alias("text"),
@@ -90,8 +93,10 @@ def annotation_requests(
 
 
 def annotation_results(requests: DataFrame, responses: DataFrame, source: str, key: str = "row_id") -> DataFrame:
-    """Aligned annotations of all batches whose response is usable. ``responses``: ``batch_id, response``."""
-    aligned = align_answers(requests, parse_answers(responses, "response").select("batch_id", "answers"))
+    """Aligned annotations of all batches whose response is usable. ``responses``: ``response`` and ``request_id``, or
+    ``batch_id`` if they answer these very ``requests``."""
+    by = "request_id" if "request_id" in responses.columns else "batch_id"
+    aligned = align_answers(requests, parse_answers(responses, "response").select(by, "answers"), by)
     return aligned.select(
         key,
         "text",

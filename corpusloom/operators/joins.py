@@ -1,4 +1,4 @@
-"""Lookups, alignment by position and resume. The broadcast sides are checked for size first."""
+"""Lookups, alignment by position and resume. Which side is broadcast is left to the optimizer, which goes by bytes."""
 
 from __future__ import annotations
 
@@ -7,35 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DIMENSION_ROWS = 100_000
-
-
-def small_side(dim: DataFrame, max_rows: int = DIMENSION_ROWS) -> DataFrame:
-    """Broadcast ``dim`` if it has at most ``max_rows`` rows; beyond that leave the choice to the optimizer.
-
-    Counting stops after ``max_rows + 1`` rows.
-    """
-    return F.broadcast(dim) if dim.limit(max_rows + 1).count() <= max_rows else dim
-
-
 def lookup(df: DataFrame, dim: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Attach the dimension's columns; a key the dimension lacks gets nulls."""
-    return df.join(small_side(dim), [key] if isinstance(key, str) else list(key), "left")
+    return df.join(dim, [key] if isinstance(key, str) else list(key), "left")
 
 
-def align_answers(batches: DataFrame, answers: DataFrame) -> DataFrame:
+def align_answers(batches: DataFrame, answers: DataFrame, by: str = "batch_id") -> DataFrame:
     """Pair the k-th text of a batch with its k-th answer.
 
-    ``batches``: ``batch_id, pos, ...`` one row per text, ``n_texts`` per batch; ``answers``: ``batch_id,
-    answers`` (array). A batch whose two counts differ is dropped whole.
+    ``batches``: ``by, pos, ...`` one row per text, ``n_texts`` per batch; ``answers``: ``by, answers`` (array). A batch
+    whose two counts differ is dropped whole.
     """
     exploded = answers.where(F.col("answers").isNotNull()).select(
-        "batch_id",
+        by,
         F.size("answers").alias("_n_answers"),
         F.posexplode("answers").alias("pos", "answer"),
     )
     return (
-        batches.join(exploded, ["batch_id", "pos"], "inner")
+        batches.join(exploded, [by, "pos"], "inner")
         .where(F.col("n_texts") == F.col("_n_answers"))
         .drop("_n_answers")
     )
@@ -51,6 +40,13 @@ def join_predictions(df: DataFrame, predictions: DataFrame, key: str = "doc_id")
     return df.join(predictions, key, "inner")
 
 
+def split_leakage(df: DataFrame, text: str = "text", split: str = "split") -> DataFrame:
+    """The rows whose text is in more than one split. Only digests are grouped; null texts leak nothing."""
+    keyed = df.withColumn("_digest", F.sha2(F.col(text), 256))
+    shared = keyed.groupBy("_digest").agg(F.min(split).alias("_lo"), F.max(split).alias("_hi")).where("_lo < _hi")
+    return keyed.join(shared, "_digest", "left_semi").drop("_digest")
+
+
 def with_totals(df: DataFrame, label: str) -> DataFrame:
     """``(label, n, total, n_classes)``: the totals ride on every class row, as a scalar subquery."""
     counts = df.groupBy(label).agg(F.count("*").alias("n"))

@@ -7,8 +7,8 @@ three light steps that read only the label and the key:
 2. derive the exact class quotas and the bucket each boundary falls into;
 3. rank the rows of the boundary buckets only, about 1/65,536 of a class each.
 
-Membership is then a comparison with the boundary, which rides on a broadcast of one row per class, so
-the full rows are neither shuffled nor sorted.
+Membership is then a comparison with the boundary, joined by class: one row each, which the optimizer broadcasts
+unless there are very many classes, so the full rows are neither shuffled nor sorted.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MAX_CLASSES = 10_000
 _PREFIX = 4
 
 
@@ -46,8 +45,8 @@ def split_quotas(counts: DataFrame, label: str, fractions: Sequence[float], min_
     q = q.withColumn(
         "_left",
         _check(
-            F.col(label).isNull() | (F.col("_classes") > MAX_CLASSES),
-            "stratified split: a label is null or there are too many classes",
+            F.col(label).isNull(),
+            "stratified split: a label is null",
             _check(F.col("_classes") < min_classes, "stratified split: too few classes", F.col("n")),
         ),
     ).withColumn("_end", F.lit(0).cast("bigint"))
@@ -97,13 +96,13 @@ def assign_splits(
     below = F.sum("_rows").over(W.partitionBy(label).orderBy("_bucket")) - F.col("_rows")
     boundaries = (
         histogram.withColumn("_below", below)
-        .join(F.broadcast(quotas.select(label, ends.alias("_e"))), label)  # classes x parts rows
+        .join(quotas.select(label, ends.alias("_e")), label)  # classes x parts rows
         .where((F.col("_below") < F.col("_e.upto")) & (F.col("_e.upto") <= F.col("_below") + F.col("_rows")))
         .select(label, "_bucket", F.col("_e.part").alias("_part"), (F.col("_e.upto") - F.col("_below")).alias("_need"))
     )
     rank = F.row_number().over(W.partitionBy(label, "_part").orderBy("_hash", "_key"))
     cuts = (
-        hashed.join(F.broadcast(boundaries), [label, "_bucket"])  # classes x parts rows
+        hashed.join(boundaries, [label, "_bucket"])  # classes x parts rows
         .withColumn("_rank", rank)
         .where(F.col("_rank") == F.col("_need"))
         .groupBy(label)
@@ -119,7 +118,7 @@ def assign_splits(
     for i in reversed(range(len(fractions))):
         chosen = F.when(own <= F.col(f"_cut_{i}"), names[i]).otherwise(chosen)
     # Left join: a class all of whose earlier parts are empty has no boundary and belongs to the last part.
-    return df.join(F.broadcast(cuts), label, "left").withColumn(out, chosen).select(*df.columns, out)
+    return df.join(cuts, label, "left").withColumn(out, chosen).select(*df.columns, out)
 
 
 def stratified_split(

@@ -29,6 +29,7 @@ from corpusloom.operators.annotation import annotation_requests, annotation_resu
 from corpusloom.operators.dedupe import dedupe_first, url_title_winners
 from corpusloom.operators.filters import (
     attach_predictions,
+    drop_blank,
     encode_label,
     harmonise,
     keep_language,
@@ -37,7 +38,8 @@ from corpusloom.operators.filters import (
     search,
     to_binary,
 )
-from corpusloom.operators.learning import adapt, apply_model, fit_weighted
+from corpusloom.operators.joins import pending
+from corpusloom.operators.learning import adapt, apply_model, fit_weighted, select_model
 from corpusloom.operators.long_texts import shorten, with_truncation_record
 from corpusloom.operators.ranking import cap_per_group, error_samples, limit_per_source, shuffle_rows
 from corpusloom.operators.sets import union_sources
@@ -46,6 +48,7 @@ from corpusloom.schemas import BINARY_LABELS
 from corpusloom.session import materialize
 from corpusloom.sinks import writers
 from corpusloom.sources.corpus import scan_corpus
+from corpusloom.sources.files import require_columns
 from corpusloom.sources.documents import extract_article, parse_reviews, to_comment_rows, to_post_rows
 
 
@@ -148,7 +151,7 @@ def process_long_texts(
     profile = length_stats(both, limit=limit, by=["stage"])
     summary = truncation_summary(wide.withColumn("final_tokens", F.col("token_count")))
     if out is not None:
-        sections = [("TEXT LENGTH PROCESSING STATISTICS", summary, None), ("LENGTHS", profile, "stage")]
+        sections = [("Shortened texts", summary, None), ("Lengths before and after", profile, "stage")]
         writers.write_report(sections, f"{out}/report")
     return LongTexts(wide.drop("original_chars", "original_words"), profile, summary)
 
@@ -215,8 +218,9 @@ def collect_forum(
     post_rows = min_length(limit_per_source(post_rows, limit, order), "text", min_chars, strip_first=True)
     comment_rows = limit_per_source(to_comment_rows(comments, tuple(order)), limit, order)
     comment_rows = min_length(comment_rows, "text", min_chars)
-    both = with_truncation_record(union_sources([post_rows, comment_rows]), "text", token_limit, "_r", tokenizer)
-    rows = both.where(F.col("_r").isNotNull()).select(
+    # blank texts have no record; they go before it is computed, so that no filter computes it a second time
+    both = drop_blank(union_sources([post_rows, comment_rows]), "text")
+    rows = with_truncation_record(both, "text", token_limit, "_r", tokenizer).select(
         "_r.text",
         "source",
         "type",
@@ -242,9 +246,9 @@ def collect_forum(
     )
     if out is not None:
         sections = [
-            ("COLLECTION STATISTICS", result.summary, None),
-            ("BY SOURCE", result.by_source, "source"),
-            ("BY TYPE", result.by_type, "type"),
+            ("Collected rows", result.summary, None),
+            ("Rows of each source", result.by_source, "source"),
+            ("Rows of each type", result.by_type, "type"),
         ]
         writers.write_report(sections, f"{out}/report")
     return result
@@ -267,9 +271,20 @@ def annotation_round_trip(
     source: str = "news",
     key: str = "row_id",
     out: str | None = None,
+    requests: DataFrame | None = None,
 ) -> DataFrame:
-    """Annotations of the rows not done yet, from the landed responses to their batches; appended to ``out``."""
-    results = annotation_results(annotation_requests(df, done, key), responses, source, key)
+    """Annotations of the rows not done yet, from the landed responses to their batches; appended to ``out``.
+
+    ``requests`` is the table written when the prompts went out; with it any part of the responses can be taken up in
+    any round. Without it the requests are computed again from what is pending, and ``responses`` must carry their
+    ``request_id``: those to batches that are cut differently by now match nothing.
+    """
+    if requests is None:
+        require_columns(responses, ["request_id"])
+        results = annotation_results(annotation_requests(df, done, key), responses, source, key)
+    else:
+        results = annotation_results(requests, responses, source, key)
+        results = results if done is None else pending(results, done, key)
     if out is not None:
         writers.append_annotations(results, out, key)
     return results
@@ -359,19 +374,31 @@ def train_domains(
     kind: str = "unigram",
     base: PipelineModel | None = None,
     out: str | None = None,
+    grid: Sequence[dict] | None = None,
+    key: str = "doc_id",
     **options,
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
     """Fit every prepared domain on its ``train`` rows, adapting ``base`` if given, and compare on ``test``.
 
-    Returns the models and ``(Domain, Macro_F1, Accuracy, Model, domain_rank)``; ``best(scores, "Macro_F1",
+    With a ``grid`` of options a domain's model is the candidate with the best macro F1 on its ``val`` rows. ``out`` also
+    gets every domain's evaluation files. Returns the models and ``(Domain, Macro_F1, Accuracy, Model, domain_rank)``; ``best(scores, "Macro_F1",
     "domain_rank")`` picks the winner. ``out`` gets the models and the comparison.
     """
     models, scores = {}, []
     for rank, (name, df) in enumerate(domains.items()):
         rows = materialize(encode_label(df, "label"), f"domain-{name}")  # several passes read it
         train = rows.where(F.col("split") == "train")
-        models[name] = adapt(base, train, **options) if base is not None else fit_weighted(train, kind=kind, **options)
+        if base is not None:
+            models[name] = adapt(base, train, **options)
+        elif grid:
+            val = rows.where(F.col("split") == "val")
+            models[name] = select_model(train, val, [{"kind": kind, **options, **g} for g in grid]).model
+        else:
+            models[name] = fit_weighted(train, kind=kind, **options)
         predicted = apply_model(models[name], rows.where(F.col("split") == "test"))
+        if out is not None:
+            judged = predicted.select(key, F.col("label").alias("true_label"), "logits")
+            evaluate(judged, key=(key,), out=f"{out}/evaluation/{name}")
         scores.append(
             M.overall(predicted, "label_id", "predicted_id").select(
                 F.lit(name).alias("Domain"),

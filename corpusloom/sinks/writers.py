@@ -174,9 +174,9 @@ def write_evaluation(frames: dict[str, DataFrame], path: str, mode: str = "error
     summary = [
         (title, frames[name], key)
         for title, name, key in (
-            ("OVERALL METRICS", "overall_metrics", None),
-            ("CONFUSION MATRIX", "confusion_matrix", "true_label"),
-            ("PER-CLASS METRICS", "per_class_metrics", "class"),
+            ("Scores", "overall_metrics", None),
+            ("Outcomes", "confusion_matrix", "true_label"),
+            ("Scores of each class", "per_class_metrics", "class"),
         )
         if name in frames
     ]

@@ -39,18 +39,38 @@ def _with_missing(df: DataFrame, missing: Sequence[str]) -> DataFrame:
     return df.select(*[clean(f.name) if isinstance(f.dataType, T.StringType) else f.name for f in df.schema])
 
 
+def _read_by_name(spark: SparkSession, path: str | list[str], schema: str, **options) -> DataFrame:
+    """The declared columns, found by their names in the header, whatever their order and whatever else is there.
+
+    The header is looked up in the first file; files whose header differs fail instead of swapping columns.
+    """
+    declared = {f.name: f for f in T.StructType.fromDDL(schema)}
+    header = spark.read.options(**_CSV | options).csv(path).columns
+    found = T.StructType([declared.get(c, T.StructField(c, T.StringType())) for c in header])
+    rows = spark.read.schema(found).options(**_CSV | options, enforceSchema=False).csv(path)
+    return require_columns(rows, list(declared)).select(*declared)
+
+
 def read_labeled(
-    spark: SparkSession, path: str, schema: str = schemas.SPLIT_FILE, missing: Sequence[str] = MISSING
+    spark: SparkSession,
+    path: str,
+    schema: str = schemas.SPLIT_FILE,
+    missing: Sequence[str] = MISSING,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Labelled CSV with a header and quoted text, or Parquet when the path says so."""
+    """Labelled CSV with a header and quoted text, or Parquet when the path says so.
+
+    Quoted fields may hold line breaks, for which a file is one task; ``multi_line=False`` splits large files that have
+    none. To read such a corpus more than once, land it as Parquet first.
+    """
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.schema(schema).parquet(path)
-    return _with_missing(spark.read.schema(schema).options(**_CSV).csv(path), missing)
+    return _with_missing(_read_by_name(spark, path, schema, multiLine=multi_line), missing)
 
 
 def read_word_tsv(spark: SparkSession, path: str | list[str], missing: Sequence[str] = MISSING) -> DataFrame:
-    """Word-level corpus: one row per word, eight tab-separated columns."""
-    return _with_missing(spark.read.schema(schemas.WORD_LEVEL).options(**_CSV, sep="\t").csv(path), missing)
+    """Word-level corpus: one row per word, eight tab-separated columns and one line each, so large files split."""
+    return _with_missing(_read_by_name(spark, path, schemas.WORD_LEVEL, sep="\t", multiLine=False), missing)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -72,13 +92,20 @@ class TolerantRead:
 
     rows: DataFrame
     rejected: DataFrame
+    files: DataFrame
 
     def report(self) -> DataFrame:
+        """One row per input file. ``status`` is ``read``, or ``no record`` where a file gave none: it is empty, damaged
+        or gone."""
         counted = self.rows.groupBy("input_file").agg(F.count("*").alias("accepted"))
         refused = self.rejected.groupBy("input_file").agg(F.count("*").alias("rejected"))
         zero = lambda name: F.coalesce(F.col(name), F.lit(0).cast("bigint")).alias(name)
-        return counted.join(refused, "input_file", "full").select(
-            "input_file", zero("accepted"), zero("rejected")
+        nothing = F.col("accepted").isNull() & F.col("rejected").isNull()
+        status = F.when(nothing, "no record").otherwise("read")
+        return (
+            self.files.join(counted, "input_file", "left")
+            .join(refused, "input_file", "left")
+            .select("input_file", zero("accepted"), zero("rejected"), status.alias("status"))
         )
 
 
@@ -102,6 +129,7 @@ def read_tolerant(spark: SparkSession, path: str, schema: str, fmt: str = "csv",
     return TolerantRead(
         rows=raw.where(~is_bad).select(*names, "input_file"),
         rejected=raw.where(is_bad).select(F.col(corrupt).alias("record"), "input_file"),
+        files=spark.createDataFrame([(f,) for f in raw.inputFiles()], "input_file string"),  # the scan's own listing
     )
 
 

@@ -75,6 +75,41 @@ def test_tolerant_csv(spark, tmp_path):
     assert (row.accepted, row.rejected) == (2, 1)
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    write(str(tmp_path / "a" / "a.csv"), 'extra,label,text\n1,literal,"two\nlines"\n')
+    (row,) = files.read_labeled(spark, str(tmp_path / "a"), "text string, label string").collect()
+    assert (row.text, row.label) == ("two\nlines", "literal")
+    write(str(tmp_path / "b.csv"), "label\nliteral\n")
+    with pytest.raises(ValueError):
+        files.read_labeled(spark, str(tmp_path / "b.csv"), "text string, label string")
+    write(str(tmp_path / "a" / "b.csv"), "text,label,extra\nx,literal,1\n")  # another order: refused, not swapped
+    with pytest.raises(Exception):
+        files.read_labeled(spark, str(tmp_path / "a"), "text string, label string").collect()
+
+
+def test_word_tsv_is_splittable(spark, tmp_path):
+    head = "index\tlabel\tsentence\tpos\tw_index\ttarget\tword_sense\tdefinition\n"
+    write(str(tmp_path / "w.tsv"), head + "".join(f"i{i}\t0\ta b c\tNN\t1\tb\ts\td\n" for i in range(4000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        df = files.read_word_tsv(spark, str(tmp_path / "w.tsv"))
+        assert df.rdd.getNumPartitions() > 1 and df.count() == 4000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_damaged_files_are_reported(spark, tmp_path):
+    import gzip
+
+    write(str(tmp_path / "in" / "a.csv"), "text,score\nok,1\n")
+    write(str(tmp_path / "in" / "c.csv"), "")
+    whole = gzip.compress(("text,score\n" + "".join(f"t{i},{i}\n" for i in range(5000))).encode())
+    (tmp_path / "in" / "b.csv.gz").write_bytes(whole[: len(whole) // 3])
+    report = files.read_tolerant(spark, str(tmp_path / "in"), "text string, score bigint").report().collect()
+    assert {os.path.basename(r.input_file): r.status for r in report} == {"a.csv": "read", "b.csv.gz": "no record", "c.csv": "no record"}
+
+
 def test_profile_skips_files_without_text(spark, tmp_path):
     write(str(tmp_path / "a.csv"), "text,x\none two,1\n")
     write(str(tmp_path / "b.csv"), "title\nno\n")

@@ -146,11 +146,55 @@ def test_lookup_and_pending(spark):
     df = spark.createDataFrame([(1, "a"), (2, "z")], "row_id long, k string")
     dim = spark.createDataFrame([("a", 7)], "k string, v int")
     assert values(J.lookup(df, dim, "k"), "v") == [None, 7]
-    hint = J.small_side(dim, 0)
-    assert "broadcast" not in hint._jdf.queryExecution().logical().toString().lower()
+    assert "hint" not in J.lookup(df, dim, "k")._jdf.queryExecution().logical().toString().lower()
     assert values(J.pending(df, df.where("row_id = 1")), "row_id") == [2]
 
 
+def test_split_leakage(spark):
+    rows = [(1, "a", "train"), (2, "a", "test"), (3, "b", "val"), (4, "b", "val"), (5, None, "val"), (6, None, "test")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, split string")
+    assert values(J.split_leakage(df), "doc_id") == [1, 2]
+
+
+def test_resumed_annotation_keeps_answers_with_their_texts(spark):
+    from corpusloom.plans import jobs
+
+    df = spark.createDataFrame([(i, "  " if i % 9 == 4 else f"text {i}", "en") for i in range(100)], "row_id long, content string, sentiment string")
+    requests = A.annotation_requests(df)
+    batches = {}
+    for r in requests.collect():
+        batches.setdefault((r.batch_id, r.request_id), []).append((r.pos, r.row_id))
+    answer = lambda rows: json.dumps([{"is_metaphor": True, "reasoning": f"r{i}"} for _, i in sorted(rows)])
+    landed = [(b, q, answer(rows)) for (b, q), rows in batches.items()]
+    frame = lambda part: spark.createDataFrame(part, "batch_id long, request_id string, response string")
+    first = jobs.annotation_round_trip(df, frame(landed[:3])).collect()
+    done = spark.createDataFrame([(r.row_id,) for r in first], "row_id long")
+    with_table = jobs.annotation_round_trip(df, frame(landed[3:]), done, requests=requests).collect()
+    everything = first + with_table
+    assert len(everything) == requests.count() and all(r.reasoning == f"r{r.row_id}" for r in everything)
+    # batches cut anew match nothing rather than other texts
+    recomputed = jobs.annotation_round_trip(df, frame(landed[3:]), done).collect()
+    assert all(r.reasoning == f"r{r.row_id}" for r in recomputed)
+    with pytest.raises(ValueError):
+        jobs.annotation_round_trip(df, frame(landed).drop("request_id"), done)
+
+
+def test_null_labels_have_no_class_weight(spark):
+    from corpusloom.operators.aggregates import attach_weights
+
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "label string")
+    got = [(r.label, r.weight) for r in attach_weights(df).collect()]
+    assert sorted(got, key=str) == sorted([("a", 0.75), ("a", 0.75), ("b", 1.5), (None, None)], key=str)
+
+
+def test_very_many_classes_split(spark):
+    from corpusloom.operators.split import stratified_split
+
+    df = spark.range(24_000).selectExpr("id AS doc_id", "concat('c', id % 12000) AS label")
+    sizes = {r.split: r["count"] for r in stratified_split(df, frac=0.5).groupBy("split").count().collect()}
+    assert sizes == {"train": 12_000, "val": 12_000}
+
+
 def test_union_fills_missing_columns(spark):
     a, b = spark.createDataFrame([(1, "x")], "i int, pos string"), spark.createDataFrame([(2,)], "i int")
     assert values(union_sources([a, b]), "pos") == [None, "x"]
