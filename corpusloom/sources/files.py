@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -129,7 +130,8 @@ def read_tolerant(spark: SparkSession, path: str, schema: str, fmt: str = "csv",
     return TolerantRead(
         rows=raw.where(~is_bad).select(*names, "input_file"),
         rejected=raw.where(is_bad).select(F.col(corrupt).alias("record"), "input_file"),
-        files=spark.createDataFrame([(f,) for f in raw.inputFiles()], "input_file string"),  # the scan's own listing
+        # the scan's own listing; local paths are spelled as in the rows
+        files=spark.createDataFrame([(re.sub("^file:/+", "file:/", f),) for f in raw.inputFiles()], "input_file string"),
     )
 
 
