@@ -1,6 +1,6 @@
 """Toxicity by a subsequence string kernel and a support vector machine on Nyström landmarks.
 
-The kernel counts the subsequences of three letters that two words share, each weighted down for every letter in
+The kernel counts the subsequences of three and four letters that two words share, each weighted down for every letter in
 between, so an insult with inserted or missing letters stays close to the plain one. A machine is trained on the words
 of labelled texts. Since the kernel is a product of weighted subsequence counts, the trained sum over landmarks folds
 into one weight per subsequence, and scoring a word costs a few look-ups whatever the number of landmarks.
@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -21,15 +22,17 @@ from corpusloom.llm.common import row_id
 from corpusloom.session import materialize
 
 #: Bounds of the fit: labelled rows, training words and landmarks. Scores are computed for all rows.
-TRAIN_ROWS, TRAIN_WORDS, LANDMARKS = 20_000, 30_000, 256
+TRAIN_ROWS, TRAIN_WORDS, LANDMARKS = 20_000, 30_000, 384
 #: A subsequence spans up to six letters; each letter in between multiplies its weight.
 SPAN, DECAY = 5, 0.6
-STEPS = [(j, k) for k in range(2, SPAN + 1) for j in range(1, k)]
+STEPS = [steps for n in (2, 3) for steps in combinations(range(1, SPAN + 1), n)]
 #: Signs that are read as letters.
 ALIKE = str.maketrans("013457@$!|", "oieastasil")
 _LETTERS = 64
+#: Subsequences of three letters have keys of their own, those of four share as many.
+KEYS = 2 * _LETTERS**3
 _EDGE = re.compile(r"^\W+|\W+$")
-REMEMBERED = 600_000
+REMEMBERED = 200_000
 
 
 def _codes() -> np.ndarray:
@@ -51,12 +54,17 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     code_after = np.concatenate([code, np.zeros(SPAN, np.int64)])
     word_after = np.concatenate([word, np.full(SPAN, -1)])
     n, which, keys, weights = len(code), [], [], []
-    for j, k in STEPS:
-        ok = (code > 0) & (word_after[k : k + n] == word) & (code_after[k : k + n] > 0)
-        key = (code * _LETTERS + code_after[j : j + n]) * _LETTERS + code_after[k : k + n]
+    for steps in STEPS:
+        last = steps[-1]
+        ok = np.nonzero((code > 0) & (word_after[last : last + n] == word) & (code_after[last : last + n] > 0))[0]
+        key = code[ok]
+        for step in steps:
+            key = key * _LETTERS + code_after[ok + step]
+        if len(steps) == 3:
+            key = _LETTERS**3 + key * 2654435761 % 2**32 // 2**14
         which.append(word[ok])
-        keys.append(key[ok])
-        weights.append(np.full(len(which[-1]), DECAY ** (k - 2)))
+        keys.append(key)
+        weights.append(np.full(len(ok), DECAY ** (last - len(steps))))
     w, key, weight = (np.concatenate(x) for x in (which, keys, weights))
     length = np.sqrt(np.bincount(w, weight**2, minlength=len(words)))
     return w, key, weight / length[w]
@@ -104,8 +112,8 @@ class Model:
         if len(known) + len(new) > REMEMBERED:
             known.clear()
             new = list({u for us in of for u in us})
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
+        for i in range(0, len(new), 2000):
+            part = new[i : i + 2000]
             known.update(zip(part, self.words([plain(u) for u in part]).tolist(), strict=True))
         out = np.full((len(texts), 2), -2.0)
         for row, us in zip(out, of, strict=True):
@@ -122,8 +130,8 @@ class Model:
 def _landmark_products(words: list[str], rows: np.ndarray, table: np.ndarray) -> np.ndarray:
     """The kernel of each word with each landmark; ``rows`` finds a subsequence's row in ``table``."""
     out = np.zeros((len(words), table.shape[1]), np.float32)
-    for i in range(0, len(words), 500):
-        which, key, weight = subsequences(words[i : i + 500])
+    for i in range(0, len(words), 100):
+        which, key, weight = subsequences(words[i : i + 100])
         hit = rows[key] > 0
         which, key, weight = which[hit], key[hit], weight[hit]
         order = np.argsort(which, kind="stable")
@@ -145,27 +153,31 @@ def fit_words(words: list[str], toxic: np.ndarray, clean: np.ndarray, landmarks:
     marks = [words[i] for i in chosen]
     which, key, weight = subsequences(marks)
     distinct = np.unique(key)
-    rows = np.zeros(_LETTERS**3, np.int32)
+    rows = np.zeros(KEYS, np.int32)
     rows[distinct] = np.arange(1, len(distinct) + 1)
     table = np.zeros((len(distinct) + 1, len(marks)), np.float32)
     np.add.at(table, (rows[key], which), weight.astype(np.float32))
     values, vectors = np.linalg.eigh((table.T @ table).astype(float))
-    good = values > 1e-6 * values.max()
+    good = values > 1e-5 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
-    x = np.column_stack([_landmark_products(words, rows, table) @ root, np.ones(len(words))])
+    x = np.column_stack([_landmark_products(words, rows, table) @ root, np.ones(len(words))]).astype(np.float32)
+    blocks = [slice(i, i + 2000) for i in range(0, len(words), 2000)]
     # squared hinge loss, by Newton's method; a word is an example once per text it is in
     v, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], 1e-5 * n.sum())
     ridge[-1] = 1e-6 * n.sum()
     for _ in range(30):
-        f = x @ v
-        up, down = toxic * (f < 1), clean * (f > -1)
-        slope = ridge * v - x.T @ (up * (1 - f)) + x.T @ (down * (1 + f))
-        curve = (x * (up + down)[:, None]).T @ x + np.diag(ridge)
+        slope, curve = ridge * v, np.diag(ridge)
+        for b in blocks:
+            part = x[b].astype(float)
+            f = part @ v
+            up, down = toxic[b] * (f < 1), clean[b] * (f > -1)
+            slope += part.T @ (down * (1 + f) - up * (1 - f))
+            curve += (part * (up + down)[:, None]).T @ part
         step = np.linalg.solve(curve, slope)
         v -= step
         if np.abs(step).max() < 1e-6:
             break
-    weights = np.zeros(_LETTERS**3)
+    weights = np.zeros(KEYS)
     weights[distinct] = table[1:] @ (root @ v[:-1])
     return weights, float(v[-1])
 
@@ -214,7 +226,7 @@ def learn(
     share = known.agg(F.avg("y")).first()[0] or 0.0
     if not len(counts) or toxic.sum() in (0, n.sum()):
         share = min(max(share, 0.01), 0.99)
-        return Model(np.zeros(_LETTERS**3), 0.0, (0.0, 0.0, float(np.log(share / (1 - share)))))
+        return Model(np.zeros(KEYS), 0.0, (0.0, 0.0, float(np.log(share / (1 - share)))))
     table, offset = fit_words([r.w for r in counts], toxic, n - toxic, LANDMARKS)
     model = Model(table, offset, (0.0, 0.0, 0.0))
     held = _top(known.where("part = 0").select("y", "t"), "y", model).select("y", "top", "second").collect()

@@ -62,7 +62,7 @@ def test_folded_weights_equal_the_kernel():
     toxic, clean = np.array([5.0, 0, 0, 4, 0]), np.array([0.0, 5, 6, 0, 7])
     table, offset = toxicity.fit_words(words, toxic, clean, 8)
     model = toxicity.Model(table, offset, (1.0, 0.0, 0.0))
-    dense = np.zeros((2, 64**3))
+    dense = np.zeros((2, toxicity.KEYS))
     which, key, weight = toxicity.subsequences(["blorgnk", "telo"])
     np.add.at(dense, (which, key), weight)
     assert np.allclose(dense @ table + offset, model.words(["blorgnk", "telo"]))
