@@ -67,7 +67,7 @@ def byte_letters() -> list[str]:
 class Encoder:
     """One vocabulary file of the word-end kind: its merges, special tokens and remembered words."""
 
-    LIMIT = 600_000
+    LIMIT = 400_000
 
     def __init__(self, content: str):
         spec = json.loads(content)

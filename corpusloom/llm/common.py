@@ -43,7 +43,7 @@ def documents(df: DataFrame, key: str, text: str) -> DataFrame:
 class Words(dict):
     """64-bit hashes of words, remembered per worker. Python's own hash differs between processes."""
 
-    LIMIT = 1_000_000
+    LIMIT = 300_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
