@@ -12,7 +12,7 @@ from corpusloom.catalog.scans import LENGTH_STATS, SPLIT_60_20_20, rounded, spli
 from corpusloom.functions.scores import argmax_label, softmax
 from corpusloom.functions.tokens import tokenizer_udf
 from corpusloom.operators import learning as J
-from corpusloom.operators.aggregates import split_report
+from corpusloom.operators.aggregates import split_report, value_counts
 from corpusloom.operators.filters import encode_label
 from corpusloom.operators.ranking import best
 from corpusloom.operators.sets import union_sources
@@ -220,6 +220,19 @@ def _(spark, sf):
     return jobs.collect_news(I.news_pages(spark, sf), I.AS_OF, date="publish_ts")
 
 
+@query(
+    "K5_news_by_source",
+    "WITH "
+    + I.NEWS
+    + """ SELECT source, count(*) AS count FROM pass2 WHERE (meta_lang IS NULL OR lower(meta_lang) = 'en') AND length(text) >= 500
+    AND publish_ts > TIMESTAMP '2024-06-30 12:00:00' - INTERVAL 32 DAYS GROUP BY source""",
+)
+def _(spark, sf):
+    out = scratch_path(spark, "news")
+    rows = jobs.collect_news(I.news_pages(spark, sf), I.AS_OF, date="publish_ts", out=out)
+    return value_counts(rows, "source").select("source", "count")
+
+
 _FORUM_ROWS = (
     I.FORUM
     + r""", capped AS (

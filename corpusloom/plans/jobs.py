@@ -164,8 +164,10 @@ def collect_news(
     language: str = "en",
     min_chars: int = 500,
     seed: int = 42,
+    out: str | None = None,
 ) -> DataFrame:
-    """Landed pages ``(key, source, url, html)`` to articles in random order.
+    """Landed pages ``(key, source, url, html)`` to articles in random order, written to ``out`` with a report of the
+    articles of each source.
 
     Duplicates are judged over all pages, so a page dropped later by a filter still shadows its copies.
     That pass moves keys only; the pages are filtered and extracted on their own and joined to the
@@ -183,7 +185,12 @@ def collect_news(
         head_tail("text").alias("text"),
         format_date(day).alias("publish_date"),
     )
-    return shuffle_rows(rows, seed, key)
+    rows = shuffle_rows(rows, seed, key)
+    if out is not None:
+        rows.write.parquet(f"{out}/articles")
+        rows = pages.sparkSession.read.schema(rows.schema).parquet(f"{out}/articles")
+        writers.write_report([("Articles of each source", value_counts(rows, "source"), "source")], f"{out}/report")
+    return rows
 
 
 @dataclass(frozen=True)

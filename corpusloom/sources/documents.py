@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,31 +51,40 @@ def parse_reviews(df: DataFrame, json_col: str = "json", page_col: str | None =
     ).where(filled("review_title") | filled("review_body"))
 
 
-# Character entities, ampersand last so that nothing is decoded twice.
-ENTITIES = (
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-)
+#: Names of character references and what they stand for; a no-break space is read as a space.
+REFERENCES = {name[:-1]: text for name, text in html5.items() if name.endswith(";")} | {"nbsp": " "}
+_REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def _sign(code: Column) -> Column:
+    """The character of a code point; null for what is none."""
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
 
 
 def unescape(c: Column | str) -> Column:
-    out = col(c)
-    for entity, char in ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+    """Character references decoded once: named ones, decimal and hexadecimal ones. Unknown ones stay as they are."""
+    text = col(c)
+    names = F.from_json(F.lit(json.dumps(REFERENCES)), "map<string,string>")
+
+    def decoded(part: Column) -> Column:
+        name = F.regexp_extract(part, _REFERENCE, 1)
+        number = F.when(
+            F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substring(name, 3, 8), 16, 10)
+        ).otherwise(F.substring(name, 2, 8))
+        sign = F.when(name.startswith("#"), _sign(number.cast("bigint"))).otherwise(F.try_element_at(names, name))
+        known = F.concat(sign, part.substr(F.length(name) + 2, F.length(part)))
+        return F.when(name == "", F.concat(F.lit("&"), part)).otherwise(F.coalesce(known, F.concat(F.lit("&"), part)))
+
+    parts = F.split(text, "&", -1)
+    rest = F.transform(F.slice(parts, F.lit(2), F.size(parts)), decoded)
+    return F.when(F.contains(text, F.lit("&")), F.concat(F.get(parts, 0), F.array_join(rest, ""))).otherwise(text)
 
 
 def page_text(html: Column | str) -> Column:
-    """Visible text: the article element if there is one, without scripts, styles and comments."""
+    """Visible text: the article elements if there are any, without scripts, styles and comments."""
     html = col(html)
-    article = F.regexp_extract(html, r"(?is)<article[^>]*>(.*)</article>", 1)
+    article = F.array_join(F.regexp_extract_all(html, F.lit(r"(?is)<article[^>]*>(.*?)</article>"), 1), " ")
     body = F.when(article != "", article).otherwise(html)
     body = F.regexp_replace(body, r"(?is)<head[^>]*>.*?</head>", " ")
     body = F.regexp_replace(body, r"(?is)<script[^>]*>.*?</script>", " ")
@@ -82,10 +94,10 @@ def page_text(html: Column | str) -> Column:
     return strip(F.regexp_replace(body, rf"(?U){WHITESPACE_CLASS}+", " "))
 
 
-_PUBLISHED = (
-    r"""(?is)<meta[^>]*(?:property|name)=["'](?:article:published_time|date)["']"""
-    r"""[^>]*content=["']([^"']*)["']"""
-)
+_NAMED = r"""\b(?:property|name)=["'](?:article:published_time|date)["']"""
+_CONTENT = r"""\bcontent=["']([^"']*)["']"""
+#: The two attributes in either order.
+_PUBLISHED = (rf"(?is)<meta\b[^>]*{_NAMED}[^>]*{_CONTENT}", rf"(?is)<meta\b[^>]*{_CONTENT}[^>]*{_NAMED}")
 
 
 def page_title(html: Column | str) -> Column:
@@ -103,7 +115,7 @@ def extract_article(df: DataFrame, html_col: str = "html") -> DataFrame:
             "title": page_title(html),
             "meta_lang": found(r"""(?is)<html[^>]*\blang=["']([^"']*)["']"""),
             "text": F.nullif(page_text(html), F.lit("")),
-            "publish_date": found(_PUBLISHED),
+            "publish_date": F.coalesce(*[found(p) for p in _PUBLISHED]),
         }
     )
 

@@ -277,6 +277,26 @@ def test_forum_rows(spark):
     assert (row.text, row.source, row.type, row.url) == ("B", "reddit_f", "comment", "https://reddit.com/p")
 
 
+def test_character_references(spark):
+    from corpusloom.sources.documents import unescape
+
+    cases = {
+        "don&#8217;t &mdash; it&#x27;s &hellip; caf&eacute;": "don\u2019t \u2014 it's \u2026 caf\u00e9", "a &amp;lt; b": "a &lt; b",
+        "AT&T & &unknown; &#0; &;": "AT&T & &unknown; &#0; &;", "&#128512;&nbsp;&&lt;": "\U0001f600 &<", "": "", "plain": "plain",
+    }
+    df = spark.createDataFrame([(k,) for k in cases] + [(None,)], "t string").select("t", unescape("t").alias("u"))
+    assert {r.t: r.u for r in df.collect()} == cases | {None: None}
+
+
+def test_articles_and_attribute_order(spark):
+    page = (
+        "<html><head><meta content='2024-03-01' property='article:published_time'></head><body><article>One</article>"
+        "<p>between</p><article class='x'>two</article></body></html>"
+    )
+    (row,) = extract_article(spark.createDataFrame([(page,)], "html string")).collect()
+    assert (row.text, row.publish_date) == ("One two", "2024-03-01")
+
+
 def test_extract_article(spark):
     page = (
         "<html lang='EN'><head><title> A &amp; B </title><meta name='date' content='2024-01-02'><style>x{}</style></head>"
