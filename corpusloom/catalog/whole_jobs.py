@@ -93,11 +93,10 @@ def _(spark, sf):
 )
 def _(spark, sf):
     rows = _prepared(spark, sf)
-    frames = []
-    for kind in J.KINDS:
-        model = J.fit_weighted(_part(rows, "train"), kind=kind)
-        frames.append(_verdict(J.apply_model(model, _part(rows, "test"))).withColumn("kind", F.lit(kind)))
-    return union_sources(frames)
+    models = J.fit_kinds(_part(rows, "train"))
+    return union_sources(
+        [_verdict(J.apply_model(m, _part(rows, "test"))).withColumn("kind", F.lit(kind)) for kind, m in models.items()]
+    )
 
 
 @query("J5_adapt", "WITH " + SPLIT_60_20_20 + " SELECT doc_id, true AS valid FROM split WHERE split = 'test' AND lang <> 'en'")

@@ -92,6 +92,32 @@ def _counted(df: DataFrame, kind: str, label: str, features: int) -> tuple[DataF
     return _weighted(rows, label), counting, counts
 
 
+def _same_counts(kind: str) -> str:
+    """Word counts serve the unigram and the Bayes classifier alike."""
+    if kind not in KINDS:
+        raise ValueError(f"kind must be one of {KINDS}")
+    return "ngram" if kind == "ngram" else "unigram"
+
+
+def fit_kinds(
+    df: DataFrame,
+    kinds: Sequence[str] = KINDS,
+    label: str = "label_id",
+    features: int = 2**16,
+    reg: float = 0.01,
+    iterations: int = 20,
+) -> dict[str, PipelineModel]:
+    """One model of each kind, as ``fit_weighted`` makes them; those with the same counts share one pass over the text."""
+    seen, models = {}, {}
+    for kind in kinds:
+        if _same_counts(kind) not in seen:
+            seen[_same_counts(kind)] = _counted(df, kind, label, features)
+        rows, counting, counts = seen[_same_counts(kind)]
+        stages = _fitted_stages(kind, counts, label, "weight", reg, iterations)
+        models[kind] = PipelineModel([*counting.stages, *Pipeline(stages=stages).fit(rows).stages])
+    return models
+
+
 def fit_weighted(
     df: DataFrame,
     label: str = "label_id",
@@ -136,9 +162,10 @@ def select_model(
     best, index, scores, seen = None, -1, [], {}
     for i, options in enumerate(grid):
         kind, features = options.get("kind", "unigram"), options.get("features", 2**16)
-        if (kind, features) not in seen:  # candidates over the same counts share one pass over the text
-            seen[kind, features] = _counted(train, kind, label, features)
-        rows, counting, counts = seen[kind, features]
+        shared = (_same_counts(kind), features)
+        if shared not in seen:  # candidates over the same counts share one pass over the text
+            seen[shared] = _counted(train, kind, label, features)
+        rows, counting, counts = seen[shared]
         stages = _fitted_stages(
             kind, counts, label, "weight", options.get("reg", 0.01), options.get("iterations", 20)
         )
