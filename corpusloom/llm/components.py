@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.session import materialize
+from corpusloom.session import discard, materialize
 
 
 def components(links: DataFrame, left: str = "u", right: str = "v") -> DataFrame:
@@ -25,6 +25,8 @@ def components(links: DataFrame, left: str = "u", right: str = "v") -> DataFrame
         near = labels.join(least, F.col("id") == F.col("a")).select("id", "c", F.least("c", "t").alias("t"))
         roots = labels.select(F.col("id").alias("t"), F.col("c").alias("r"))
         after = materialize(near.join(roots, "t").select("id", F.col("c").alias("old"), F.least("t", "r").alias("c")), "labels")
-        labels = after.select("id", "c")
+        discard(labels)
         if after.where("old <> c").isEmpty():
-            return labels.select("id", F.col("c").alias("component"))
+            discard(both)
+            return after.select("id", F.col("c").alias("component"))
+        labels = after

@@ -17,8 +17,8 @@ from corpusloom.session import materialize
 
 #: A group with 1/BUNDLES of the bytes, tokens or rows is placed alone, smaller ones in one of BUNDLES bundles.
 BUNDLES = 2048
-#: A group of several rows with this share of a shard's capacity is cut into pieces of about a quarter of that.
-CUT = 0.25
+#: A group of several rows that exceeds this share of a shard's capacity is cut into pieces of a sixteenth of that.
+CUT = 1.0
 _SIZES = ("rows", "size", "tokens")
 
 
@@ -37,7 +37,7 @@ def shard(docs: DataFrame, key: str, text: str, shards: int = 16, bundles: int =
     """Per row: ``key``, ``size`` (UTF-8 bytes plus 1), ``tokens`` (spaces plus 1), ``text_crc32``, ``shard`` and
     ``slot`` (gapless from 0 within its shard).
 
-    Rows with equal texts stay together unless they make up a quarter of a shard. Null texts count as empty. Rows may
+    Rows with equal texts stay together unless they are more than a shard holds. Null texts count as empty. Rows may
     share a key, and keys may be null. An empty table gives no rows.
     """
     body = F.coalesce(F.col(text), F.lit(""))
@@ -54,7 +54,7 @@ def shard(docs: DataFrame, key: str, text: str, shards: int = 16, bundles: int =
     total = groups.agg(*[F.sum(c).alias(c) for c in _SIZES]).first()
     whole = {c: float(total[c] or 1) for c in _SIZES}
     share = F.greatest(*[F.col(c) / whole[c] for c in _SIZES])
-    piece = CUT / shards / 4
+    piece = CUT / shards / 16
     pieces = F.when((F.col("rows") > 1) & (share > CUT / shards), F.least(F.ceil(share / piece), "rows")).otherwise(1)
     alone = groups.where(share > 1.0 / bundles).select("text_hash", "crc", pieces.cast("long").alias("pieces"))
     # at most three times BUNDLES groups are that large, one for each kind of size
