@@ -43,9 +43,9 @@ ANNOTATIONS = """ann AS (
 SCORERS = (("alpha", 7, 5), ("beta", 3, 11), ("gamma", 13, 6))
 
 
-def predictions(spark: SparkSession, sf: str) -> DataFrame:
+def predictions(spark: SparkSession, sf: str, scorers=SCORERS) -> DataFrame:
     models = F.array(
-        *[F.struct(F.lit(n).alias("model"), F.lit(a).alias("a"), F.lit(b).alias("b")) for n, a, b in SCORERS]
+        *[F.struct(F.lit(n).alias("model"), F.lit(a).alias("a"), F.lit(b).alias("b")) for n, a, b in scorers]
     )
     rows = annotations(spark, sf).withColumn("_m", F.explode(models))
     logits = F.array(
@@ -65,14 +65,14 @@ def single_predictions(spark: SparkSession, sf: str) -> DataFrame:
     """One model on all domains: ``doc_id, text, true_label, logits``."""
     from corpusloom.operators.filters import binary_label
 
-    rows = predictions(spark, sf).where(F.col("model") == "alpha")
+    rows = predictions(spark, sf, SCORERS[:1])
     return rows.withColumn("true_label", binary_label("label"))
 
 
-def scored(spark: SparkSession, sf: str) -> DataFrame:
+def scored(spark: SparkSession, sf: str, scorers=SCORERS) -> DataFrame:
     from corpusloom.operators.filters import attach_predictions, to_binary
 
-    return attach_predictions(to_binary(predictions(spark, sf).withColumn("original_label", F.col("label"))))
+    return attach_predictions(to_binary(predictions(spark, sf, scorers).withColumn("original_label", F.col("label"))))
 
 
 PREDICTIONS = (

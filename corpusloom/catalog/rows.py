@@ -206,7 +206,7 @@ def _(spark, sf):
     "WITH " + I.PREDICTIONS + " SELECT doc_id, original_label, predicted_binary FROM pred WHERE model = 'beta'",
 )
 def _(spark, sf):
-    predicted = I.scored(spark, sf).where(F.col("model") == "beta").select("doc_id", "predicted_binary")
+    predicted = I.scored(spark, sf, I.SCORERS[1:2]).select("doc_id", "predicted_binary")
     rows = J.join_predictions(I.annotations(spark, sf), predicted)
     return rows.select("doc_id", F.col("label").alias("original_label"), "predicted_binary")
 
@@ -469,12 +469,21 @@ def _(spark, sf):
 
 @query(
     "I21_encode_fixed",
-    "SELECT doc_id, 512 AS n_ids, least(" + I.TOKENS.format("text") + ", 512) AS n_real FROM documents",
+    r"""WITH t AS (SELECT doc_id, regexp_extract_all(text, '\S+')[1:512] AS tk FROM documents)
+SELECT doc_id, 512 AS n_ids, len(tk)::BIGINT AS n_real,
+  md5(array_to_string(list_transform(tk, lambda x: list_position(tk, x)), ',')) AS pattern, true AS padded FROM t""",
 )
 def _(spark, sf):
-    rows = L.encode_fixed(I.documents(spark, sf).select("doc_id", "text"))
+    """Ids repeat just where tokens do, and what lies beyond the text is padding."""
+    rows = L.encode_fixed(I.documents(spark, sf).select("doc_id", "text"), buckets=2**31 - 2)
     total = F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("bigint")
-    return rows.select("doc_id", F.size("input_ids").alias("n_ids"), total.alias("n_real"))
+    rows = rows.withColumn("n_real", total).withColumn("own", F.expr("slice(input_ids, 1, int(n_real))"))
+    firsts = F.transform("own", lambda x: F.array_position(F.col("own"), x).cast("string"))
+    padding = F.expr("forall(slice(input_ids, int(n_real) + 1, 512), x -> x = 0)")
+    return rows.select(
+        "doc_id", F.size("input_ids").alias("n_ids"), "n_real", F.md5(F.array_join(firsts, ",").cast("binary")).alias("pattern"),
+        padding.alias("padded"),
+    )
 
 
 @query(

@@ -472,6 +472,32 @@ def _(spark, sf):
     return spark.read.schema(pages.schema).parquet(out).select("source", normalize_title("title").alias("title_key"))
 
 
+@query(
+    "L1_stream_urls",
+    "WITH " + I.NEWS + " SELECT source, url_key, count(DISTINCT url_key) AS n FROM art GROUP BY source, url_key",
+)
+def _(spark, sf):
+    """Copies of a page under one URL, each with a title of its own: only the URL pass can hold them back."""
+    from corpusloom.functions.normalize import normalize_url
+
+    landed, out = scratch_path(spark, "urls"), scratch_path(spark, "urls-out")
+    day = F.lit(I.AS_OF).cast("timestamp")
+    title = F.concat(F.lit("title "), F.col("page_id"))
+    pages = I.news_pages(spark, sf).select("page_id", "source", "url", title.alias("title"), day.alias("publish_ts"))
+    pages.write.parquet(landed)
+    stream = spark.readStream.schema(pages.schema).parquet(landed)
+    running = (
+        intake.stream_articles(stream)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", scratch_path(spark, "urls-checkpoint"))
+        .trigger(availableNow=True)
+        .start(out)
+    )
+    running.awaitTermination()
+    rows = spark.read.schema(pages.schema).parquet(out)
+    return rows.groupBy("source", normalize_url("url").alias("url_key")).agg(F.count("*").alias("n"))
+
+
 @query("L2_stream_annotations", "SELECT doc_id AS row_id, text FROM documents")
 def _(spark, sf):
     landed, sink, checkpoint = (scratch_path(spark, f"intake-{n}") for n in ("in", "out", "checkpoint"))

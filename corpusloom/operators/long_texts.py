@@ -22,9 +22,11 @@ def chunk(
     return df.select(*others, F.posexplode(pieces).alias("chunk_pos", column))
 
 
-def encode_fixed(df: DataFrame, column: str = "text", length: int = 512, tokenizer=None) -> DataFrame:
-    """Add ``input_ids`` and ``attention_mask`` of exactly ``length`` entries."""
-    encoded = T.fixed_length_ids(column, length, tokenizer=tokenizer)
+def encode_fixed(
+    df: DataFrame, column: str = "text", length: int = 512, tokenizer=None, buckets: int = 2**18
+) -> DataFrame:
+    """Add ``input_ids`` (1 to ``buckets``, 0 is padding) and ``attention_mask`` of exactly ``length`` entries."""
+    encoded = T.fixed_length_ids(column, length, buckets, tokenizer=tokenizer)
     return df.withColumn("_encoded", encoded).select(*df.columns, "_encoded.input_ids", "_encoded.attention_mask")
 
 
