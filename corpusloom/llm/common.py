@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -155,9 +153,3 @@ def anchor_rows(values: np.ndarray, window: int, size: int) -> tuple[np.ndarray,
 
 def as_long(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64) if values.dtype == np.uint64 else values)
-
-
-def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(0, batch.num_rows, rows):
-            yield batch.slice(i, rows)

@@ -124,7 +124,18 @@ def _(spark, sf):
     )
 
 
-@query("op8_word_windows")
+@query(
+    "op8_word_windows",
+    """WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+firsts AS (SELECT s, min(doc_id) AS m FROM win GROUP BY 1),
+covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM win JOIN firsts USING (s) WHERE m < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN covered USING (doc_id, p) GROUP BY 1),
+gone AS (SELECT doc_id, count(*) AS n FROM covered GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)""",
+)
 def _(spark, sf):
     rows = doubling.remove_repeats(table(spark, sf, "documents"), "doc_id", "text")
     return rows.select("doc_id", "n_words", _n_removed(), F.sha2("kept", 256).alias("kept_sha256"))
