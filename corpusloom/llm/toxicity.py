@@ -112,8 +112,8 @@ class Model:
         if len(known) + len(new) > REMEMBERED:
             known.clear()
             new = list({u for us in of for u in us})
-        for i in range(0, len(new), 2000):
-            part = new[i : i + 2000]
+        for i in range(0, len(new), 1000):
+            part = new[i : i + 1000]
             known.update(zip(part, self.words([plain(u) for u in part]).tolist(), strict=True))
         out = np.full((len(texts), 2), -2.0)
         for row, us in zip(out, of, strict=True):
@@ -159,8 +159,9 @@ def fit_words(words: list[str], toxic: np.ndarray, clean: np.ndarray, landmarks:
     np.add.at(table, (rows[key], which), weight.astype(np.float32))
     values, vectors = np.linalg.eigh((table.T @ table).astype(float))
     good = values > 1e-5 * values.max()
-    root = vectors[:, good] / np.sqrt(values[good])
-    x = np.column_stack([_landmark_products(words, rows, table) @ root, np.ones(len(words))]).astype(np.float32)
+    root = (vectors[:, good] / np.sqrt(values[good])).astype(np.float32)
+    x = np.ones((len(words), root.shape[1] + 1), np.float32)
+    np.matmul(_landmark_products(words, rows, table), root, out=x[:, :-1])
     blocks = [slice(i, i + 2000) for i in range(0, len(words), 2000)]
     # squared hinge loss, by Newton's method; a word is an example once per text it is in
     v, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], 1e-5 * n.sum())
@@ -178,17 +179,23 @@ def fit_words(words: list[str], toxic: np.ndarray, clean: np.ndarray, landmarks:
         if np.abs(step).max() < 1e-6:
             break
     weights = np.zeros(KEYS)
-    weights[distinct] = table[1:] @ (root @ v[:-1])
+    weights[distinct] = table[1:] @ (root @ v[:-1]).astype(np.float32)
     return weights, float(v[-1])
 
 
 def fit_top(top: np.ndarray, label: np.ndarray) -> tuple[float, float, float]:
     """Logistic regression on the two highest word scores."""
     x, v = np.column_stack([top, np.ones(len(top))]), np.zeros(3)
+    loss = lambda w: np.logaddexp(0, x @ w).sum() - label @ (x @ w) + 5e-3 * w @ w
     for _ in range(50):
         p = 1 / (1 + np.exp(-x @ v))
         slope = x.T @ (p - label) + 1e-2 * v
-        v -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(3), slope)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(3), slope)
+        while np.abs(step).max() > 1e-9 and loss(v - step) > loss(v):
+            step /= 2  # a full step may overshoot
+        v = v - step
+        if np.abs(step).max() < 1e-9:
+            break
     return tuple(v.tolist())
 
 
