@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import CONTENT_LIMIT, LENGTH_BINS, length_bin
 from corpusloom.functions.tokens import char_count, token_count, word_count
+from corpusloom.session import materialize
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -142,7 +143,8 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 def attach_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
     """Put each row's class weight on it; a row without a label keeps a null weight."""
-    weights = class_weights(df, label).select(label, F.col("weight").alias(out))
+    # written, so that the optimizer knows how small it is
+    weights = materialize(class_weights(df, label).select(label, F.col("weight").alias(out)), "weights")
     return df.join(weights, label, "left")
 
 

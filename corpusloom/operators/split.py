@@ -7,8 +7,8 @@ three light steps that read only the label and the key:
 2. derive the exact class quotas and the bucket each boundary falls into;
 3. rank the rows of the boundary buckets only, about 1/65,536 of a class each.
 
-Membership is then a comparison with the boundary, joined by class: one row each, which the optimizer broadcasts
-unless there are very many classes, so the full rows are neither shuffled nor sorted.
+Membership is then a comparison with the boundary, joined by class. The boundaries, one row per class, are written
+first, so the optimizer knows their size and broadcasts them: the full rows are neither shuffled nor sorted.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from corpusloom.session import materialize
+
 _PREFIX = 4
 
 
@@ -117,6 +119,8 @@ def assign_splits(
     chosen = F.lit(names[-1])
     for i in reversed(range(len(fractions))):
         chosen = F.when(own <= F.col(f"_cut_{i}"), names[i]).otherwise(chosen)
+    # Written, so that its size is known: the optimizer then broadcasts it unless the classes are very many.
+    cuts = materialize(cuts, "cuts")
     # Left join: a class all of whose earlier parts are empty has no boundary and belongs to the last part.
     return df.join(cuts, label, "left").withColumn(out, chosen).select(*df.columns, out)
 
