@@ -70,7 +70,8 @@ def repeated(found: DataFrame) -> DataFrame:
 
 
 def classes(anchors: DataFrame) -> DataFrame:
-    """One row per class of anchors that has others with the same hash: size, first member, number of classes."""
+    """One row per class of anchors that has others with the same hash: size ``n``, first member, number of classes and
+    the least size among them."""
     own = (
         anchors.where("NOT one")
         .groupBy("gram", "ctx")
@@ -78,7 +79,7 @@ def classes(anchors: DataFrame) -> DataFrame:
         .select("gram", "ctx", "n", "rep.*")
     )
     own = materialize(own, "own")
-    numbers = materialize(own.groupBy("gram").agg(F.count("*").alias("n_classes")), "numbers")
+    numbers = own.groupBy("gram").agg(F.count("*").alias("n_classes"), F.min("n").alias("least_n"))
     return materialize(own.join(numbers, "gram"), "classes")
 
 

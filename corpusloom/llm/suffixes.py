@@ -213,8 +213,10 @@ def remove_repeats(df: DataFrame, key: str, text: str, window: int = 400, size:
     anchors = repeats.repeated(repeats.find_anchors(docs, _bytes, window, size))
     classes = repeats.classes(anchors)
     reach = window - size
-    found = _compare(_contexts(classes.where(F.col("n_classes") <= GROUP), docs, window, size), window, size)
-    hot = classes.where(F.col("n_classes") > GROUP)
+    # a class of two members is repeated as it is; only for single ones others have to be looked at
+    open_ = classes.where("least_n = 1")
+    found = _compare(_contexts(open_.where(F.col("n_classes") <= GROUP), docs, window, size), window, size)
+    hot = open_.where(F.col("n_classes") > GROUP)
     if not hot.isEmpty():
         rows = repeats.window_hashes(hot, docs, _bytes, window, size).select("gram", "ctx", "back", "hash").distinct()
         often = rows.groupBy("gram", "back", "hash").agg(F.count("*").alias("times")).where("times > 1")
