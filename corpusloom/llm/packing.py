@@ -55,8 +55,9 @@ def shard(docs: DataFrame, key: str, text: str, shards: int = 16, bundles: int =
     whole = {c: float(total[c] or 1) for c in _SIZES}
     share = F.greatest(*[F.col(c) / whole[c] for c in _SIZES])
     piece = CUT / shards / 16
-    pieces = F.when((F.col("rows") > 1) & (share > CUT / shards), F.least(F.ceil(share / piece), "rows")).otherwise(1)
-    alone = groups.where(share > 1.0 / bundles).select("text_hash", "crc", pieces.cast("long").alias("pieces"))
+    pieces = F.least(F.ceil(share / piece), "rows").cast("long").alias("pieces")
+    cut = ((F.col("rows") > 1) & (share > CUT / shards)).alias("cut")
+    alone = groups.where(share > 1.0 / bundles).select("text_hash", "crc", pieces, cut)
     # at most three times BUNDLES groups are that large, one for each kind of size
     named = rows.join(F.broadcast(alone), ["text_hash", "crc"], "left")
     own = F.col("pieces").isNotNull()
@@ -64,16 +65,22 @@ def shard(docs: DataFrame, key: str, text: str, shards: int = 16, bundles: int =
         "id", "size", "tokens", "crc",
         F.when(own, F.col("text_hash")).otherwise(F.expr(f"pmod(text_hash, {bundles})")).alias("a"),
         F.when(own, F.col("crc")).otherwise(F.lit(-1)).alias("b"),
+        # large groups are numbered piece by piece, also those that stay in one shard
         F.when(own, F.expr("pmod(xxhash64(id, 5), pieces)")).otherwise(F.lit(0)).alias("c"),
+        F.coalesce("cut", F.lit(False)).alias("cut"),
     )
     named = materialize(named, "named")
-    items = named.groupBy("a", "b", "c").agg(*sums).orderBy("a", "b", "c").collect()
-    sizes = np.array([[r[c] / whole[c] for c in _SIZES] for r in items]).reshape(-1, len(_SIZES))
-    where = place(sizes, shards)
+    items = named.groupBy("a", "b", "c", "cut").agg(*sums).orderBy("a", "b", "c").collect()
+    groups_of = {}  # what is placed as one: a bundle, a group, or a piece of a group that is cut
+    for r in items:
+        groups_of.setdefault((r.a, r.b, r.c if r.cut else None), []).append(r)
+    sizes = [[sum(r[c] for r in rs) / whole[c] for c in _SIZES] for rs in groups_of.values()]
+    where = place(np.array(sizes).reshape(-1, len(_SIZES)), shards)
     used, placed = [0] * shards, []
-    for item, s in zip(items, where.tolist(), strict=True):
-        placed.append((item.a, item.b, item.c, s, used[s]))
-        used[s] += item.rows
+    for rs, s in zip(groups_of.values(), where.tolist(), strict=True):
+        for r in rs:
+            placed.append((r.a, r.b, r.c, s, used[s]))
+            used[s] += r.rows
     spots = docs.sparkSession.createDataFrame(placed, "a long, b long, c long, shard int, before long")
     within = F.row_number().over(W.partitionBy("a", "b", "c").orderBy("id", "crc", "size"))
     return named.join(F.broadcast(spots), ["a", "b", "c"]).select(
