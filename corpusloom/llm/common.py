@@ -30,6 +30,11 @@ def text_tag(text: str) -> Column:
     return F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))
 
 
+def text_hash(text: str) -> Column:
+    """A tag of 64 bits, for where one id, or none, may stand on very many rows with different texts."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def documents(df: DataFrame, key: str, text: str) -> DataFrame:
     """``id``, ``tag`` and the text as UTF-8 ``body`` (null: empty), whatever else the frame holds."""
     return df.select(

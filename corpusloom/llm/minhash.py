@@ -11,11 +11,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import GRAM, Words, documents, id_or_null, mix
+from corpusloom.llm.common import GRAM, Words, id_or_null, mix, row_id, text_hash
 from corpusloom.llm.components import components
 from corpusloom.session import materialize
 
@@ -36,6 +36,11 @@ def shingles(body: bytes, words: Words, size: int) -> np.ndarray:
     return np.unique(GRAM.grams(GRAM.prefix(hashes), size) + np.uint64(size))
 
 
+def _doc(key: str, tag: str) -> Column:
+    """A document: its id and the hash of its text. Rows that share an id, or have none, may hold different texts."""
+    return F.struct(F.col(key).alias("id"), F.col(tag).alias("tag"))
+
+
 def _permutations() -> tuple[np.ndarray, np.ndarray]:
     seeds = mix(np.arange(1, 2 * PERMUTATIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     return seeds[:PERMUTATIONS] | np.uint64(1), seeds[PERMUTATIONS:]
@@ -80,18 +85,20 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _with_sets(wanted: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """The full sets (packed) of the documents that are wanted (``id``, ``tag``)."""
+    """The full sets (packed) of the documents ``doc`` that are wanted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 part = batch.slice(i, 500)
-                sets = [shingles(b.as_py(), words, size).tobytes() for b in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["id", "shingles"])
+                sets = [shingles(b.as_py(), words, size).tobytes() for b in part.column(2)]
+                columns = [part.column(0), part.column(1), pa.array(sets, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "tag", "shingles"])
 
-    rows = docs.join(wanted, ["id", "tag"], "left_semi").select("id", "body")
-    return rows.mapInArrow(run, "id long, shingles binary").dropDuplicates(["id"])
+    rows = docs.join(wanted.select("doc.id", "doc.tag"), ["id", "tag"], "left_semi").select("id", "tag", "body")
+    sets = rows.mapInArrow(run, "id long, tag long, shingles binary").dropDuplicates(["id", "tag"])
+    return sets.select(_doc("id", "tag").alias("doc"), "shingles")
 
 
 def similar(n_common: int, n_a: int, n_b: int, percent: int) -> bool:
@@ -103,17 +110,28 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple[int, int]] = []
-            for u, v, a, b in zip(*(batch.column(i) for i in range(4)), strict=True):
+            sure = []
+            for a, b in zip(batch.column(4), batch.column(5), strict=True):
                 a, b = (np.frombuffer(x.as_buffer(), np.uint64) for x in (a, b))
-                if similar(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b), percent):
-                    out.append((u.as_py(), v.as_py()))
-            columns = zip(*out, strict=True) if out else ([], [])
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["u", "v"])
+                sure.append(similar(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b), percent))
+            yield batch.select(_ENDS).filter(pa.array(sure, pa.bool_()))
+
+    left = sets.select(F.col("doc").alias("u"), F.col("shingles").alias("a"))
+    right = sets.select(F.col("doc").alias("v"), F.col("shingles").alias("b"))
+    both = pairs.join(left, "u").join(right, "v").select(*_flat("u"), *_flat("v"), "a", "b")
+    return _links(both.mapInArrow(run, _KINDS))
+
+
+_ENDS = ["u_id", "u_tag", "v_id", "v_tag"]
+_KINDS = ", ".join(f"{c} long" for c in _ENDS)
+
+
+def _flat(doc: str) -> list[Column]:
+    return [F.col(f"{doc}.{c}").alias(f"{doc}_{c}") for c in ("id", "tag")]
 
-    left = sets.select(F.col("id").alias("u"), F.col("shingles").alias("a"))
-    right = sets.select(F.col("id").alias("v"), F.col("shingles").alias("b"))
-    return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
+
+def _links(ends: DataFrame) -> DataFrame:
+    return ends.select(_doc("u_id", "u_tag").alias("u"), _doc("v_id", "v_tag").alias("v"))
 
 
 def _tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -133,23 +151,24 @@ def _tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         F.coalesce(F.sum(own).over(in_bucket.orderBy("c").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("skip"),
     )
     parts = parts.withColumns({"lo": F.col("shared") + F.col("skip"), "hi": F.col("shared") + F.col("skip") + F.col("own")})
-    block = F.expr("CASE WHEN large THEN lo + pmod(xxhash64(id), own) ELSE pmod(xxhash64(c), shared) END")
+    block = F.expr("CASE WHEN large THEN lo + pmod(xxhash64(doc), own) ELSE pmod(xxhash64(c), shared) END")
     blocks = members.join(parts, ["bucket", "c"]).withColumn("block", block)
     others = F.filter(
         F.sequence(F.lit(0).cast("long"), (F.col("shared") + F.col("owned") - 1).cast("long")),
         lambda b: ~F.col("large") | (b < F.col("lo")) | (b >= F.col("hi")),
     )
-    placed = blocks.select("bucket", "id", "c", "n", "block", F.explode(others).alias("other")).select(
-        "bucket", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "c", "n"
+    placed = blocks.select("bucket", "doc", "c", "n", "block", F.explode(others).alias("other")).select(
+        "bucket", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "doc", "c", "n"
     )
 
     def run(key, group):
         import pandas as pd
 
         x, y = key[1], key[2]
-        group = group.sort_values("id")
+        group = group.sort_values(["doc_id", "doc_tag"])
         found = [np.frombuffer(s, np.uint64) for s in group["shingles"]]
-        ids, comps, n, block = (group[c].to_numpy() for c in ("id", "c", "n", "block"))
+        docs, n, block = group[["doc_id", "doc_tag"]].to_numpy(), group["n"].to_numpy(), group["block"].to_numpy()
+        comps = np.unique(group[["c_id", "c_tag"]].to_numpy(), axis=0, return_inverse=True)[1].ravel()
         joined: dict[int, int] = {}
 
         def root(c: int) -> int:
@@ -160,7 +179,7 @@ def _tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         universe, place = np.unique(np.concatenate(found), return_inverse=True)
         starts = np.concatenate([[0], np.cumsum([len(f) for f in found])])
         out = []
-        for i in range(len(ids) - 1):
+        for i in range(len(docs) - 1):
             if (comps[i + 1 :] == comps[i]).all():
                 continue
             mine = np.zeros(len(universe), bool)
@@ -174,10 +193,11 @@ def _tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 a, b = root(comps[i]), root(comps[j])
                 if a != b:
                     joined[max(a, b)] = min(a, b)
-                    out.append((ids[i], ids[j]))
-        return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+                    out.append((*docs[i], *docs[j]))
+        return pd.DataFrame(out, columns=_ENDS, dtype="int64")
 
-    return placed.join(sets, "id").groupBy("bucket", "x", "y").applyInPandas(run, "u long, v long")
+    tiles = placed.join(sets, "doc").select("bucket", "x", "y", "block", *_flat("doc"), *_flat("c"), "n", "shingles")
+    return _links(tiles.groupBy("bucket", "x", "y").applyInPandas(run, _KINDS))
 
 
 def near_duplicates(df: DataFrame, key: str, text: str, size: int = 4, percent: int = 80) -> DataFrame:
@@ -186,45 +206,55 @@ def near_duplicates(df: DataFrame, key: str, text: str, size: int = 4, percent:
     Per row: ``key``, ``n_shingles``, ``component_id`` (the smallest key reachable by links, itself included) and
     ``kept`` (it is its component's smallest). A text of fewer words is one shingle; a null text or one without words
     has none and no links. Equal sets are linked. A null key is smaller than any other and shown as null; rows with
-    the same key are one node of the graph.
+    the same key are one node of the graph, which has the links of all their texts.
+    """
+    rows = materialize(linked(df, key, text, size, percent), "linked")
+    # rows that share a key are one node, and a key of several rows may hold several sets
+    every = components(rows.select(F.col("id").alias("u"), F.col("head.id").alias("v")))
+    out = rows.join(every, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    return out.select(
+        id_or_null(F.col("id")).alias(key),
+        F.col("n").alias("n_shingles"),
+        id_or_null(F.col("component")).alias("component_id"),
+        (F.col("id") == F.col("component")).alias("kept"),
+    )
+
+
+def linked(df: DataFrame, key: str, text: str, size: int = 4, percent: int = 80) -> DataFrame:
+    """The links of ``near_duplicates`` among texts, whatever rows share a key: ``id``, ``tag`` (the hash of the text),
+    ``n`` and ``head`` of every row, the smallest ``id`` and ``tag`` reachable.
 
     Equal sets become one node first. In each bucket all sets are then compared with its first one, and components
     are formed; only buckets whose sets are still in different components are compared further, tile by tile. So a
     group of copies or near copies, however large, costs about a comparison per member and bucket, and no link between
     components is missed.
     """
-    docs = documents(df, key, text)
-    signed = materialize(signatures(docs, size), "signatures")
+    body = F.coalesce(F.col(text), F.lit("")).cast("binary").alias("body")
+    docs = df.select(row_id(key).alias("id"), text_hash(text).alias("tag"), body)
+    signed = materialize(signatures(docs, size), "signatures").withColumn("doc", _doc("id", "tag"))
     full = signed.where("n > 0")
-    nodes = materialize(full.groupBy("d1", "d2").agg(F.min("id").alias("node")), "nodes")
+    nodes = materialize(full.groupBy("d1", "d2").agg(F.min("doc").alias("node")), "nodes")
     same = full.join(nodes, ["d1", "d2"])
     # equal sets: the first row of each stands for all of them
-    rows = same.where("id = node").select("id", "tag", "n", F.explode("bands").alias("bucket"))
-    firsts = rows.groupBy("bucket").agg(F.min("id").alias("v"), F.count("*").alias("size")).where("size > 1")
-    members = materialize(rows.join(firsts.select("bucket", "v"), "bucket").where("id <> v"), "members")
-    sizes = full.groupBy(F.col("id").alias("v")).agg(F.max("n").alias("m"))
+    rows = same.where("doc = node").select("doc", "n", "bands").dropDuplicates(["doc"])
+    rows = rows.select("doc", "n", F.explode("bands").alias("bucket"))
+    firsts = rows.groupBy("bucket").agg(F.min(F.struct("doc", "n")).alias("first"), F.count("*").alias("size"))
+    firsts = firsts.where("size > 1").select("bucket", F.col("first.doc").alias("v"), F.col("first.n").alias("m"))
+    members = materialize(rows.join(firsts, "bucket").where("doc <> v"), "members")
     pairs = materialize(
-        members.select(F.col("id").alias("u"), "v", "n").distinct()
-        .join(sizes, "v")
-        .where(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))  # else too unlike in size
-        .select("u", "v"), "pairs",
+        members.where(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))  # else too unlike in size
+        .select(F.col("doc").alias("u"), "v").distinct(), "pairs",
     )
-    wanted = members.select("id").union(pairs.select("v")).distinct()
-    sets = materialize(_with_sets(full.join(wanted, "id", "left_semi").select("id", "tag"), docs, size), "sets")
+    wanted = members.select("doc").union(pairs.select("v")).distinct()
+    sets = materialize(_with_sets(wanted, docs, size), "sets")
     links = materialize(_confirm(pairs, sets, percent), "links")
-    grouped = components(links)
+    grouped = components(links).withColumnRenamed("id", "doc")
     # each member has been compared with the bucket's first; what is left are pairs of the others
-    labelled = members.join(grouped, "id", "left").withColumn("c", F.coalesce("component", "id"))
+    labelled = members.join(grouped, "doc", "left").withColumn("c", F.coalesce("component", "doc"))
     mixed = labelled.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
-    left = labelled.join(mixed, "bucket", "left_semi").select("bucket", "id", "c", "n")
+    left = labelled.join(mixed, "bucket", "left_semi").select("bucket", "doc", "c", "n")
     more = _tiles(left, sets, percent)
-    copies = same.where("id <> node").select(F.col("id").alias("u"), F.col("node").alias("v"))
-    every = components(links.union(more).union(copies))
-    # rows that share a key are one node, and a key of several rows may hold several sets
-    out = signed.join(every, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    return out.select(
-        id_or_null(F.col("id")).alias(key),
-        F.col("n").alias("n_shingles"),
-        id_or_null(F.col("component")).alias("component_id"),
-        (F.col("id") == F.col("component")).alias("kept"),
-    )
+    copies = same.where("doc <> node").select(F.col("doc").alias("u"), F.col("node").alias("v"))
+    every = components(links.union(more).union(copies)).withColumnRenamed("id", "doc")
+    out = signed.select("id", "tag", "n", "doc").join(every, "doc", "left")
+    return out.select("id", "tag", "n", F.coalesce("component", "doc").alias("head"))

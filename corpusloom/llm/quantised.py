@@ -80,12 +80,14 @@ def forest(n: int, pairs: list[tuple[np.ndarray, np.ndarray]], rank: np.ndarray)
     return away, head[away]
 
 
-def _usable(key: str, vector: str, df: DataFrame) -> DataFrame:
+def _vectors(key: str, vector: str, df: DataFrame) -> DataFrame:
+    """``id``, ``v`` and whether it is ``usable``: not null, empty or zero, and all components finite."""
     v = F.col("v")
     kind = "array<float>" if dict(df.dtypes)[vector] == "array<float>" else "array<double>"
     wide = df.select(row_id(key).alias("id"), F.col(vector).cast(kind).alias("v"))
     fine = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
-    return wide.where(v.isNotNull() & (F.size(v) > 0) & F.forall(v, fine) & F.exists(v, lambda x: x != 0.0))
+    usable = v.isNotNull() & (F.size(v) > 0) & F.forall(v, fine) & F.exists(v, lambda x: x != 0.0)
+    return wide.withColumn("usable", F.coalesce(usable, F.lit(False)))
 
 
 def _cells(distinct: DataFrame, cells: int) -> tuple[DataFrame, dict[int, np.ndarray]]:
@@ -100,7 +102,7 @@ def _cells(distinct: DataFrame, cells: int) -> tuple[DataFrame, dict[int, np.nda
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cell, angle = [], []
-            for row in batch.column(2):
+            for row in batch.column(3):
                 x = row.values.to_numpy().astype(float)
                 if len(x) in by_dim:
                     cosines = by_dim[len(x)] @ (x / np.linalg.norm(x))
@@ -114,8 +116,8 @@ def _cells(distinct: DataFrame, cells: int) -> tuple[DataFrame, dict[int, np.nda
                 [*batch.schema.names, "cell", "angle"],
             )
 
-    kinds = f"id long, m long, v {dict(distinct.dtypes)['v']}, cell long, angle double"
-    return distinct.select("id", "m", "v").mapInArrow(run, kinds).withColumn("dim", F.size("v").cast("long")), by_dim
+    kinds = f"id long, node long, m long, v {dict(distinct.dtypes)['v']}, cell long, angle double"
+    return distinct.select("id", "node", "m", "v").mapInArrow(run, kinds).withColumn("dim", F.size("v").cast("long")), by_dim
 
 
 def _tiles(placed: DataFrame, by_dim: dict[int, np.ndarray], threshold: float, block: int) -> DataFrame:
@@ -141,7 +143,7 @@ def _tiles(placed: DataFrame, by_dim: dict[int, np.ndarray], threshold: float, b
         placed.join(F.broadcast(sizes), ["dim", "cell"])
         .withColumn("block", F.expr("pmod(xxhash64(id, 7), n_blocks)"))
         .groupBy("dim", "cell", "block")
-        .agg(F.collect_list(F.struct("id", "m", "v")).alias("rows")),
+        .agg(F.collect_list(F.struct("id", "node", "m", "v")).alias("rows")),
         "blocks",
     )
     pairs = (
@@ -167,8 +169,11 @@ def near_vectors(
     null key is smaller than any other and shown as null; rows with the same key are separate vectors, but one node
     of the graph.
     """
-    usable = materialize(_usable(key, vector, df), "vectors")
-    distinct = materialize(usable.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("m")), "distinct")
+    rows = materialize(_vectors(key, vector, df), "vectors")
+    usable = rows.where("usable").select("id", "v")
+    distinct = usable.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("m"))
+    # a number of its own for each vector, since several may have the same least id; it holds once it is written
+    distinct = materialize(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct")
     # fewer cells than full blocks would make small blocks and more of them
     placed, by_dim = _cells(distinct, min(cells, distinct.count() // block + 1))
     tiles = _tiles(materialize(placed, "placed"), by_dim, threshold, block)
@@ -176,11 +181,12 @@ def near_vectors(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in zip(batch.column(0), batch.column(1), strict=True):
-                sides = [x.values.flatten() for x in (a, b)]  # id, m, v
+                sides = [x.values.flatten() for x in (a, b)]  # id, node, m, v
                 ids = [s[0].to_numpy() for s in sides]
-                times = [s[1].to_numpy() for s in sides]
-                vectors = [s[2].flatten().to_numpy().astype(float).reshape(len(i), -1) for s, i in zip(sides, ids, strict=True)]
-                within = len(ids[0]) == len(ids[1]) and (ids[0] == ids[1]).all() and (vectors[0] == vectors[1]).all()
+                nodes = [s[1].to_numpy() for s in sides]
+                times = [s[2].to_numpy() for s in sides]
+                vectors = [s[3].flatten().to_numpy().astype(float).reshape(len(i), -1) for s, i in zip(sides, ids, strict=True)]
+                within = len(nodes[0]) == len(nodes[1]) and (nodes[0] == nodes[1]).all()
                 links = [np.zeros(len(i), np.int64) for i in ids]
                 offset = 0 if within else len(ids[0])
                 pairs = []
@@ -189,31 +195,33 @@ def near_vectors(
                         np.add.at(links[0], u, times[1][v])
                         np.add.at(links[1], v, times[0][u])
                         pairs.append((u, v + offset))
-                nodes = ids[0] if within else np.concatenate(ids)
+                id_, node = (x[0] if within else np.concatenate(x) for x in (ids, nodes))
                 counts = links[0] + links[1] if within else np.concatenate(links)
-                head = np.arange(len(nodes))
+                head = np.arange(len(id_))
                 if pairs:
-                    away, to = forest(len(nodes), pairs, nodes)
+                    away, to = forest(len(id_), pairs, id_)
                     head[away] = to
                 some = np.nonzero(counts)[0]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes[some]), pa.array(counts[some]), pa.array(nodes[head[some]])], ["id", "links", "head"]
+                    [pa.array(x) for x in (id_[some], node[some], counts[some], id_[head[some]])],
+                    ["id", "node", "links", "head"],
                 )
 
-    found = materialize(tiles.mapInArrow(run, "id long, links long, head long"), "links")
-    counts = found.groupBy("id").agg(F.sum("links").alias("links"))
-    classes = distinct.join(counts, "id", "left").select(
-        "v", F.col("id").alias("node"), (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links")
+    found = materialize(tiles.mapInArrow(run, "id long, node long, links long, head long"), "links")
+    counts = found.groupBy("node").agg(F.sum("links").alias("links"))
+    classes = distinct.join(counts, "node", "left").select(
+        "v", F.col("id").alias("first"), (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links")
     )
-    rows = materialize(usable.join(classes, "v").select("id", "node", "n_links"), "rows")
-    grouped = components(found.select(F.col("id").alias("u"), F.col("head").alias("v")).union(rows.select("id", "node")))
-    linked = rows.groupBy("id").agg(F.max("n_links").alias("n_links")).join(grouped, "id", "left")
+    counted = materialize(usable.join(classes, "v").select("id", "first", "n_links"), "rows")
+    grouped = components(found.select(F.col("id").alias("u"), F.col("head").alias("v")).union(counted.select("id", "first")))
+    others = rows.where("NOT usable").select("id", F.lit(0).cast("long").alias("n_links"))
     return (
-        df.select(row_id(key).alias("id"))
-        .join(linked, "id", "left")
+        counted.select("id", "n_links")
+        .union(others)
+        .join(grouped, "id", "left")
         .select(
             id_or_null(F.col("id")).alias(key),
-            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+            "n_links",
             id_or_null(F.coalesce("component", "id")).alias("component_id"),
             (F.coalesce("component", "id") == F.col("id")).alias("kept"),
         )

@@ -55,6 +55,23 @@ def test_documents(spark, monkeypatch, tile):
     same(got, brute(data))
 
 
+@pytest.mark.parametrize("tile", [256, 4])
+def test_ids_of_several_texts(spark, monkeypatch, tile):
+    monkeypatch.setattr(minhash, "TILE", tile)
+    rng = random.Random(5)
+    data = []
+    for i in range(40):  # the two texts of an id, or all those of none, have nothing in common
+        for part in "ab":
+            words = [f"{part}{i}x{j}" for j in range(60)]
+            data.append((None if i < 3 else i, " ".join(words)))
+            data += [(1000 + 2 * i + (part == "b"), " ".join([*words[:-1], "near"]))]
+    data += near_copies(2, 30) + [(None if rng.random() < 0.3 else 2000 + i % 7, t) for i, t in near_copies(3, 30)]
+    data += [data[0], (5, None), (5, ""), (None, "")]
+    rng.shuffle(data)
+    got = minhash.near_duplicates(rows.frame(spark, data), "doc_id", "text").collect()
+    same(got, brute(data))
+
+
 def test_null_ids_and_empty(spark):
     data = [(None, "a b c d e"), (None, None), (4, "A b  c\td e"), (5, "")]
     got = minhash.near_duplicates(rows.frame(spark, data), "doc_id", "text").collect()
@@ -102,6 +119,24 @@ def test_vectors(spark, kind, block):
     assert quantised.near_vectors(df.limit(0), "vec_id", "embedding").collect() == []
 
 
+@pytest.mark.parametrize("block", [4096, 16])
+def test_vectors_of_shared_ids(spark, block):
+    data = [(None if i is None or i % 9 == 0 else i // 2, v) for i, v in vectors()]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = quantised.near_vectors(df, "vec_id", "embedding", block=block, cells=5).collect()
+    ids, links, n_links = [-1 if i is None else i for i, _ in data], [], [0] * len(data)
+    fine = lambda v: v and all(x is not None and np.isfinite(x) for x in v) and any(v)
+    for a, (_, v) in enumerate(data):
+        for b, (_, w) in enumerate(data):
+            if a != b and fine(v) and fine(w) and len(v) == len(w):
+                if np.dot(v, w) / (np.linalg.norm(v) * np.linalg.norm(w)) >= 0.95:
+                    links.append((ids[a], ids[b]))
+                    n_links[a] += 1
+    least = rows.components(set(ids), links)
+    null = lambda i: None if i == -1 else i
+    same(got, [(null(i), n, null(least[i]), least[i] == i) for i, n in zip(ids, n_links, strict=True)])
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(300, 64))
