@@ -10,32 +10,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import minhash, secrets, toxicity, winnowing
-from corpusloom.llm.common import row_id, table, text_tag
+from corpusloom.llm.common import row_id, table, text_hash
 from corpusloom.llm.queries import bpe_digests, is_toxic, toxicity_model
 from corpusloom.session import materialize
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    """With ``_row``, a hash of id and text: rows that share an id, or have none, are judged by their own text alone."""
+    return docs.withColumn("_row", F.xxhash64(row_id("doc_id"), text_hash("text")))
+
+
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows whose ``doc_id`` is not in ``dropped``. A null id counts as a value."""
-    named = docs.withColumn("_id", row_id("doc_id"))
-    return named.join(dropped.select(row_id("doc_id").alias("_id")), "_id", "left_anti").select(*docs.columns)
+    """The rows whose ``_row`` is not in ``dropped``."""
+    return _named(docs).join(dropped.select("_row"), "_row", "left_anti").select(*docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity_model(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, toxicity.toxicity(docs, "doc_id", "text", model).where(is_toxic()))
+    return _without(docs, toxicity.toxicity(_named(docs), "_row", "text", model).where(is_toxic()))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, and one row of those that repeat it."""
-    rows = minhash.near_duplicates(docs, "doc_id", "text")
-    kept = _without(docs, rows.where("NOT kept"))
-    named = kept.withColumns({"_id": row_id("doc_id"), "_tag": text_tag("text")})
-    return named.dropDuplicates(["_id", "_tag"]).select(*docs.columns)
+    rows = minhash.linked(docs, "doc_id", "text").where("id <> head.id OR tag <> head.tag")
+    kept = _without(docs, rows.select(F.xxhash64("id", "tag").alias("_row")))
+    return _named(kept).dropDuplicates(["_row"]).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = winnowing.contamination(docs, table(spark, sf_dir, "benchmark"))
+    rows = winnowing.contamination(_named(docs), table(spark, sf_dir, "benchmark"), "_row")
     return _without(docs, rows.where(winnowing.is_contaminated()))
 
 
