@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, doubling, minhash, packing, quantised, secrets, suffixes, toxicity, urls, winnowing
+from corpusloom.llm import (
+    alignment, bpe, collocations, doubling, minhash, packing, quality, quantised, secrets, suffixes, toxicity, urls, winnowing,
+)
 from corpusloom.llm.common import id_or_null, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,6 +176,8 @@ def _(spark, sf):
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
     """Token counts and digests of the ids and of the decoded text."""
+    import public_tokenizers  # where it is missing, only the queries with its vocabularies are
+
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     decoded = bpe.decode(bpe.encode(docs, "doc_id", "text", vocabulary), vocabulary)
     return decoded.select(
@@ -188,3 +191,93 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
 @query("op9_bpe")
 def _(spark, sf):
     return bpe_digests(table(spark, sf, "documents"))
+
+
+@query("op11_token_alignment")
+def _(spark, sf):
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as a, open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as b:
+        first, second = a.read(), b.read()
+    rows = alignment.link_counts(table(spark, sf, "documents"), "doc_id", "text", first, second, digest=True)
+    return rows.withColumnRenamed("groups", "groups_sha256")
+
+
+@query(
+    "op12_phrase_collocations",
+    """WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS p FROM d),
+w AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM p),
+sized AS (SELECT lang, w, unnest([1, 2, 3, 4]) AS n FROM w),
+grams AS (SELECT lang, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM (SELECT lang, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM sized)),
+f AS (SELECT lang, n, g, count(*) AS f FROM grams GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS total FROM f WHERE n = 1 GROUP BY 1),
+c AS (SELECT lang, n, g, f AS a, string_split(g, ' ') AS w FROM f WHERE n > 1 AND f >= 30),
+cuts AS (SELECT lang, g, a, k, array_to_string(w[:k], ' ') AS h, array_to_string(w[k + 1:], ' ') AS t FROM (SELECT *, unnest(range(1, n)) AS k FROM c)),
+scored AS (SELECT c.lang, c.g, c.a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a // (x.f + y.f))::BIGINT AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.g = c.h JOIN f y ON y.lang = c.lang AND y.g = c.t),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inner_parts AS (SELECT lang, a, array_to_string(w[i:i + m - 1], ' ') AS g FROM
+  (SELECT *, unnest(range(1, n - m + 2)) AS i FROM (SELECT *, unnest(range(2, n)) AS m FROM c WHERE n > 2))),
+longer AS (SELECT lang, g, max(a) AS most FROM inner_parts GROUP BY 1, 2),
+free AS (SELECT s.* FROM weakest s LEFT JOIN longer USING (lang, g) WHERE most IS NULL OR 100 * most::HUGEINT < 80 * s.a::HUGEINT),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM free)
+SELECT lang, rank::BIGINT AS rank, g AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, total AS n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000""",
+)
+def _(spark, sf):
+    return collocations.collocations(table(spark, sf, "documents"), "text", "lang")
+
+
+_MARGINS, _SHARES = (f"[{', '.join(map(repr, x))}]" for x in (quality.MARGINS, quality.SHARES))
+
+
+@query(
+    "op13_risk_controlled_quality",
+    f"""WITH d AS (SELECT doc_id, coalesce(lang, 'und') AS lang, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, lang, t, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM d),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+again AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY 1),
+m AS (SELECT doc_id, lang, md5(t) AS digest, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+  length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS caps,
+  length(regexp_replace(t, '[^0-9]', '', 'g')) AS digits, len(lines) AS n_lines,
+  (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN rep USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  least(1000, floor(word_chars * 10.0::DOUBLE / greatest(n_words, 1)))::INT AS len10 FROM m),
+s AS (SELECT doc_id, lang, digest, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  [least(1000, floor(n_symbols * 1000.0::DOUBLE / greatest(word_chars, 1)))::INT, least(1000, floor(caps * 1000.0::DOUBLE / greatest(word_chars, 1)))::INT,
+   least(1000, floor(digits * 1000.0::DOUBLE / greatest(word_chars, 1)))::INT, least(1000, floor(n_repeat_words * 1000.0::DOUBLE / greatest(n_words, 1)))::INT,
+   least(1000, floor(n_dup_lines * 1000.0::DOUBLE / greatest(n_lines, 1)))::INT, least(1000, floor(n_lines * 1000.0::DOUBLE / greatest(n_words, 1)))::INT,
+   len10, 1000 - len10] AS scores FROM b),
+marks AS (SELECT doc_id, min(quality) AS good FROM labels WHERE quality IN (0, 1) GROUP BY 1),
+texts AS (SELECT lang, min(scores) AS scores, min(good) = 1 AS good, ('0x' || substr(digest, 1, 6))::INT % 3 = 0 AS design
+  FROM s JOIN marks USING (doc_id) WHERE NOT base_failed GROUP BY lang, digest),
+cells AS (SELECT lang, rule, score, count(*) FILTER (good) AS good, count(*) FILTER (NOT good) AS bad
+  FROM (SELECT lang, good, unnest(range(8)) AS rule, unnest(scores) AS score FROM texts WHERE design) GROUP BY ALL),
+above AS (SELECT *, coalesce(sum(good) OVER w, 0) AS good_above, coalesce(sum(bad) OVER w, 0) AS bad_above,
+  sum(good) OVER (PARTITION BY lang, rule) AS n_good, sum(bad) OVER (PARTITION BY lang, rule) AS n_bad
+  FROM cells WINDOW w AS (PARTITION BY lang, rule ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+worst AS (SELECT lang, rule, max(score) AS worst FROM above WHERE good > 0 GROUP BY 1, 2),
+cuts AS (SELECT lang, rule, j - 1 AS level, worst + floor((1000 - worst) * {_MARGINS}[j])::INT AS cut FROM worst, range(1, {len(quality.MARGINS) + 1}) t(j)
+  UNION ALL SELECT lang, rule, {len(quality.MARGINS)} + j - 1, min(score) FROM above, range(1, {len(quality.SHARES) + 1}) t(j)
+  WHERE good > 0 AND good_above <= floor(n_good * {_SHARES}[j]) GROUP BY lang, rule, j),
+active AS (SELECT lang, rule FROM above WHERE good > 0 AND good_above <= floor(n_good * {quality.SHARES[-1]!r}) GROUP BY lang, rule
+  HAVING max(n_bad) > 0 AND max(bad_above) >= {quality.LIFT * quality.SHARES[-1]!r} * max(n_bad)),
+levels AS (SELECT lang, level, list(CASE WHEN a.rule IS NULL THEN 1000 ELSE cut END ORDER BY rule) AS cutoffs
+  FROM cuts LEFT JOIN active a USING (lang, rule) GROUP BY lang, level),
+tested AS (SELECT lang, level, cutoffs, count(*) AS n, count(*) FILTER (len(list_filter(list_zip(scores, cutoffs), lambda x: x[1] > x[2])) > 0) AS k
+  FROM texts JOIN levels USING (lang) WHERE good AND NOT design GROUP BY ALL),
+tails AS (SELECT lang, level, cutoffs, CASE WHEN k >= n * {quality.ALPHA} THEN 1.0 ELSE
+  (SELECT sum(exp(lgamma(n + 1.0) - lgamma(i + 1.0) - lgamma(n - i + 1.0) + i * ln({quality.ALPHA}) + (n - i) * ln(1 - {quality.ALPHA}))) FROM range(0, k + 1) r(i)) END AS p FROM tested),
+judged AS (SELECT *, p > {quality.DELTA} / (SELECT count(DISTINCT lang) FROM tested) AS fails FROM tails),
+passed AS (SELECT lang, level, cutoffs, bool_or(fails) OVER (PARTITION BY lang ORDER BY level) AS over FROM judged),
+chosen AS (SELECT lang, arg_max(cutoffs, level) AS cutoffs FROM passed WHERE NOT over GROUP BY 1)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND coalesce(len(list_filter(list_zip(scores, cutoffs), lambda x: x[1] > x[2])) = 0, true) AS kept
+FROM s LEFT JOIN chosen USING (lang)""",
+)
+def _(spark, sf):
+    rows = quality.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return rows.drop("failed")
