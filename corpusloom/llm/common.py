@@ -26,13 +26,13 @@ def id_or_null(value: Column) -> Column:
 
 
 def text_tag(text: str) -> Column:
-    """A checksum of the text. Ids should be unique; with the tag, rows that share one stay apart."""
-    return F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    """A hash of the text. Ids should be unique; with the tag, rows that share one, or have none, stay apart. 64 bits,
+    because one id, or none, may stand on very many rows."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
 def text_hash(text: str) -> Column:
-    """A tag of 64 bits, for where one id, or none, may stand on very many rows with different texts."""
-    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    return text_tag(text)
 
 
 def documents(df: DataFrame, key: str, text: str) -> DataFrame:
