@@ -126,10 +126,11 @@ def window_hashes(reps: DataFrame, docs: DataFrame, items: Callable[[], Items],
 
 def spans(anchors: DataFrame, window: int, size: int) -> DataFrame:
     """The stretches that an anchor's removed windows cover, gathered per document. ``most`` and ``least`` say how
-    far before the anchor the first and the last of those windows begin (more than exist at a text's end are cut)."""
+    far before the anchor the first and the last of those windows begin (more than exist at a text's end are cut).
+    Rows with the same id and text send the same stretches, which count once."""
     start = F.greatest(F.col("pos") - F.col("most"), F.lit(0))
     end = F.col("pos") + window - F.col("least")
-    return anchors.groupBy("id", "tag").agg(F.collect_list(F.struct(start.alias("s"), end.alias("e"))).alias("spans"))
+    return anchors.groupBy("id", "tag").agg(F.collect_set(F.struct(start.alias("s"), end.alias("e"))).alias("spans"))
 
 
 def merged(spans: list[dict] | None, n: int) -> list[tuple[int, int]]:

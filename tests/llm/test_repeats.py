@@ -108,3 +108,36 @@ def test_long_texts_are_cut_without_loss(monkeypatch):
     monkeypatch.setattr(common, "PIECE", 128)
     for a, b in zip(whole, common.anchor_rows(values, 40, 20), strict=True):
         assert (a == b).all()
+
+
+def test_many_equal_rows_of_one_id_and_of_none(spark):
+    """Linear in the rows: the stretches of rows with one id and text count once."""
+    import time
+
+    text = " ".join(f"word{i}" for i in range(300))
+    rows = [(0, text)] + [(5, text)] * 800 + [(None, text + " tail")] * 800
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    start = time.time()
+    by_bytes = suffixes.remove_repeats(frame, "doc_id", "text").collect()
+    by_words = doubling.remove_repeats(frame, "doc_id", "text").collect()
+    assert time.time() - start < 90
+    assert len(by_bytes) == len(by_words) == len(rows)
+    # a null id is below all others: its first 300 words stay, and go from every row with an id
+    assert {r.doc_id: bytes(r.kept) for r in by_words} == {None: (text + " tail").encode(), 0: b"", 5: b""}
+    assert {bytes(r.kept) for r in by_bytes} == {b""}
+
+
+def test_ids_and_checksums_do_not_make_one_document(spark):
+    """Different texts without an id and with equal CRC-32 are two documents."""
+    import zlib
+
+    seen, rng = {}, random.Random(5)
+    while True:
+        body = f"{rng.getrandbits(400):0100x}"
+        if (crc := zlib.crc32(body.encode())) in seen:
+            break
+        seen[crc] = body
+    rows = [(None, seen[crc]), (None, body), (1, seen[crc] + " " + seen[crc])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = suffixes.remove_repeats(frame, "doc_id", "text", 40, 20).collect()
+    assert sorted(bytes(r.kept) for r in got if r.doc_id is None) == [b"", body.encode()]
