@@ -34,8 +34,15 @@ def quantised(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return q, scale, error
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two that brings its largest component near 1: cosines stay, bit for bit, and no norm
+    of a very short or very long vector underflows or overflows."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
+
+
 def close_pairs(a: np.ndarray, b: np.ndarray, threshold: float, within: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places (in ``a``, in ``b``) of the pairs with a cosine of ``threshold`` at least; ``within``: of one block."""
+    a, b = scaled(a), scaled(b)
     unit_a, unit_b = (x / np.linalg.norm(x, axis=1)[:, None] for x in (a, b))
     (qa, sa, ea), (qb, sb, eb) = quantised(unit_a), quantised(unit_b)
     wide = np.float32 if a.shape[1] <= EXACT_FLOAT32 else np.float64
@@ -97,6 +104,7 @@ def _cells(distinct: DataFrame, cells: int) -> tuple[DataFrame, dict[int, np.nda
     by_dim: dict[int, np.ndarray] = {}
     for dim in {len(p) for p in pivots}:
         rows = np.array([p for p in pivots if len(p) == dim], float)
+        rows = scaled(rows)
         by_dim[dim] = rows / np.linalg.norm(rows, axis=1)[:, None]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,6 +113,7 @@ def _cells(distinct: DataFrame, cells: int) -> tuple[DataFrame, dict[int, np.nda
             for row in batch.column(3):
                 x = row.values.to_numpy().astype(float)
                 if len(x) in by_dim:
+                    x = scaled(x[None, :])[0]
                     cosines = by_dim[len(x)] @ (x / np.linalg.norm(x))
                     cell.append(int(cosines.argmax()))
                     angle.append(float(np.arccos(min(1.0, cosines.max()))))
