@@ -43,6 +43,8 @@ def shard(docs: DataFrame, key: str, text: str, shards: int = 16, bundles: int =
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
         row_id(key).alias("id"),
+        # written with the sizes, so it is the same whenever it is read; ids may be missing or repeated
+        F.monotonically_increasing_id().alias("row"),
         (F.octet_length(body) + 1).cast("long").alias("size"),
         (F.length(body) - F.length(F.replace(body, F.lit(" "), F.lit(""))) + 1).cast("long").alias("tokens"),
         F.crc32(body.cast("binary")).alias("crc"),
@@ -62,11 +64,11 @@ def shard(docs: DataFrame, key: str, text: str, shards: int = 16, bundles: int =
     named = rows.join(F.broadcast(alone), ["text_hash", "crc"], "left")
     own = F.col("pieces").isNotNull()
     named = named.select(
-        "id", "size", "tokens", "crc",
+        "id", "row", "size", "tokens", "crc",
         F.when(own, F.col("text_hash")).otherwise(F.expr(f"pmod(text_hash, {bundles})")).alias("a"),
         F.when(own, F.col("crc")).otherwise(F.lit(-1)).alias("b"),
         # large groups are numbered piece by piece, also those that stay in one shard
-        F.when(own, F.expr("pmod(xxhash64(id, 5), pieces)")).otherwise(F.lit(0)).alias("c"),
+        F.when(own, F.expr("pmod(xxhash64(row, 5), pieces)")).otherwise(F.lit(0)).alias("c"),
         F.coalesce("cut", F.lit(False)).alias("cut"),
     )
     named = materialize(named, "named")
@@ -82,7 +84,7 @@ def shard(docs: DataFrame, key: str, text: str, shards: int = 16, bundles: int =
             placed.append((r.a, r.b, r.c, s, used[s]))
             used[s] += r.rows
     spots = docs.sparkSession.createDataFrame(placed, "a long, b long, c long, shard int, before long")
-    within = F.row_number().over(W.partitionBy("a", "b", "c").orderBy("id", "crc", "size"))
+    within = F.row_number().over(W.partitionBy("a", "b", "c").orderBy("id", "crc", "size", "row"))
     return named.join(F.broadcast(spots), ["a", "b", "c"]).select(
         id_or_null(F.col("id")).alias(key), "size", "tokens", F.col("crc").alias("text_crc32"), "shard",
         (F.col("before") + within - 1).cast("long").alias("slot"),

@@ -34,3 +34,15 @@ def test_placing_prefers_the_fitting_shard():
     where = packing.place(sizes, 2)
     for s in (0, 1):
         assert np.allclose(sizes[where == s].sum(axis=0), [0.5, 0.5])
+
+
+def test_hot_group_without_ids_is_cut_evenly(spark):
+    data = [(None, "the same text")] * 4000 + [(7, "another one")] * 1500 + [(100 + i, f"text {i}") for i in range(2000)]
+    got = packing.shard(rows.frame(spark, data), "doc_id", "text").collect()
+    totals = np.zeros(16)
+    for r in got:
+        totals[r.shard] += r["size"]
+    assert totals.max() <= 1.06 * totals.mean() and totals.min() >= 0.94 * totals.mean(), totals
+    for s in range(16):
+        slots = sorted(r.slot for r in got if r.shard == s)
+        assert slots == list(range(len(slots)))
