@@ -144,3 +144,26 @@ def test_bounds_hold():
     q, s, e = quantised.quantised(x)
     rough = (q.astype(float) @ q.T.astype(float)) * s[:, None] * s[None, :]
     assert (np.abs(rough - x @ x.T) <= e[:, None] + (1 + e[:, None]) * e[None, :] + 1e-12).all()
+
+
+def test_extreme_lengths_lose_no_link(spark):
+    rows = [(1, [1.0, 1.0]), (2, [1.0, 1.01]), (3, [1e-200, 1e-200]), (4, [1e200, 1e200]), (5, [0.0, 0.0]), (6, [-1.0, 1.0]), (7, [5e-324, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in quantised.near_vectors(df, "vec_id", "embedding").collect()}
+    assert got == {1: 3, 2: 3, 3: 3, 4: 3, 5: 0, 6: 0, 7: 0}
+
+
+def test_rounds_of_adverse_chains(spark, monkeypatch):
+    import random
+
+    from corpusloom.llm import components
+
+    rounds = []
+    write = components.materialize
+    monkeypatch.setattr(components, "materialize", lambda df, name: (rounds.append(name), write(df, name))[1])
+    for order in ([1, *range(60, 1, -1)], random.Random(1).sample(range(1, 121), 120)):
+        rounds.clear()
+        links = spark.createDataFrame(list(zip(order, order[1:])), "u long, v long")
+        got = components.components(links).collect()
+        assert {r.component for r in got} == {1} and len(got) == len(order)
+        assert rounds.count("labels") <= 12
