@@ -16,7 +16,7 @@ from corpusloom.operators.split import split_60_20_20
 from corpusloom.plans import jobs
 from corpusloom.session import scratch_path
 from corpusloom.sinks import writers
-from corpusloom.sources import corpus, files
+from corpusloom.sources import corpus, files, resilient
 from corpusloom.sources import documents as S
 
 
@@ -123,18 +123,55 @@ LENGTH_STATS = """count(*) AS total_samples,
   count(*) FILTER (tk > 510) AS over_limit_count, round(count(*) FILTER (tk > 510) / count(*)::DOUBLE * 100, 6) AS over_limit_pct"""
 
 
+def _land_broken(df, path: str, columns: list[str], whole, name: str) -> None:
+    """Each task writes one gzip file of CSV: the rows that are ``whole``, then a part that breaks off before its first
+    byte can be read back."""
+
+    def write(batches):
+        import csv
+        import io
+        import zlib
+
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        system, root = resilient._open(path)
+        system.create_dir(root, recursive=True)
+        codec = zlib.compressobj(wbits=31)
+        with system.open_output_stream(f"{root}/{name}-{TaskContext.get().partitionId()}.csv.gz", compression=None) as out:
+            buffer = io.StringIO()
+            writer = csv.writer(buffer, lineterminator="\n")
+            writer.writerow(columns)
+            for batch in batches:
+                writer.writerows(zip(*(c.to_pylist() for c in batch.columns), strict=True))
+                out.write(codec.compress(buffer.getvalue().encode()))
+                buffer.seek(0)
+                buffer.truncate()
+            out.write(codec.compress(buffer.getvalue().encode()) + codec.flush(zlib.Z_FULL_FLUSH))
+        yield pa.RecordBatch.from_pylist([{"n": 1}])
+
+    df.where(whole).select(*columns).mapInArrow(write, "n long").count()
+
+
 @query(
     "A4_profile_files",
     "WITH t AS (SELECT 'documents' AS input_name, text FROM documents UNION ALL SELECT 'conversations', text FROM "
-    "conversations UNION ALL SELECT 'benchmark', text FROM benchmark), n AS (SELECT input_name, "
+    "conversations UNION ALL SELECT 'benchmark', text FROM benchmark UNION ALL SELECT 'broken', text FROM conversations "
+    "WHERE turn < 2), n AS (SELECT input_name, "
     + I.TOKENS.format("text")
-    + " AS tk, length(text)::BIGINT AS ch FROM t) SELECT input_name, "
+    + " AS tk, length(text)::BIGINT AS ch FROM t), p AS (SELECT input_name, "
     + LENGTH_STATS
-    + " FROM n GROUP BY input_name",
+    + """ FROM n GROUP BY input_name),
+s AS (SELECT 'documents' AS input_name, 'read' AS status UNION ALL SELECT 'conversations', 'read' UNION ALL SELECT 'benchmark', 'read'
+  UNION ALL SELECT 'broken', 'damaged' UNION ALL SELECT 'labels', 'no column' UNION ALL SELECT 'pages', 'no column')
+SELECT *, coalesce(total_samples, 0)::BIGINT AS accepted, 0::BIGINT AS rejected FROM s LEFT JOIN p USING (input_name)""",
 )
 def _(spark, sf):
     names = ("documents", "conversations", "benchmark", "labels", "pages")  # the last two have no text column
-    return rounded(files.profile_files(spark, {n: f"{sf}/{n}.parquet" for n in names}))
+    path = scratch_path(spark, "broken")
+    _land_broken(spark.read.parquet(f"{sf}/conversations.parquet"), path, ["conv_id", "text"], F.col("turn") < 2, "turns")
+    inputs = {n: f"{sf}/{n}.parquet" for n in names} | {"broken": path}
+    return rounded(files.profile_files(spark, inputs))
 
 
 @query(
@@ -223,6 +260,34 @@ def _(spark, sf):
     return union_sources([read.rows.drop("input_file"), read.rejected.drop("input_file")])
 
 
+@query(
+    "A11_damaged_files",
+    """SELECT 'damaged' AS status, count(*) FILTER (doc_id % 8 <> 0 AND doc_id % 5 <> 1)::BIGINT AS accepted,
+  count(*) FILTER (doc_id % 8 <> 0 AND doc_id % 5 = 1)::BIGINT AS rejected, sum(doc_id) FILTER (doc_id % 8 <> 0 AND doc_id % 5 <> 1)::BIGINT AS ids,
+  true AS explained, true AS all_listed FROM documents""",
+)
+def _(spark, sf):
+    """Every landed file breaks in the middle; what stands before the break counts, and no file is missing."""
+    path = scratch_path(spark, "damaged")
+    docs = I.documents(spark, sf).withColumn("size", F.when(F.col("doc_id") % 5 == 1, "unknown").otherwise(F.col("n_chars").cast("string")))
+    _land_broken(docs, path, ["doc_id", "text", "size"], F.col("doc_id") % 8 != 0, "docs")
+    read = files.read_tolerant(spark, path, "doc_id bigint, text string, size bigint")
+    ids = read.rows.groupBy("input_file").agg(F.sum("doc_id").alias("ids"))
+    landed = len(resilient.list_files(path))
+    return (
+        read.report()
+        .join(ids, "input_file", "left")
+        .groupBy("status")
+        .agg(
+            F.sum("accepted").alias("accepted"),
+            F.sum("rejected").alias("rejected"),
+            F.sum("ids").alias("ids"),
+            F.bool_and(F.col("error").contains("ends early")).alias("explained"),
+            (F.count("*") == landed).alias("all_listed"),
+        )
+    )
+
+
 SPLIT_60_20_20 = (
     I.ANNOTATIONS
     + """, c AS (SELECT binary_label AS label, count(*) AS n, sum(count(*)) OVER () AS total FROM ann GROUP BY 1),

@@ -5,15 +5,16 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom import schemas
 from corpusloom.operators.aggregates import length_stats
-from corpusloom.operators.sets import union_sources
+from corpusloom.session import materialize
+from corpusloom.sources import resilient
 
 # Field contents that mean "missing" in the source data's tools, besides the empty field.
 MISSING = (
@@ -89,81 +90,80 @@ def available(spark: SparkSession, inputs: dict[str, str]) -> dict[str, str]:
 
 @dataclass(frozen=True)
 class TolerantRead:
-    """Accepted rows, rejected raw records with their file, and the count of both per file."""
+    """Accepted rows, rejected raw records with their file, and the last word on each file."""
 
     rows: DataFrame
     rejected: DataFrame
     files: DataFrame
 
     def report(self) -> DataFrame:
-        """One row per input file. ``status`` is ``read``, or ``no record`` where a file gave none: it is empty, damaged
-        or gone."""
+        """One row per input file: ``input_file``, ``accepted``, ``rejected``, ``status`` and ``error``.
+
+        ``status`` is ``read`` (to its end), ``damaged`` (an error ended it; the counts say what came before),
+        ``no record`` or ``no column`` (a declared column is not in its header).
+        """
         counted = self.rows.groupBy("input_file").agg(F.count("*").alias("accepted"))
         refused = self.rejected.groupBy("input_file").agg(F.count("*").alias("rejected"))
         zero = lambda name: F.coalesce(F.col(name), F.lit(0).cast("bigint")).alias(name)
-        nothing = F.col("accepted").isNull() & F.col("rejected").isNull()
-        status = F.when(nothing, "no record").otherwise("read")
         return (
-            self.files.join(counted, "input_file", "left")
+            self.files.select("input_file", "status", "error")
+            .join(counted, "input_file", "left")
             .join(refused, "input_file", "left")
-            .select("input_file", zero("accepted"), zero("rejected"), status.alias("status"))
+            .select("input_file", zero("accepted"), zero("rejected"), "status", "error")
         )
 
 
-def read_tolerant(spark: SparkSession, path: str, schema: str, fmt: str = "csv", **options) -> TolerantRead:
-    """Read what can be read: bad records go to ``rejected``, unreadable files are skipped.
+def read_tolerant(spark: SparkSession, path: str | list[str], schema: str, fmt: str = "csv") -> TolerantRead:
+    """Read what can be read, from every file once: it lands as Parquet, from which all three frames read.
 
-    Columns the schema declares ``NOT NULL`` are not enforced here; use a filter for that.
+    A record is rejected if it has the wrong number of fields, is no valid UTF-8 or JSON, ends with the file in an open
+    quote, or holds a value that its column's type cannot take. Columns are found by name. Columns the schema
+    declares ``NOT NULL`` are not enforced here; use a filter for that.
     """
-    corrupt = "_bad_record"
-    full = T.StructType.fromDDL(schema).add(corrupt, T.StringType())
-    reader = spark.read.schema(full).options(mode="PERMISSIVE", columnNameOfCorruptRecord=corrupt)
-    reader = reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
-    if fmt == "csv":
-        reader = reader.options(**_CSV)
-    raw = reader.options(**options).format(fmt).load(path)
-    raw = raw.withColumn("input_file", F.col("_metadata.file_path"))
-    names = [f.name for f in full if f.name != corrupt]
-    # Mentions every column, so that pruning cannot change which records count as bad.
-    shown = F.to_json(F.struct(*names))
-    is_bad = F.when(F.col(corrupt).isNull(), False).otherwise(shown.isNotNull())
-    return TolerantRead(
-        rows=raw.where(~is_bad).select(*names, "input_file"),
-        rejected=raw.where(is_bad).select(F.col(corrupt).alias("record"), "input_file"),
-        # the scan's own listing; local paths are spelled as in the rows
-        files=spark.createDataFrame([(re.sub("^file:/+", "file:/", f),) for f in raw.inputFiles()], "input_file string"),
+    fields = T.StructType.fromDDL(schema).fields
+    landed = materialize(resilient.read_files(spark, path, [f.name for f in fields], fmt), "tolerant")
+    cast = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in fields}
+    wrong = reduce(
+        lambda x, y: x | y, [F.col(f"`{name}`").isNotNull() & value.isNull() for name, value in cast.items()], F.lit(False)
     )
+    records = landed.where("status IS NULL AND record IS NULL")
+    refused = F.array_join(F.array(*[F.col(f"`{f.name}`") for f in fields]), ",", "").alias("record")
+    return TolerantRead(
+        rows=records.where(~wrong).select(*[value.alias(name) for name, value in cast.items()], "input_file"),
+        rejected=landed.where("record IS NOT NULL").select("record", "input_file").union(
+            records.where(wrong).select(refused, "input_file")
+        ),
+        files=landed.where("status IS NOT NULL").select("input_file", "status", "error"),
+    )
 
 
-def list_files(spark: SparkSession, pattern: str) -> dict[str, str]:
-    """The files a glob matches, by name, in order."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or []
-    paths = [status.getPath() for status in found]
-    return {p.getName(): p.toString() for p in sorted(paths, key=lambda p: p.toString())}
-
-
-def scan_texts(spark: SparkSession, files: dict[str, str]) -> DataFrame:
-    """``(input_name, text)`` over several files; a file that cannot be read or has no ``text`` is skipped.
+def profile_files(
+    spark: SparkSession, files: str | dict[str, str], limit: int = 510, column: str = "text", fmt: str = "auto"
+) -> DataFrame:
+    """Length profile of every input, one row each, with its ``status``, ``accepted`` and ``rejected``.
 
-    Only each file's header (or Parquet footer) is looked at on the driver.
+    ``files`` is a glob or a folder, or files (or folders) by name. Inputs of one name are profiled together; a damaged one
+    by what could be read of it, and one without the column, or without records, has nulls. All formats are read in
+    one pass, and only the profiles' counters are shuffled.
     """
-    frames = []
-    for name, path in files.items():
-        reader = spark.read.option("ignoreCorruptFiles", True)
-        try:
-            df = reader.parquet(path) if path.rstrip("/").endswith(".parquet") else reader.options(**_CSV).csv(path)
-        except PySparkException:
-            continue
-        if "text" in df.columns:
-            frames.append(df.select(F.lit(name).alias("input_name"), F.col("text").cast("string")))
-    if not frames:
-        raise ValueError("no input has a text column")
-    return union_sources(frames)
-
-
-def profile_files(spark: SparkSession, files: str | dict[str, str], limit: int = 510) -> DataFrame:
-    """Length profile of every readable input, one row each. ``files`` is a glob, or paths by name."""
-    named = list_files(spark, files) if isinstance(files, str) else files
-    return length_stats(scan_texts(spark, named), "text", limit, by=["input_name"])
+    by_name = {} if isinstance(files, str) else files
+    tail = F.element_at(F.split("input_file", "/"), -1)
+    landed = materialize(resilient.read_files(spark, list(by_name.values()) or files, [column], fmt), "profiled")
+    name = tail
+    for label, path in by_name.items():
+        root = F.lit(re.sub("^file:/+", "/", path).rstrip("/"))
+        plain = F.regexp_replace("input_file", "^file:/+", "/")
+        name = F.when((plain == root) | plain.startswith(F.concat(root, F.lit("/"))), F.lit(label)).otherwise(name)
+    named = landed.withColumn("input_name", name)
+    texts = named.where("status IS NULL AND record IS NULL").select("input_name", F.col(column))
+    worst = F.array(*[F.lit(s) for s in (resilient.DAMAGED, resilient.READ, resilient.NO_COLUMN, resilient.NO_RECORD)])
+    said = (
+        named.where("status IS NOT NULL")
+        .groupBy("input_name")
+        .agg(
+            F.element_at(worst, F.min(F.array_position(worst, F.col("status"))).cast("int")).alias("status"),
+            F.sum("accepted").alias("accepted"),
+            F.sum("rejected").alias("rejected"),
+        )
+    )
+    return said.join(length_stats(texts, column, limit, by=["input_name"]), "input_name", "left")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators.dedupe import dedupe_url_title
 from corpusloom.plans import jobs
 from corpusloom.sinks import writers
-from corpusloom.sources import corpus, files
+from corpusloom.sources import corpus, files, resilient
 from corpusloom.streaming import intake
 
 def test_missing_spellings(spark, tmp_path):
@@ -100,24 +100,70 @@ def test_word_tsv_is_splittable(spark, tmp_path):
 
 
 def test_damaged_files_are_reported(spark, tmp_path):
+    import bz2
     import gzip
 
-    write(str(tmp_path / "in" / "a.csv"), "text,score\nok,1\n")
-    write(str(tmp_path / "in" / "c.csv"), "")
-    whole = gzip.compress(("text,score\n" + "".join(f"t{i},{i}\n" for i in range(5000))).encode())
-    (tmp_path / "in" / "b.csv.gz").write_bytes(whole[: len(whole) // 3])
-    report = files.read_tolerant(spark, str(tmp_path / "in"), "text string, score bigint").report().collect()
-    assert {os.path.basename(r.input_file): r.status for r in report} == {"a.csv": "read", "b.csv.gz": "no record", "c.csv": "no record"}
-
-
-def test_profile_skips_files_without_text(spark, tmp_path):
+    folder = tmp_path / "in"
+    write(str(folder / "a.csv"), "text,score\nok,1\n")
+    write(str(folder / "c.csv"), "")
+    write(str(folder / "d.csv"), "text\nno score\n")
+    write(str(folder / "e.csv"), 'text,score\n"open quote,3\nmore\n')
+    (folder / "f.csv").write_bytes(b"score,x,text\n1,,caf\xe9\n2,,fine\n3,,\n")
+    lines = ["text,score\n"] + [f"t{i},{i}\n" for i in range(5000)]
+    whole = gzip.compress("".join(lines).encode())
+    (folder / "b.csv.gz").write_bytes(whole[: len(whole) // 3])
+    (folder / "g.csv.gz").write_bytes(gzip.compress(b"text,score\nx,1\n") + gzip.compress(b"y,2\n"))
+    (folder / "h.csv.bz2").write_bytes(bz2.compress("".join(lines).encode()))
+    write(str(folder / "i.csv.gz"), "not compressed")
+    write(str(folder / "_hidden.csv"), "text,score\nno,1\n")
+    for task_bytes in (1, 1 << 20):
+        read = files.read_tolerant(spark, str(folder), "text string, score bigint")
+        got = {os.path.basename(r.input_file): (r.status, r.accepted, r.rejected) for r in read.report().collect()}
+        half = got.pop("b.csv.gz")
+        assert half[0] == "damaged" and 0 < half[1] < 5000 and half[2] <= 1
+        assert got == {
+            "a.csv": ("read", 1, 0), "c.csv": ("no record", 0, 0), "d.csv": ("no column", 0, 0), "e.csv": ("read", 0, 1),
+            "f.csv": ("read", 2, 1), "g.csv.gz": ("read", 2, 0), "h.csv.bz2": ("read", 5000, 0), "i.csv.gz": ("damaged", 0, 0),
+        }
+        own = sorted(r.score for r in read.rows.where("input_file LIKE '%b.csv.gz'").collect())
+        assert own == list(range(half[1]))
+    assert [r.text for r in read.rows.where("input_file LIKE '%f.csv'").orderBy("score").collect()] == ["fine", None]
+
+
+def test_files_are_listed_by_folder_glob_and_name(spark, tmp_path):
+    for name in ("a/x.csv", "a/b/y.csv", "a/_z.csv", "c/x.json"):
+        write(str(tmp_path / name), "text\nt\n" if name.endswith("csv") else '{"text": "t"}\n[1]\n')
+    names = lambda path: [f[len(f"file:{tmp_path}/") :] for f, _ in resilient.list_files(path)]
+    assert names(f"file:{tmp_path}") == ["a/b/y.csv", "a/x.csv", "c/x.json"]
+    assert names(f"{tmp_path}/a/*.csv") == ["a/x.csv"] and names(f"{tmp_path}/*") == names(str(tmp_path))
+    assert names(f"{tmp_path}/a/_z.csv") == ["a/_z.csv"] and names(f"{tmp_path}/none") == []
+    rows = resilient.read_files(spark, str(tmp_path), ["text"], task_bytes=1)
+    assert rows.rdd.getNumPartitions() >= 3 and rows.where("text = 't'").count() == 3
+    assert [r.record for r in rows.where("record IS NOT NULL").collect()] == ["[1]"]
+
+
+def test_a_parquet_file_that_breaks(spark, tmp_path):
+    path = str(tmp_path / "p")
+    spark.range(20_000).selectExpr("id", "uuid() AS text").coalesce(1).write.option("parquet.block.size", 65536).parquet(path)
+    (name,) = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    data = bytearray((tmp_path / "p" / name).read_bytes())
+    middle = len(data) // 2
+    data[middle : middle + 2000] = b"\xff" * 2000
+    (tmp_path / "broken.parquet").write_bytes(data)
+    (report,) = files.read_tolerant(spark, str(tmp_path / "broken.parquet"), "text string", "parquet").report().collect()
+    assert report.status == "damaged" and 0 <= report.accepted < 20_000 and report.error
+
+
+def test_profile_names_every_file(spark, tmp_path):
     write(str(tmp_path / "a.csv"), "text,x\none two,1\n")
     write(str(tmp_path / "b.csv"), "title\nno\n")
     got = files.profile_files(spark, {"a": str(tmp_path / "a.csv"), "b": str(tmp_path / "b.csv")}).collect()
-    assert [(r.input_name, r.tokens_max) for r in got] == [("a", 2)]
+    assert sorted((r.input_name, r.status, r.tokens_max) for r in got) == [("a", "read", 2), ("b", "no column", None)]
     write(str(tmp_path / "c.parquet"), "not parquet")
     got = files.profile_files(spark, str(tmp_path / "*.*")).collect()
-    assert [(r.input_name, r.tokens_max) for r in got] == [("a.csv", 2)]
+    assert sorted((r.input_name, r.status, r.accepted) for r in got) == [
+        ("a.csv", "read", 1), ("b.csv", "no column", 0), ("c.parquet", "damaged", 0),
+    ]
 
 
 def test_append_annotations_is_idempotent(spark, tmp_path):
