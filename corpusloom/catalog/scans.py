@@ -217,6 +217,18 @@ def _(spark, sf):
     return S.extract_article(pages).select("page_id", "title", "meta_lang", "text", "publish_date")
 
 
+@query(
+    "A7_article_body",
+    "WITH " + I.NEWS + " SELECT page_id, title, text FROM art WHERE page_id < 1000000000",
+)
+def _(spark, sf):
+    """The pages without their article elements, between more menus and remarks: the text is found all the same."""
+    more = '<div><table><tr><td>of 3 parts</td><td><a href="/a>b">next one</a></td></tr></table></div>'
+    html = F.replace(F.replace("html", F.lit("<article>"), F.lit(more + '<div class="a>b"><div>')), F.lit("</article>"), F.lit("</div></div>" + more))
+    pages = I.table(spark, sf, "pages").withColumn("html", html)
+    return S.extract_article(pages).select("page_id", "title", "text")
+
+
 @query(
     "A8_forum_rows",
     "WITH " + I.FORUM + " SELECT text, source, type, score, strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp, url FROM frows",

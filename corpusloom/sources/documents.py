@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import schemas
+from corpusloom.functions.html import article_body
 from corpusloom.functions.normalize import epoch_to_ts, get_path
 from corpusloom.functions.tokens import WHITESPACE_CLASS, col, strip
 
@@ -81,10 +82,14 @@ def unescape(c: Column | str) -> Column:
     return F.when(F.contains(text, F.lit("&")), F.concat(F.get(parts, 0), F.array_join(rest, ""))).otherwise(text)
 
 
+def _articles(html: Column) -> Column:
+    return F.array_join(F.regexp_extract_all(html, F.lit(r"(?is)<article[^>]*>(.*?)</article>"), 1), " ")
+
+
 def page_text(html: Column | str) -> Column:
     """Visible text: the article elements if there are any, without scripts, styles and comments."""
     html = col(html)
-    article = F.array_join(F.regexp_extract_all(html, F.lit(r"(?is)<article[^>]*>(.*?)</article>"), 1), " ")
+    article = _articles(html)
     body = F.when(article != "", article).otherwise(html)
     body = F.regexp_replace(body, r"(?is)<head[^>]*>.*?</head>", " ")
     body = F.regexp_replace(body, r"(?is)<script[^>]*>.*?</script>", " ")
@@ -107,14 +112,19 @@ def page_title(html: Column | str) -> Column:
 
 
 def extract_article(df: DataFrame, html_col: str = "html") -> DataFrame:
-    """Add ``title, meta_lang, text, publish_date`` read from the page; absent parts are null."""
+    """Add ``title, meta_lang, text, publish_date`` read from the page; absent parts are null.
+
+    The text is that of the article elements. Where there are none, it is the run of blocks with the most text outside
+    links (``functions.html``), and all visible text where no block is worth anything; only these pages go to Python.
+    """
     html = F.col(html_col)
+    body = article_body(F.when(_articles(html) == "", html))
     found = lambda pattern: F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
     return df.withColumns(
         {
             "title": page_title(html),
             "meta_lang": found(r"""(?is)<html[^>]*\blang=["']([^"']*)["']"""),
-            "text": F.nullif(page_text(html), F.lit("")),
+            "text": F.coalesce(body, F.nullif(page_text(html), F.lit(""))),
             "publish_date": F.coalesce(*[found(p) for p in _PUBLISHED]),
         }
     )
