@@ -64,7 +64,8 @@ def repeated(found: DataFrame) -> DataFrame:
         .select("gram", (F.col("lo") == F.col("hi")).alias("one"), "first"),
         "grams",
     )
-    anchors = materialize(found.join(grams, "gram"), "anchors")
+    # the number of hashes grows with the input, so the plan must not depend on how few there are: no broadcast
+    anchors = materialize(found.join(grams.hint("merge"), "gram"), "anchors")
     discard(found, grams)
     return anchors
 
@@ -80,7 +81,7 @@ def classes(anchors: DataFrame) -> DataFrame:
     )
     own = materialize(own, "own")
     numbers = own.groupBy("gram").agg(F.count("*").alias("n_classes"), F.min("n").alias("least_n"))
-    return materialize(own.join(numbers, "gram"), "classes")
+    return materialize(own.join(numbers.hint("merge"), "gram"), "classes")
 
 
 def with_text(reps: DataFrame, docs: DataFrame, *fields: str) -> DataFrame:
