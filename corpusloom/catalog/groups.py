@@ -19,6 +19,7 @@ from corpusloom.operators.sets import distinct_sentences, union_sources
 from corpusloom.operators.split import stratified_split
 from corpusloom.plans import jobs
 from corpusloom.schemas import BINARY_LABELS
+from corpusloom.session import scratch_path
 from corpusloom.sources.documents import page_title, parse_reviews, to_comment_rows, to_post_rows
 
 BY = ["model", "domain"]
@@ -264,6 +265,28 @@ def _(spark, sf):
     return D.dedupe_first(I.documents(spark, sf), "text", "doc_id")
 
 
+@query(
+    "F1_dedupe_arrivals",
+    """WITH firsts AS (SELECT doc_id, text FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1)
+SELECT count(*)::BIGINT AS n, sum(doc_id)::BIGINT AS ids, sum(length(text))::BIGINT AS chars, true AS as_at_once FROM firsts""",
+)
+def _(spark, sf):
+    """Four deliveries in a mixed order against the index, one of them twice: the same rows as all at once."""
+    docs, index = I.documents(spark, sf), scratch_path(spark, "arrivals")
+    shown = []
+    for part in (2, 0, 2, 3, 1):
+        own = docs.where(F.col("doc_id") % 4 == part)
+        shown.append(D.dedupe_arrivals(own, index, f"part-{part}").select("doc_id", "text", "replaces"))
+    shown = union_sources(shown).distinct()
+    replaced = shown.where("replaces IS NOT NULL").select(F.col("replaces").alias("doc_id"))
+    left = shown.join(replaced, "doc_id", "left_anti")
+    firsts = D.first_arrivals(spark, index).agg(F.count("*").alias("m"), F.sum("first").alias("firsts"))
+    totals = left.agg(
+        F.count("*").alias("n"), F.sum("doc_id").alias("ids"), F.sum(F.length("text")).cast("bigint").alias("chars")
+    )
+    return totals.join(firsts, F.col("n") == F.col("m")).select("n", "ids", "chars", (F.col("ids") == F.col("firsts")).alias("as_at_once"))
+
+
 @query("F2_dedupe_url_title", "WITH " + I.NEWS + " SELECT page_id, url, title_key AS title FROM pass2")
 def _(spark, sf):
     pages = I.news_pages(spark, sf).withColumn("title", normalize_title(page_title("html")))

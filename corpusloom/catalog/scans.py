@@ -16,6 +16,7 @@ from corpusloom.operators.split import split_60_20_20
 from corpusloom.plans import jobs
 from corpusloom.session import scratch_path
 from corpusloom.sinks import writers
+from corpusloom.sinks.ledger import Ledger
 from corpusloom.sources import corpus, files, resilient
 from corpusloom.sources import documents as S
 
@@ -363,7 +364,25 @@ def _(spark, sf):
     rows = I.documents(spark, sf).select(F.col("doc_id").alias("row_id"), "text")
     writers.append_annotations(rows.where(F.col("row_id") % 3 != 0), path)
     writers.append_annotations(rows, path)
-    return spark.read.parquet(path)
+    return writers.read_annotations(spark, path)
+
+
+@query(
+    "B3_replayed_batches",
+    """SELECT 'b0' AS batch, count(*) FILTER (doc_id % 3 = 0)::BIGINT AS n_rows FROM documents UNION ALL
+SELECT 'b1', count(*) FILTER (doc_id % 3 = 1)::BIGINT FROM documents UNION ALL
+SELECT 'b2', count(*) FILTER (doc_id % 3 = 2)::BIGINT FROM documents UNION ALL SELECT 'rows', count(*) FROM documents""",
+)
+def _(spark, sf):
+    """Overlapping batches, each delivered twice, with the index merged in between: what each of them added."""
+    path = scratch_path(spark, "replayed")
+    rows = I.documents(spark, sf).select(F.col("doc_id").alias("row_id"), "text")
+    for last in range(3):
+        for _ in range(2):
+            writers.append_annotations(rows.where(F.col("row_id") % 3 <= last), path, batch=f"b{last}")
+        Ledger(spark, path, "row_id").compact()
+    total = writers.read_annotations(spark, path).agg(F.lit("rows").alias("batch"), F.count("*").alias("n_rows"))
+    return Ledger(spark, path, "row_id").batches().select("batch", "n_rows").union(total)
 
 
 @query(

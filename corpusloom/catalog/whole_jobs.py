@@ -20,6 +20,7 @@ from corpusloom.plans import jobs
 from corpusloom.schemas import BINARY_LABELS
 from corpusloom.sources.documents import page_title
 from corpusloom.session import materialize, scratch_path
+from corpusloom.sinks import writers
 from corpusloom.streaming import intake
 
 # --- scoring and learning -----------------------------------------------------------------------------
@@ -507,4 +508,4 @@ def _(spark, sf):
     intake.stream_annotations(stream(), sink, checkpoint).awaitTermination()
     rows.where(F.col("row_id") % 3 != 1).write.mode("append").parquet(landed)  # overlaps the first delivery
     intake.stream_annotations(stream(), sink, checkpoint).awaitTermination()
-    return spark.read.parquet(sink)
+    return writers.read_annotations(spark, sink)

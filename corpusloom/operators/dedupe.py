@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.normalize import normalize_title, normalize_url
+from corpusloom.session import materialize
+from corpusloom.sinks.ledger import Ledger
 
 
 def _as_list(value: str | Sequence[str]) -> list[str]:
@@ -63,3 +65,49 @@ def dedupe_url_title(
     """Rows that are first by URL and then by title within their source."""
     winners = url_title_winners(df, order, source, url, title)
     return df.join(winners, _as_list(order), "left_semi")
+
+
+#: The index column of ``dedupe_arrivals``; a null text has a digest of its own.
+DIGEST = "digest"
+
+
+def _digest(key: str) -> Column:
+    return F.coalesce(F.unhex(F.sha2(F.col(key).cast("binary"), 256)), F.lit(b"null"))
+
+
+def dedupe_arrivals(df: DataFrame, index: str, batch: str, key: str = "text", order: str = "doc_id") -> DataFrame:
+    """``dedupe_first`` over a corpus that arrives in batches: the rows of this batch that are first so far, with
+    ``replaces``, the order of the row that was first before (null mostly).
+
+    Old texts are never read again: ``index`` keeps a digest (SHA-256) of each key and its least order, in hash buckets, and
+    only the buckets this batch touches are read. The batch counts from when the index says so; the same batch delivered
+    again gives the same rows. Batches may come in any order: ``first_arrivals`` is always what ``dedupe_first`` would
+    keep of all of them.
+    """
+    spark = df.sparkSession
+    ledger = Ledger(spark, index, DIGEST)
+    if ledger.has(batch):
+        mine = _entries(ledger.known()).where(F.col("batch") == batch)
+    else:
+        own = df.groupBy(_digest(key).alias(DIGEST)).agg(F.min(order).alias("first"))
+        own = materialize(own.withColumn("batch", F.lit(batch)), "arrivals")
+        known = ledger.known(own)
+        before = _entries(known if known is not None else own.limit(0).withColumn("replaces", F.col("first")))
+        before = before.groupBy(DIGEST).agg(F.min("first").alias("replaces"))
+        fresh = own.join(before, DIGEST, "left").where("replaces IS NULL OR first < replaces")
+        mine = materialize(fresh.select(DIGEST, "first", "replaces", "batch"), "firsts")
+        ledger.commit(batch, mine, f"index-{batch}", mine.count())
+    kept = mine.select(F.col("first").alias(order), "replaces")
+    return df.join(kept, order).select(*df.columns, "replaces")
+
+
+def _entries(index: DataFrame) -> DataFrame:
+    return index.select(DIGEST, "first", "replaces", "batch")
+
+
+def first_arrivals(spark, index: str) -> DataFrame:
+    """``digest`` and ``first``: the least order of every key that has arrived."""
+    known = Ledger(spark, index, DIGEST).known()
+    if known is None:
+        raise ValueError(f"nothing has arrived in {index}")
+    return known.groupBy(DIGEST).agg(F.min("first").alias("first"))

@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.operators.joins import pending
 from corpusloom.operators.sets import union_sources
 from corpusloom.schemas import ORIGINAL_LABELS
-from corpusloom.sources.files import path_exists
+from corpusloom.sinks.ledger import Ledger
 
 CSV = {
     "header": True,
@@ -57,11 +56,18 @@ def write_basic_detailed(
     _write(reader.load(f"{path}/detailed").select(*basic), f"{path}/basic", fmt, mode, partition)
 
 
-def append_annotations(df: DataFrame, path: str, key: str = "row_id") -> None:
-    """Append the rows whose key the file set does not hold yet, so that a rerun adds nothing."""
-    if path_exists(df.sparkSession, path):
-        df = pending(df, df.sparkSession.read.parquet(path), key)
-    _write(df, path, "parquet", "append")
+def append_annotations(df: DataFrame, path: str, key: str = "row_id", batch: str | None = None) -> int:
+    """Append the rows whose key the table does not hold yet, so that a rerun adds nothing; how many.
+
+    Only the touched buckets of the key index are read (``sinks.ledger``), never the rows. A ``batch`` that has been
+    appended before is left alone altogether. Read the table with ``read_annotations``.
+    """
+    return Ledger(df.sparkSession, path, key).append(df, batch)
+
+
+def read_annotations(spark: SparkSession, path: str, key: str = "row_id") -> DataFrame | None:
+    """The rows of all committed batches; None before the first."""
+    return Ledger(spark, path, key).rows()
 
 
 REVIEW_BUCKETS = 64

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -49,19 +51,28 @@ def stream_articles(
     return _once(by_url, [source, "title_key"], F.col(key), salts).drop("url_key", "title_key")
 
 
-def stream_annotations(stream: DataFrame, sink: str, checkpoint: str, key: str = "row_id") -> StreamingQuery:
+def stream_annotations(
+    stream: DataFrame, sink: str, checkpoint: str, key: str = "row_id", arrived: str | None = None
+) -> StreamingQuery:
     """Append annotations as they arrive; redelivered or repeated keys add nothing.
 
-    ``foreachBatch`` delivers at least once. Every batch keeps one row per key and appends only the keys
-    the sink lacks, which makes a replay harmless.
+    ``foreachBatch`` delivers at least once. A batch is committed under the query's id and its number, so one that is
+    replayed after a crash is found in the ledger and skipped; under a new checkpoint its keys are found in the index. Of
+    rows that share a key within a batch, the first to arrive stays: by the column ``arrived`` or, without it, the row of
+    the earliest file (streams of files only) and of these the earliest in the file.
     """
+    by_file = [F.col(f"_metadata.{c}") for c in ("file_modification_time", "file_path", "file_block_start")]
+    when = F.col(arrived) if arrived else F.struct(*by_file)
+    seen = stream.select(*stream.columns, when.alias("_arrived"))
+    run = uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex
 
-    def append(batch: DataFrame, _: int) -> None:
-        others = [c for c in batch.columns if c != key]
-        append_annotations(dedupe_first(batch, key, others), sink, key)
+    def append(batch: DataFrame, number: int) -> None:
+        numbered = batch.withColumn("_row", F.monotonically_increasing_id())  # rises within a file's split
+        first = dedupe_first(numbered, key, ["_arrived", "_row"]).drop("_arrived", "_row")
+        append_annotations(first, sink, key, f"{run}-{number}")
 
     return (
-        stream.writeStream.foreachBatch(append)
+        seen.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -5,9 +5,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators.dedupe import dedupe_url_title
+from corpusloom.operators.dedupe import dedupe_arrivals, dedupe_first, dedupe_url_title, first_arrivals
 from corpusloom.plans import jobs
-from corpusloom.sinks import writers
+from corpusloom.sinks import ledger, writers
 from corpusloom.sources import corpus, files, resilient
 from corpusloom.streaming import intake
 
@@ -169,10 +169,64 @@ def test_profile_names_every_file(spark, tmp_path):
 def test_append_annotations_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "ann")
     df = spark.range(10).select(F.col("id").alias("row_id"), F.lit("t").alias("text"))
-    writers.append_annotations(df.where("row_id < 6"), path)
-    for _ in range(2):
-        writers.append_annotations(df, path)
-    assert sorted(r.row_id for r in spark.read.parquet(path).collect()) == list(range(10))
+    assert writers.read_annotations(spark, path) is None
+    assert writers.append_annotations(df.where("row_id < 6"), path) == 6
+    assert [writers.append_annotations(df, path) for _ in range(2)] == [4, 0]
+    rows = writers.read_annotations(spark, path)
+    assert rows.columns == ["row_id", "text"] and sorted(r.row_id for r in rows.collect()) == list(range(10))
+
+
+def test_a_crash_between_rows_and_ledger_leaves_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "ann")
+    df = spark.range(8).select(F.col("id").alias("row_id"), F.lit("t").alias("text"))
+    writers.append_annotations(df.where("row_id < 3"), path, batch="a")
+    with monkeypatch.context() as broken:
+        broken.setattr(ledger.Ledger, "commit", lambda *_: 1 / 0)  # rows are written, nothing else
+        with pytest.raises(ZeroDivisionError):
+            writers.append_annotations(df, path, batch="b")
+    assert writers.read_annotations(spark, path).count() == 3
+    index = ledger.Ledger(spark, path, "row_id")
+    with monkeypatch.context() as broken:
+        broken.setattr(spark, "createDataFrame", lambda *_: 1 / 0)  # index rows as well, but no line of the ledger
+        with pytest.raises(ZeroDivisionError):
+            index.commit("b", df.select("row_id"), "lost", 8)
+    assert writers.append_annotations(df, path, batch="b") == 5 and writers.append_annotations(df, path, batch="b") == 0
+    index.compact()
+    assert sorted(r.row_id for r in writers.read_annotations(spark, path).collect()) == list(range(8))
+    assert writers.append_annotations(df, path) == 0
+    assert len([n for n in os.listdir(path) if n.startswith("attempt=")]) == 3  # two batches and the empty one
+
+
+def test_an_append_reads_the_buckets_it_touches(spark, tmp_path):
+    path = str(tmp_path / "ann")
+    df = spark.range(2000).select(F.col("id").alias("row_id"), F.lit("t").alias("text"))
+    writers.append_annotations(df, path)
+    index = ledger.Ledger(spark, path, "row_id")
+    few = df.where("row_id IN (5, 6)")
+    touched = sorted(r[0] for r in few.select(index.bucket()).distinct().collect())
+    plan = index.known(few)._jdf.queryExecution().executedPlan().toString()
+    shown = plan[plan.index("PartitionFilters") :]
+    assert "bucket#" in shown and all(str(b) in shown.split("]")[0] for b in touched)
+    assert {r.row_id for r in index.known(few).collect()} >= {5, 6} and index.known(few).count() < 200
+    assert [r.row_id for r in index.holds([6, 5000]).collect()] == [6]
+    assert "In(row_id" in index.holds([6, 5000])._jdf.queryExecution().executedPlan().toString()
+
+
+def test_arrivals_batch_by_batch_equal_all_at_once(spark, tmp_path):
+    import random
+
+    rng = random.Random(3)
+    rows = [(i, rng.choice(["a", "b", "c", "d", None, "", "e" * 50]) if i % 3 else f"own {i}") for i in range(120)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    want = {(r.doc_id, r.text) for r in dedupe_first(df, "text", "doc_id").collect()}
+    index, left = str(tmp_path / "index"), {}
+    for part in (3, 1, 1, 0, 2):
+        for r in dedupe_arrivals(df.where(F.col("doc_id") % 4 == part), index, f"p{part}").collect():
+            left.pop(r.replaces, None)
+            left[r.doc_id] = r.text
+    assert set(left.items()) == want
+    assert {r["first"] for r in first_arrivals(spark, index).collect()} == {i for i, _ in want}
 
 
 def test_append_reviews_and_lookup(spark, tmp_path):
@@ -251,7 +305,7 @@ def test_stream_annotations_restart_adds_nothing(spark, tmp_path):
     rows.where("row_id > 6").union(rows.where("row_id > 15")).write.mode("append").parquet(landed)
     intake.stream_annotations(stream(), sink, cp).awaitTermination()
     intake.stream_annotations(stream(), sink, cp + "-lost").awaitTermination()  # all input replayed
-    assert sorted(r.row_id for r in spark.read.parquet(sink).collect()) == list(range(20))
+    assert sorted(r.row_id for r in writers.read_annotations(spark, sink).collect()) == list(range(20))
 
 
 def test_news_job_shadows_copies_of_filtered_rows(spark):
@@ -298,3 +352,17 @@ def test_jobs_write_their_files(spark, tmp_path):
     jobs.evaluate_cross_domain(scored, out=path("k10"))
     assert spark.read.json(path("k10") + "/results_summary").first().model == "m"
     assert spark.read.parquet(path("k10") + "/predictions").count() == 60
+
+
+def test_the_first_arrival_stays(spark, tmp_path):
+    landed, sink, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    for i, text in enumerate(["zulu", "alpha", "mike"]):  # one file each; values are in no order
+        rows = spark.createDataFrame([(1, text), (1, text + " again"), (10 + i, text)], "row_id long, text string")
+        rows.coalesce(1).write.mode("append").parquet(landed)
+        names = [n for n in os.listdir(landed) if n.endswith(".parquet")]
+        newest = max(names, key=lambda n: os.path.getmtime(f"{landed}/{n}"))
+        os.utime(f"{landed}/{newest}", (1_700_000_000 + i * 10,) * 2)
+    stream = spark.readStream.schema(rows.schema).parquet(landed)
+    intake.stream_annotations(stream, sink, cp).awaitTermination()
+    got = {r.row_id: r.text for r in writers.read_annotations(spark, sink).collect()}
+    assert got == {1: "zulu", 10: "zulu", 11: "alpha", 12: "mike"}
