@@ -12,8 +12,10 @@ from corpusloom.catalog.scans import LENGTH_STATS, SPLIT_60_20_20, rounded, spli
 from corpusloom.functions.scores import argmax_label, softmax
 from corpusloom.functions.tokens import tokenizer_udf
 from corpusloom.operators import learning as J
+from corpusloom.operators import training as X
 from corpusloom.operators.aggregates import split_report, value_counts
 from corpusloom.operators.filters import encode_label
+from corpusloom.operators.metrics import overall
 from corpusloom.operators.ranking import best
 from corpusloom.operators.sets import union_sources
 from corpusloom.plans import jobs
@@ -72,6 +74,48 @@ def _verdict(df):
 
 _TEST_ROWS = "WITH " + SPLIT_60_20_20 + " SELECT doc_id, true AS valid FROM split WHERE split = 'test'"
 
+#: A signal that a classifier must find: a word that says the label, in nine of ten texts of either class (and the other
+#: class's word in the tenth). SQL knows from it what the test rows must look like.
+_SIGNAL = """signal AS (SELECT *, CASE WHEN (binary_label = 'figurative') <> (doc_id % 10 = 3) THEN 1 ELSE 0 END AS says FROM split),
+w AS (SELECT binary_label, count(*) AS n, sum(count(*)) OVER () AS total, count(*) OVER () AS classes FROM split WHERE split = 'train' {where} GROUP BY 1),
+weights AS (SELECT max(total / (classes * n)::DOUBLE) FILTER (binary_label = 'literal') AS w_literal, max(total / (classes * n)::DOUBLE) FILTER (binary_label = 'figurative') AS w_figurative FROM w)"""
+
+
+def _signalled(rows, reverse=None):
+    """The prepared rows, each text with the word of its class; ``reverse``: where the words change places."""
+    says = (F.col("label_id") == 1) != (F.col("doc_id") % 10 == 3)
+    says = says if reverse is None else says != reverse
+    return materialize(rows.withColumn("text", F.concat(F.col("text"), F.lit(" "), F.repeat(F.when(says, "saysfig ").otherwise("sayslit "), 60))), "signalled")
+
+
+def _learnt(spark, rows, model_rows, shares, **more):
+    """One row: test rows, the share of the larger class, that the signal was found (accuracy near nine tenths, above that
+    share), and the class weights of the training rows."""
+    at = F.col("label_id") == F.col("predicted_id")
+    majority = F.greatest(F.avg("label_id"), 1 - F.avg("label_id"))
+    found = model_rows.agg(
+        F.count("*").alias("n"), F.round(majority, 6).alias("majority"),
+        ((F.avg(at.cast("int")) > majority) & (F.avg(at.cast("int")) > 0.8)).alias("signal_found"),
+    )
+    return found.select(
+        "*", F.round(F.lit(shares[0]), 6).alias("w_literal"), F.round(F.lit(shares[1]), 6).alias("w_figurative"),
+        *[F.lit(v).alias(k) for k, v in more.items()],
+    )
+
+
+def _learnt_sql(where="", more=""):
+    return (
+        "WITH " + SPLIT_60_20_20 + ", " + _SIGNAL.format(where=where)
+        + " SELECT count(*) AS n, round(greatest(avg((binary_label = 'figurative')::INT), 1 - avg((binary_label = 'figurative')::INT)), 6) AS majority, "
+        + "avg(((binary_label = 'figurative') = (says = 1))::INT) > 0.8 AS signal_found, round(max(w_literal), 6) AS w_literal, "
+        + "round(max(w_figurative), 6) AS w_figurative" + more + " FROM signal, weights WHERE split = 'test' " + where
+    )
+
+
+def _class_shares(rows):
+    by_label = dict(J.weights_of(rows, "label_id"))
+    return [by_label.get(0), by_label.get(1)]
+
 
 @query("J2_fit_weighted", _TEST_ROWS)
 def _(spark, sf):
@@ -80,6 +124,13 @@ def _(spark, sf):
     return _verdict(J.apply_model(model, _part(rows, "test")))
 
 
+@query("J2_planted_signal", _learnt_sql())
+def _(spark, sf):
+    rows = _signalled(_prepared(spark, sf))
+    model = J.fit_weighted(_part(rows, "train"))
+    return _learnt(spark, rows, J.apply_model(model, _part(rows, "test")), _class_shares(_part(rows, "train")))
+
+
 @query("J3_select_model", _TEST_ROWS)
 def _(spark, sf):
     rows = _prepared(spark, sf)
@@ -88,6 +139,19 @@ def _(spark, sf):
     return _verdict(J.apply_model(chosen.model, _part(rows, "test")))
 
 
+@query("J3_train_with_patience", _learnt_sql(more=", true AS first_best_kept, true AS best_restored"))
+def _(spark, sf):
+    rows = _signalled(_prepared(spark, sf))
+    model = X.train(_part(rows, "train"), _part(rows, "val"), setting=X.Setting(steps=12, every=3, patience=2))
+    top = max(score for _, score in model.scores)
+    again = overall(model.apply(_part(rows, "val")), "label_id", "predicted_id").select("f1_macro").first()[0]
+    return _learnt(
+        spark, rows, model.apply(_part(rows, "test")), model.class_weights,
+        first_best_kept=model.step == next(step for step, score in model.scores if score == top),
+        best_restored=abs(again - top) < 1e-9,
+    )
+
+
 @query(
     "J4_classifier_kinds",
     "WITH " + SPLIT_60_20_20 + " SELECT kind, doc_id, true AS valid FROM split, (VALUES ('unigram'), ('ngram'), ('bayes')) k(kind) WHERE split = 'test'",
@@ -100,13 +164,33 @@ def _(spark, sf):
     )
 
 
-@query("J5_adapt", "WITH " + SPLIT_60_20_20 + " SELECT doc_id, true AS valid FROM split WHERE split = 'test' AND lang <> 'en'")
+@query("J5_adapt", _TEST_ROWS)
 def _(spark, sf):
+    """Adapted to all domains together from a model of English alone."""
     rows = _prepared(spark, sf)
     base = J.fit_weighted(_part(rows, "train").where("lang = 'en'"))
-    domain = rows.where("lang <> 'en'")
-    model = J.adapt(base, _part(domain, "train"))
-    return _verdict(J.apply_model(model, _part(domain, "test")))
+    model = J.adapt(base, _part(rows, "train"))
+    return _verdict(J.apply_model(model, _part(rows, "test")))
+
+
+@query("J5_warm_start", _learnt_sql("AND lang <> 'en'", ", true AS zero_steps_are_the_base, true AS strong_pull_stays, true AS better_than_base"))
+def _(spark, sf):
+    """English says the label with one word, the other languages with the other: the base is wrong there, and adapts."""
+    rows = _signalled(_prepared(spark, sf), F.col("lang") != "en")
+    english, other = rows.where("lang = 'en'"), rows.where("lang <> 'en'")
+    setting = X.Setting(steps=12, every=3, patience=4)
+    base = X.train(_part(english, "train"), _part(english, "val"), setting=setting)
+    fit = lambda start, pull, steps: X.train(
+        _part(other, "train"), _part(other, "val"), setting=X.Setting(steps=steps, every=3, patience=4), start=start, pull=pull
+    )
+    same, adapted = fit(base, 0.01, 0), fit(base, 0.01, 12)
+    near = X.train(_part(other, "train"), _part(other, "val"), setting=X.Setting(steps=3, every=3, rate=1e-4), start=base, pull=1e6)
+    far = lambda model: float(abs(model.weights - base.weights).max())
+    f1 = lambda model: overall(model.apply(_part(other, "test")), "label_id", "predicted_id").select("f1_macro").first()[0]
+    return _learnt(
+        spark, rows, adapted.apply(_part(other, "test")), adapted.class_weights,
+        zero_steps_are_the_base=far(same) == 0.0, strong_pull_stays=far(near) < 1e-2, better_than_base=f1(adapted) > f1(base),
+    )
 
 
 @query("J6_tokenizer_udf", "SELECT doc_id, " + I.TOKENS.format("text") + " AS tokens FROM documents")

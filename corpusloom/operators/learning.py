@@ -74,10 +74,14 @@ def make_pipeline(
     return Pipeline(stages=[*stages, *_fitted_stages(kind, counts, label, weight, reg, iterations)])
 
 
+def weights_of(rows: DataFrame, label: str) -> list[tuple]:
+    """Label and balanced weight of every class; classes are few."""
+    return [tuple(r) for r in class_weights(rows, label).select(label, "weight").collect()]
+
+
 def _weighted(rows: DataFrame, label: str) -> DataFrame:
-    """Add balanced class weights as literals; the classes are few, their weights are looked up once per fit."""
-    weights = class_weights(rows, label).select(label, "weight").collect()
-    pairs = [F.lit(v) for row in weights for v in row]
+    """Add balanced class weights as literals, looked up once per fit."""
+    pairs = [F.lit(v) for row in weights_of(rows, label) for v in row]
     return rows.withColumn("weight", F.try_element_at(F.create_map(*pairs), F.col(label)))
 
 
