@@ -193,7 +193,8 @@ def train(
     were no better or the steps are used up.
 
     ``start`` begins at another one's weights, for transfer to a domain: its setting's ``features`` hold, and ``pull``
-    draws the weights back to where they began (a proximal term) in place of ``reg``, which draws them to zero. With no
+    draws the weights back to where they began, by a proximal step after each one, in place of ``reg``, which draws them
+    to zero. With no
     steps the result is the start itself.
     """
     if start is not None and start.setting.features != setting.features:
@@ -213,9 +214,12 @@ def train(
     for step in range(1, setting.steps + 1):
         part = train_rows.where(F.col("part") == (step - 1) % setting.batches)
         total, weight = _summed(part, weights, shares)
-        slope = total / max(weight, 1e-12) + (pull * (weights - home) if start is not None else setting.reg * weights)
+        slope = total / max(weight, 1e-12) + (0 if start is not None else setting.reg * weights)
         seen += slope**2
-        weights = weights - setting.rate * slope / (np.sqrt(seen) + 1e-12)
+        rate = setting.rate / (np.sqrt(seen) + 1e-6)
+        weights = weights - rate * slope
+        if start is not None:  # the proximal step: however strong the pull, it never goes beyond home
+            weights = (weights + rate * pull * home) / (1 + rate * pull)
         if step % setting.every == 0 or step == setting.steps:
             scores.append((step, _score(val_rows, weights)))
             if scores[-1][1] > max(s for _, s in scores[:-1]):
