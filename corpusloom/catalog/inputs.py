@@ -62,10 +62,10 @@ def predictions(spark: SparkSession, sf: str, scorers=SCORERS) -> DataFrame:
 
 
 def single_predictions(spark: SparkSession, sf: str) -> DataFrame:
-    """One model on all domains: ``doc_id, text, true_label, logits``."""
+    """All models on all domains: ``doc_id, model, text, true_label, logits``."""
     from corpusloom.operators.filters import binary_label
 
-    rows = predictions(spark, sf, SCORERS[:1])
+    rows = predictions(spark, sf)
     return rows.withColumn("true_label", binary_label("label"))
 
 

@@ -203,12 +203,12 @@ def _(spark, sf):
 
 @query(
     "D4_join_predictions",
-    "WITH " + I.PREDICTIONS + " SELECT doc_id, original_label, predicted_binary FROM pred WHERE model = 'beta'",
+    "WITH " + I.PREDICTIONS + " SELECT doc_id, model, original_label, predicted_binary FROM pred",
 )
 def _(spark, sf):
-    predicted = I.scored(spark, sf, I.SCORERS[1:2]).select("doc_id", "predicted_binary")
+    predicted = I.scored(spark, sf).select("doc_id", "model", "predicted_binary")
     rows = J.join_predictions(I.annotations(spark, sf), predicted)
-    return rows.select("doc_id", F.col("label").alias("original_label"), "predicted_binary")
+    return rows.select("doc_id", "model", F.col("label").alias("original_label"), "predicted_binary")
 
 
 @query(

@@ -453,17 +453,16 @@ def _(spark, sf):
     "B7_write_evaluation",
     "WITH "
     + I.CLASS_SCORES.replace("g.domain", "'all' AS domain")
-    + """ SELECT 'overall' AS frame, round(accuracy, 6) AS a, round(f1_macro, 6) AS b, total AS n FROM totals WHERE model = 'alpha'
-UNION ALL SELECT 'class ' || class, round(prec, 6), round(rec, 6), support FROM scores WHERE model = 'alpha'
-UNION ALL SELECT 'prediction', round(p0, 6), round(greatest(p0, p1), 6), doc_id FROM pred WHERE model = 'alpha'""",
+    + """ SELECT model, 'overall' AS frame, round(accuracy, 6) AS a, round(f1_macro, 6) AS b, total AS n FROM totals
+UNION ALL SELECT model, 'class ' || class, round(prec, 6), round(rec, 6), support FROM scores
+UNION ALL SELECT model, 'prediction', round(p0, 6), round(greatest(p0, p1), 6), doc_id FROM pred""",
 )
 def _(spark, sf):
     path = scratch_path(spark, "evaluation")
-    frames = jobs.evaluate(I.single_predictions(spark, sf))
-    writers.write_evaluation(frames, path)
+    frames = jobs.evaluate(I.single_predictions(spark, sf), by=("model",), out=path)
     load = lambda name: spark.read.schema(frames[name].schema).options(**writers.CSV).csv(f"{path}/{name}")
     shape = lambda df, frame, a, b, n: df.select(
-        frame.alias("frame"), F.col(a).alias("a"), F.col(b).alias("b"), F.col(n).cast("bigint").alias("n")
+        "model", frame.alias("frame"), F.col(a).alias("a"), F.col(b).alias("b"), F.col(n).cast("bigint").alias("n")
     )
     return rounded(
         union_sources(

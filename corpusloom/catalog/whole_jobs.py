@@ -184,7 +184,7 @@ def _(spark, sf):
         _part(other, "train"), _part(other, "val"), setting=X.Setting(steps=steps, every=3, patience=4), start=start, pull=pull
     )
     same, adapted = fit(base, 0.01, 0), fit(base, 0.01, 12)
-    near = X.train(_part(other, "train"), _part(other, "val"), setting=X.Setting(steps=3, every=3, rate=1e-4), start=base, pull=1e6)
+    near = X.train(_part(other, "train"), _part(other, "val"), setting=X.Setting(steps=3, every=3), start=base, pull=1e6)
     far = lambda model: float(abs(model.weights - base.weights).max())
     f1 = lambda model: overall(model.apply(_part(other, "test")), "label_id", "predicted_id").select("f1_macro").first()[0]
     return _learnt(
@@ -422,15 +422,15 @@ def _(spark, sf):
     "K9_evaluate",
     "WITH "
     + I.CLASS_SCORES.replace("g.domain", "'all' AS domain")
-    + """ SELECT 'class ' || class AS row, round(prec, 6) AS a, round(rec, 6) AS b, round(f1, 6) AS c, support AS n FROM scores WHERE model = 'alpha'
-UNION ALL SELECT 'overall', round(accuracy, 6), round(f1_macro, 6), round(f1_weighted, 6), total FROM totals WHERE model = 'alpha'
-UNION ALL SELECT 'confusion ' || l, count(*) FILTER (predicted_binary = 'literal'), count(*) FILTER (predicted_binary = 'figurative'), 0, count(*)
-  FROM pred JOIN (VALUES ('literal'), ('figurative')) v(l) ON binary_label = l WHERE model = 'alpha' GROUP BY l""",
+    + """ SELECT model, 'class ' || class AS row, round(prec, 6) AS a, round(rec, 6) AS b, round(f1, 6) AS c, support AS n FROM scores
+UNION ALL SELECT model, 'overall', round(accuracy, 6), round(f1_macro, 6), round(f1_weighted, 6), total FROM totals
+UNION ALL SELECT model, 'confusion ' || l, count(*) FILTER (predicted_binary = 'literal'), count(*) FILTER (predicted_binary = 'figurative'), 0, count(*)
+  FROM pred JOIN (VALUES ('literal'), ('figurative')) v(l) ON binary_label = l GROUP BY model, l""",
 )
 def _(spark, sf):
-    frames = jobs.evaluate(I.single_predictions(spark, sf))
+    frames = jobs.evaluate(I.single_predictions(spark, sf), by=("model",))
     shape = lambda df, row, a, b, c, n: df.select(
-        row.alias("row"), a.cast("double").alias("a"), b.cast("double").alias("b"), c.cast("double").alias("c"), n.alias("n")
+        "model", row.alias("row"), a.cast("double").alias("a"), b.cast("double").alias("b"), c.cast("double").alias("c"), n.alias("n")
     )
     k = F.col
     return rounded(

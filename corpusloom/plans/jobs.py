@@ -304,11 +304,15 @@ def evaluate(
     labels: Sequence[str] = BINARY_LABELS,
     key: Sequence[str] = ("doc_id",),
     out: str | None = None,
+    by: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
-    """All frames of a single-domain evaluation, by the names of their files; written to ``out``."""
+    """All frames of a single-domain evaluation, by the names of their files; written to ``out``.
+
+    ``by``: columns, as of models, whose values are evaluated apart, all in one pass; every frame has them.
+    """
     scored = attach_predictions(df, logits, true, labels).withColumnRenamed("predicted_binary", "pred_label")
-    cells = materialize(M.outcome_counts(scored, true, "pred_label"), "outcomes")  # a few rows for four frames
-    names = {"true": "true_label", "pred": "pred_label", "n": "n"}
+    cells = materialize(M.outcome_counts(scored, true, "pred_label", by), "outcomes")  # a few rows for four frames
+    names = {"true": "true_label", "pred": "pred_label", "n": "n", "by": by}
     order = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("class"))
     classes = M.per_class(cells, **names).where(F.col("support") > 0)
     frames = {
@@ -317,6 +321,7 @@ def evaluate(
         "overall_metrics": M.overall(cells, **names),
         "confusion_matrix": M.confusion(cells, labels=labels, **names),
         "detailed_predictions": scored.select(
+            *by,
             *key,
             F.col(true).alias("true_label"),
             "pred_label",
@@ -326,7 +331,7 @@ def evaluate(
         ),
     }
     if out is not None:
-        writers.write_evaluation(frames, out)
+        writers.write_evaluation(frames, out, by=by)
     return frames
 
 

@@ -173,12 +173,21 @@ def write_report(sections: Sequence[tuple[str, DataFrame, str | None]], path: st
     lines.coalesce(1).write.mode(mode).text(path)  # a few lines by construction
 
 
-def write_evaluation(frames: dict[str, DataFrame], path: str, mode: str = "errorifexists") -> None:
-    """One CSV folder per frame of an evaluation, and the text summary of its metrics."""
+def write_evaluation(
+    frames: dict[str, DataFrame], path: str, mode: str = "errorifexists", by: Sequence[str] = ()
+) -> None:
+    """One CSV folder per frame of an evaluation, and the text summary of its metrics; ``by`` as in ``jobs.evaluate``."""
     for name, frame in frames.items():
         _write(frame, f"{path}/{name}", "csv", mode)
+
+    def keyed(frame: DataFrame, key: str | None) -> tuple[DataFrame, str | None]:
+        if not by:
+            return frame, key
+        name = F.concat_ws(" ", *by, *([key] if key else []))
+        return frame.withColumn("_of", name).drop(*by, *([key] if key else [])), "_of"
+
     summary = [
-        (title, frames[name], key)
+        (title, *keyed(frames[name], key))
         for title, name, key in (
             ("Scores", "overall_metrics", None),
             ("Outcomes", "confusion_matrix", "true_label"),
