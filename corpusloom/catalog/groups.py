@@ -13,13 +13,15 @@ from corpusloom.operators import aggregates as E
 from corpusloom.operators import dedupe as D
 from corpusloom.operators import metrics as M
 from corpusloom.operators import ranking as R
+from corpusloom.operators import sketches as Z
 from corpusloom.operators.filters import to_binary
+from corpusloom.operators.aggregates import with_lengths
 from corpusloom.operators.long_texts import shorten
 from corpusloom.operators.sets import distinct_sentences, union_sources
 from corpusloom.operators.split import stratified_split
 from corpusloom.plans import jobs
 from corpusloom.schemas import BINARY_LABELS
-from corpusloom.session import scratch_path
+from corpusloom.session import materialize, scratch_path
 from corpusloom.sources.documents import page_title, parse_reviews, to_comment_rows, to_post_rows
 
 BY = ["model", "domain"]
@@ -47,6 +49,25 @@ def _(spark, sf):
     return rounded(E.length_stats(I.documents(spark, sf), by=["lang"]))
 
 
+@query(
+    "E3_merged_sketches",
+    _LENGTHS + "SELECT lang, count(*) AS total_samples, round(avg(tk), 6) AS tokens_mean, min(tk) AS tokens_min, max(tk) AS tokens_max, "
+    "round(avg(ch), 6) AS chars_mean, max(ch) AS chars_max, true AS quantiles_near FROM t GROUP BY lang",
+)
+def _(spark, sf):
+    """Stored per language and source, merged per language: sums are exact, quantiles near their rank."""
+    docs = I.documents(spark, sf)
+    stored = materialize(Z.length_sketches(docs, ["lang", "source"]), "sketches")
+    merged = Z.merge_length_sketches(stored, ["lang"])
+    ranked = with_lengths(docs).select("lang", "token_count").join(merged.select("lang", "tokens_q50", "tokens_q95"), "lang")
+    near = lambda q: (F.avg((F.col("token_count") < F.col(f"tokens_q{q}")).cast("int")) <= q / 100 + Z.KLL_ERROR) & (
+        F.avg((F.col("token_count") <= F.col(f"tokens_q{q}")).cast("int")) >= q / 100 - Z.KLL_ERROR
+    )
+    seen = ranked.groupBy("lang").agg((near(50) & near(95)).alias("quantiles_near"))
+    columns = ["lang", "total_samples", "tokens_mean", "tokens_min", "tokens_max", "chars_mean", "chars_max"]
+    return rounded(merged.select(*columns).join(seen, "lang"))
+
+
 @query(
     "E4_length_histogram",
     _LENGTHS
@@ -205,6 +226,32 @@ def _(spark, sf):
     return E.dedupe_report(E.words_to_sentences(I.corpus_words(spark, sf), keys), by=["split"])
 
 
+@query(
+    "E15_overlap_of_deliveries",
+    """WITH a AS (SELECT text FROM documents WHERE doc_id % 3 <> 0), b AS (SELECT text FROM documents WHERE doc_id % 3 <> 1)
+SELECT (SELECT count(*) FROM a) AS left_rows, (SELECT count(*) FROM b) AS right_rows, (SELECT count(DISTINCT text) FROM a) AS left_exact,
+  (SELECT count(*) FROM (SELECT text FROM a INTERSECT SELECT text FROM b)) AS shared_exact, true AS all_near""",
+)
+def _(spark, sf):
+    """Two deliveries that share a third of the rows: their stored sketches against exact counts."""
+    docs = I.documents(spark, sf).withColumn("text", F.coalesce("text", F.lit("")))
+    left, right = docs.where("doc_id % 3 <> 0"), docs.where("doc_id % 3 <> 1")
+    stored = [materialize(Z.key_sketch(df), "keys").select(F.struct("rows", "keys").alias(n)) for df, n in ((left, "l"), (right, "r"))]
+    one = stored[0].withColumn("one", F.lit(1)).join(stored[1].withColumn("one", F.lit(1)), "one")  # a row each
+    sizes = one.select(F.lit(1).alias("one"), "l.rows", F.col("r.rows").alias("right_rows"), *Z.overlap(F.col("l.keys"), F.col("r.keys")))
+    sides = docs.select(F.sha2("text", 256).alias("d"), (F.col("doc_id") % 3).alias("m")).groupBy("d")
+    sides = sides.agg(F.max((F.col("m") != 0).cast("int")).alias("l"), F.max((F.col("m") != 1).cast("int")).alias("r"))
+    exact = sides.agg(
+        F.lit(1).alias("one"), F.sum("l").alias("left_exact"), F.sum("r").alias("right_exact"), F.count("*").alias("all_exact"),
+        F.sum(F.col("l") * F.col("r")).alias("shared_exact"),
+    )
+    near = lambda name: F.abs(F.col(f"{name}_keys") - F.col(f"{name}_exact")) <= Z.THETA_ERROR * F.col("all_exact")
+    return sizes.join(exact, "one").select(
+        F.col("rows").alias("left_rows"), "right_rows", "left_exact", "shared_exact",
+        (near("left") & near("right") & near("all") & near("shared")).alias("all_near"),
+    )
+
+
 @query(
     "E16_split_report",
     "WITH " + SPLIT_60_20_20 + " SELECT split, count(*) FILTER (binary_label = 'literal') AS literal, "

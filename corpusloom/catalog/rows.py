@@ -15,6 +15,7 @@ from corpusloom.operators import annotation as A
 from corpusloom.operators import filters as C
 from corpusloom.operators import joins as J
 from corpusloom.operators import long_texts as L
+from corpusloom.operators import vocabulary as V
 from corpusloom.operators.sets import union_sources
 from corpusloom.sources.documents import parse_reviews
 
@@ -486,6 +487,35 @@ def _(spark, sf):
     )
 
 
+_SPLIT_WORDS = r"""w AS (SELECT doc_id, regexp_extract_all(text, '\S+') AS tk FROM documents),
+v AS (SELECT token, n, (row_number() OVER (ORDER BY n DESC, token) + 1)::INTEGER AS id FROM
+  (SELECT token, count(*) AS n FROM (SELECT unnest(tk) AS token FROM w) GROUP BY 1) ORDER BY n DESC, token LIMIT 5000)"""
+
+
+@query("I21_vocabulary", "WITH " + _SPLIT_WORDS + " SELECT token, n, id FROM v")
+def _(spark, sf):
+    return V.build_vocabulary(I.documents(spark, sf), size=5000)
+
+
+@query(
+    "I21_encode_vocabulary",
+    "WITH "
+    + _SPLIT_WORDS
+    + """, t AS (SELECT doc_id, unnest(tk[1:512]) AS token, generate_subscripts(tk[1:512], 1) AS pos FROM w),
+e AS (SELECT doc_id, string_agg(coalesce(id, 1)::VARCHAR, ',' ORDER BY pos) AS ids, count(*) AS n_real FROM t LEFT JOIN v USING (token) GROUP BY 1)
+SELECT doc_id, md5(coalesce(ids, '')) AS ids, coalesce(n_real, 0)::BIGINT AS n_real, 512 AS n_ids, true AS padded FROM documents LEFT JOIN e USING (doc_id)""",
+)
+def _(spark, sf):
+    docs = I.documents(spark, sf)
+    rows = V.encode_vocabulary(docs.select("doc_id", "text"), V.build_vocabulary(docs, size=5000))
+    total = F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("bigint")
+    own = F.expr("array_join(transform(slice(input_ids, 1, int(n_real)), x -> string(x)), ',')")
+    return rows.withColumn("n_real", total).select(
+        "doc_id", F.md5(own.cast("binary")).alias("ids"), "n_real", F.size("input_ids").alias("n_ids"),
+        F.expr("forall(slice(input_ids, int(n_real) + 1, 512), x -> x = 0)").alias("padded"),
+    )
+
+
 @query(
     "I22_pick_sentiment",
     "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN lang ELSE n_chars::VARCHAR END AS original_sentiment FROM documents",
