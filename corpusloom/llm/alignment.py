@@ -34,9 +34,17 @@ from corpusloom.session import discard, materialize
 BLOCK = 4 << 20
 #: Groups with more pairs of tokens than this are counted by distinct ids first.
 WIDE = 4096
-#: Units per worker that are remembered, and the longest of them.
-REMEMBERED, LONG_UNIT = 250_000, 100
+#: Units per generation that a worker remembers (it keeps two), and the longest of them.
+REMEMBERED, LONG_UNIT = 150_000, 100
+#: Units that are tokenized in one call.
+TOGETHER = 1000
+#: Characters of texts that are cut into units at a time.
+AT_ONCE = 1 << 18
 _CUT = re.compile(r" (?<=\S )(?=\S)")
+# Fixed value: how byte-level vocabularies of this kind cut a text into words.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Signs beyond Latin, about whose classes two libraries may differ.
+_UNCOMMON = re.compile("[^\\x00-\u024f]")
 
 
 class Pair:
@@ -45,6 +53,7 @@ class Pair:
     def __init__(self, first: str, second: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_str(first)
@@ -57,6 +66,10 @@ class Pair:
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for token, number in vocabulary.items():
             self.bytes_a[number] = bytes([letters[c] for c in token]) if all(c in letters for c in token) else token.encode()
+        # the same merges, found faster; used where both agree on what a letter is
+        special = {t["id"] for t in json.loads(first)["added_tokens"]}
+        ranks = {raw: number for number, raw in enumerate(self.bytes_a) if raw and number not in special}
+        self.quick = tiktoken.Encoding("first", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         if any("▁" in p.lstrip("▁") for p in pieces):
             raise ValueError("a piece has a space after another sign: texts can't be cut at spaces")
@@ -66,36 +79,80 @@ class Pair:
         self.size_a, self.size_b = (np.array([len(x) for x in table]) for table in (self.bytes_a, self.bytes_b))
         self.names = [f"{i}{end}" for n, ends in ((len(self.bytes_a), ",|"), (len(pieces), ",;")) for i in range(n) for end in ends]
         self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.older = self.known
 
     def learn(self, units: set[str]) -> None:
         """Tokenize units that are not remembered. None: the bytes of one side are not the unit's."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        if len(self.known) > REMEMBERED:  # what is used again moves to the new generation, the rest goes with the old
+            self.older, self.known = self.known, {}
         units = [u for u in units if u not in self.known]
-        if not units:
-            return
-        a = self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)
-        b = self.b.encode(units, num_threads=1)
+        self.known.update((u, self.older[u]) for u in units if u in self.older)
+        units = [u for u in units if u not in self.known]
+        # many units in one call, joined as a text has them; those with white space at an end could merge there
+        joined = [u for u in units if not (u[0].isspace() or u[-1].isspace())]
+        joined.sort(key=lambda u: _UNCOMMON.search(u) is not None)  # few calls with signs that need the slower way
+        for i in range(0, len(joined), TOGETHER):
+            part = joined[i : i + TOGETHER]
+            raw = [(" " + u).encode() for u in part]
+            found = [
+                self._divided(ids, table, sizes, raw)
+                for ids, table, sizes in (
+                    (self._encode_joined("".join([" " + u for u in part])), self.bytes_a, self.size_a),
+                    (self.b.encode(" ".join(part)), self.bytes_b, self.size_b),
+                )
+            ]
+            if None not in found:
+                self.known.update(zip(part, zip(*found, strict=True), strict=True))
+        rest = [u for u in units if u not in self.known]
         get_a, get_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
-        for unit, x, y in zip(units, a, b, strict=True):
-            x, raw = x.ids, (" " + unit).encode()
+        for unit, x, y in zip(rest, self._encode_a([" " + u for u in rest]), self.b.encode(rest, num_threads=1), strict=True):
+            raw = (" " + unit).encode()
             same = b"".join(map(get_a, x)) == raw and b"".join(map(get_b, y)) == raw
             self.known[unit] = (np.array(x, np.int32).tobytes(), np.array(y, np.int32).tobytes()) if same else None
 
+    def _encode_a(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+    def _encode_joined(self, text: str) -> list[int]:
+        return self._encode_a([text])[0] if _UNCOMMON.search(text) else self.quick.encode_ordinary(text)
+
+    def _divided(self, ids: list[int], table: list[bytes], sizes: np.ndarray, raw: list[bytes]) -> list[bytes] | None:
+        """The tokens of each unit; None where some unit's bytes don't come back, or a token reaches over a cut."""
+        if b"".join(map(table.__getitem__, ids)) != b"".join(raw):
+            return None
+        found = np.array(ids, np.int32)
+        ends, cuts = np.cumsum(sizes[found]), np.cumsum([len(r) for r in raw])
+        last = np.searchsorted(ends, cuts)
+        if (ends[last] != cuts).any():
+            return None
+        edges = [0, *(last + 1).tolist()]
+        return [found[s:e].tobytes() for s, e in zip(edges, edges[1:], strict=False)]
+
     def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """The ids of each text (None: it has no tokens)."""
+        out, start = [], 0
+        while start < len(texts):  # some texts at a time: their units are small strings that take room
+            end, size = start, 0
+            while end < len(texts) and size < AT_ONCE:
+                size += len(texts[end])
+                end += 1
+            out += self._tokens(texts[start:end])
+            start = end
+        return out
+
+    def _tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         cut = [_CUT.split(t) if t else [] for t in texts]
         self.learn({u for units in cut for u in units})
         out = []
         for units in cut:
-            found = [self.known[u] for u in units]
+            found = list(map(self.known.__getitem__, units))
             if not found or None in found:
                 out.append(None)
             else:
-                out.append(tuple(np.frombuffer(b"".join([f[i] for f in found]), np.int32) for i in (0, 1)))
-        if len(self.known) > 1000:
-            for u in [u for units in cut for u in units if len(u) > LONG_UNIT]:
-                self.known.pop(u, None)
+                a, b = zip(*found, strict=True)
+                out.append((np.frombuffer(b"".join(a), np.int32), np.frombuffer(b"".join(b), np.int32)))
+        for u in {u for units in cut for u in units if len(u) > LONG_UNIT}:
+            self.known.pop(u, None)
         return out
 
 

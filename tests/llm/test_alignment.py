@@ -112,6 +112,15 @@ def test_forgetting_changes_nothing(files, monkeypatch):
     assert [t and tuple(map(bytes, t)) for t in pair.tokens(texts) if True] == before
 
 
+def test_both_ways_of_the_first_vocabulary_agree(files):
+    """The quicker one is used for Latin signs alone: every sign of these, in four surroundings."""
+    pair = alignment.Pair(*files)
+    for c in map(chr, range(0x250)):
+        for text in (f" {c}", f" a{c}", f" {c}1", f" x{c}{c}y'{c} {c}"):
+            assert pair.quick.encode_ordinary(text) == pair._encode_a([text])[0], repr(text)
+    assert alignment._UNCOMMON.search("\u0250") and not alignment._UNCOMMON.search("\u024f\x00 az")
+
+
 def test_gallop():
     rng = random.Random(4)
     for _ in range(200):
