@@ -23,7 +23,7 @@ from corpusloom.schemas import BINARY_LABELS
 from corpusloom.sources.documents import page_title
 from corpusloom.session import materialize, scratch_path
 from corpusloom.sinks import writers
-from corpusloom.streaming import intake
+from corpusloom.streaming import arrivals, intake
 
 # --- scoring and learning -----------------------------------------------------------------------------
 
@@ -557,6 +557,28 @@ def _(spark, sf):
     return spark.read.schema(pages.schema).parquet(out).select("source", normalize_title("title").alias("title_key"))
 
 
+@query(
+    "L1_first_arrivals",
+    "WITH " + I.NEWS + " SELECT page_id, CASE WHEN page_id IN (SELECT page_id FROM pass2) THEN 'first' ELSE 'repeat' END AS verdict FROM art",
+)
+def _(spark, sf):
+    """Pages arrive in the order of their ids: the first by URL and title, and the rest as a side output."""
+    own = spark.newSession()  # with a state store and state partitions of its own
+    arrivals.use_rocksdb(own)
+    own.conf.set("spark.sql.shuffle.partitions", "2")
+    landed, out = scratch_path(spark, "arrivals-in"), scratch_path(spark, "arrivals-out")
+    day = F.lit(I.AS_OF).cast("timestamp")
+    pages = I.news_pages(spark, sf).select("page_id", "source", "url", page_title("html").alias("title"), day.alias("publish_ts"))
+    pages = pages.withColumn("arrived", day + F.make_dt_interval(secs=F.col("page_id") / 10_000))
+    pages.write.parquet(landed)
+    stream = own.readStream.schema(pages.schema).parquet(landed)
+    found = arrivals.stream_first_articles(stream, arrived="arrived")
+    arrivals.write_verdicts(found, out, scratch_path(spark, "arrivals-checkpoint")).awaitTermination()
+    return union_sources(
+        [arrivals.read_verdicts(spark, out, pages.schema, v).select("page_id", F.lit(v).alias("verdict")) for v in ("first", "repeat")]
+    )
+
+
 @query(
     "L1_stream_urls",
     "WITH " + I.NEWS + " SELECT source, url_key, count(DISTINCT url_key) AS n FROM art GROUP BY source, url_key",
