@@ -565,7 +565,7 @@ def _(spark, sf):
     """Pages arrive in the order of their ids: the first by URL and title, and the rest as a side output."""
     own = spark.newSession()  # with a state store and state partitions of its own
     arrivals.use_rocksdb(own)
-    own.conf.set("spark.sql.shuffle.partitions", "2")
+    own.conf.set("spark.sql.shuffle.partitions", str(max(2, spark.sparkContext.defaultParallelism)))  # a task per core
     landed, out = scratch_path(spark, "arrivals-in"), scratch_path(spark, "arrivals-out")
     day = F.lit(I.AS_OF).cast("timestamp")
     pages = I.news_pages(spark, sf).select("page_id", "source", "url", page_title("html").alias("title"), day.alias("publish_ts"))

@@ -55,3 +55,16 @@ def test_state_expires(own, tmp_path):
     assert run(own, tmp_path, ttl_days=1e-8) == {1: "first", 2: "repeat"}
     land(own, str(tmp_path / "in"), [(3, "s", "http://a/1", "One", day, 5)])
     assert run(own, tmp_path, ttl_days=1e-8)[3] == "first"
+
+
+def test_many_keys_of_a_batch(own, tmp_path):
+    """Thousands of keys take calls of a bucket each, not of a key, and ids of 64 bits stay exact beside a null one."""
+    import time
+
+    big, n = 2**60 + 1, 4_000
+    rows = [(big + i, "s", f"http://a/{i // 2}", f"t{i // 2}", "2024-06-20", i % 2) for i in range(n)]
+    land(own, str(tmp_path / "in"), [*rows, (None, "s", "http://b", "b", "2024-06-20", 3)])
+    started = time.monotonic()
+    found = run(own, tmp_path)
+    assert time.monotonic() - started < 60  # a call per key took some 100 s
+    assert found == {big + i: "repeat" if i % 2 else "first" for i in range(n)} | {None: "first"}
