@@ -7,12 +7,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WHITESPACE_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 WHITESPACE_CLASS = r"[\s\x1c-\x1f]"
+#: Characters of text whose tokens a Python worker holds at a time.
+PART_CHARS = 1 << 20
 TOKEN_PATTERN = r"(?U)[^\s\x1c-\x1f]++"  # possessive: a token never needs to give back
 
 
@@ -53,6 +56,14 @@ class WhitespaceTokenizer:
         return F.array_join(tokens, " ")
 
 
+def _parts(texts: pd.Series) -> Iterator[pd.Series]:
+    """The series in order, in pieces of about ``PART_CHARS`` characters, or one longer text."""
+    ends = np.cumsum([0 if t is None else len(t) for t in texts])
+    cuts = np.flatnonzero(np.diff(ends // PART_CHARS)) + 1
+    for start, end in zip([0, *cuts], [*cuts, len(texts)], strict=True):
+        yield texts.iloc[start:end]
+
+
 class FunctionTokenizer:
     """A user's ``text -> list of tokens`` function, run in Arrow batches.
 
@@ -68,7 +79,14 @@ class FunctionTokenizer:
         def _tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             fn = make()
             for texts in batches:
-                yield texts.map(lambda t: None if t is None else list(fn(t)))
+                for part in _parts(texts):  # tokens of a whole batch take many times its texts' memory
+                    yield part.map(lambda t: None if t is None else list(fn(t)))
+
+        @F.pandas_udf("int")
+        def _count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            fn = make()
+            for texts in batches:
+                yield pd.Series([None if t is None else len(list(fn(t))) for t in texts], dtype="Int32")
 
         @F.pandas_udf("int")
         def _fit(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -90,13 +108,13 @@ class FunctionTokenizer:
 
         # Marked non-deterministic only to keep the optimizer from folding this call into another Python call
         # on its result, a nesting it cannot plan.
-        self._tokens, self._fit = _tokens, _fit.asNondeterministic()
+        self._tokens, self._count, self._fit = _tokens, _count, _fit.asNondeterministic()
 
     def tokens(self, c: Column | str) -> Column:
         return self._tokens(col(c))
 
     def count(self, c: Column | str) -> Column:
-        return F.size(self.tokens(c))
+        return self._count(col(c))
 
     def fit(self, pieces: Column, limit: int) -> Column:
         """How many leading pieces hold at most ``limit`` tokens when put together."""

@@ -3,6 +3,7 @@
 import os
 import random
 
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -276,3 +277,16 @@ def test_length_stats_sample_deviation_and_median(spark):
     assert (row.total_samples, row.tokens_median, row.tokens_max, row.over_limit_count) == (4, 2.5, 600, 1)
     assert row.tokens_std == pytest.approx(299.0006, abs=1e-3) and row.over_limit_pct == 25.0
     assert E.length_stats(df, approximate=True).first().tokens_median in (2.0, 3.0)
+
+
+def test_tokens_of_a_batch_are_not_held_together(spark, monkeypatch):
+    texts = pd.Series(["ab " * 5, None, "", "x" * 40, "c d", "e"] * 3)
+    monkeypatch.setattr(K, "PART_CHARS", 16)
+    split = K.tokenizer_udf(str.split)
+    want = [None if t is None else t.split() for t in texts]
+    parts = list(split._tokens.func(iter([texts, texts[:0]])))
+    assert [t for p in parts for t in p] == want and len(parts) > 6
+    assert max(sum(len(t or "") for t in p) for p in K._parts(texts)) <= 40 + 16
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").coalesce(1)
+    got = df.select("i", split.tokens("t").alias("w"), split.count("t").alias("n")).orderBy("i").collect()
+    assert [r.w for r in got] == want and [r.n for r in got] == [None if w is None else len(w) for w in want]
