@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,11 +12,16 @@ from pyspark.sql import functions as F
 from corpusloom.schemas import CORPUS_FOLDERS, POS_FOLDERS
 from corpusloom.sources.files import available, read_word_tsv
 
+_TAGS = "_path string, source string, pos_folder string, split string, source_rank int, pos_rank int"
 
-def rank_of(value, names: Sequence[str]):
-    """Position of the value in ``names`` (0-based); null when it is not there."""
-    position = F.array_position(F.array(*[F.lit(n) for n in names]), value)
-    return F.when(position > 0, (position - 1).cast("int"))
+
+def _tags(path: str, folders: Sequence[str], pos: Sequence[str]) -> tuple:
+    """What the path of a file says about its rows."""
+    names = "|".join(map(re.escape, pos))
+    found = re.search(r"([^/]+)(?:/(" + names + r"))?/(train|test)\.tsv(?:/[^/]+)?$", path)
+    source, pos_folder, split = found.groups() if found else ("", None, "")
+    rank = folders.index(source) if source in folders else None
+    return source, pos_folder, split, rank, pos.index(pos_folder) if pos_folder in pos else -1
 
 
 def scan_corpus(
@@ -34,20 +41,6 @@ def scan_corpus(
     if not found:
         raise ValueError(f"no corpus files under {root}")
     words = read_word_tsv(spark, list(found.values())).withColumn("_path", F.input_file_name())
-    path = F.url_decode("_path")
-    part = F.regexp_extract(path, r"([^/]+)(?:/(" + "|".join(pos) + r"))?/(train|test)\.tsv(?:/[^/]+)?$", 0)
-    pieces = F.split(F.regexp_replace(part, r"\.tsv(/[^/]+)?$", ""), "/")
-    n = F.size(pieces)
-    tagged = words.withColumns(
-        {
-            "source": pieces[0],
-            "pos_folder": F.when(n == 3, F.get(pieces, F.lit(1))),
-            "split": F.element_at(pieces, -1),
-        }
-    )
-    return tagged.drop("_path").withColumns(
-        {
-            "source_rank": rank_of(F.col("source"), list(folders)),
-            "pos_rank": F.coalesce(rank_of(F.col("pos_folder"), list(pos)), F.lit(-1)),
-        }
-    )
+    tags = spark.createDataFrame([(p, *_tags(unquote(p), folders, pos)) for p in words.inputFiles()], _TAGS)
+    # looked up by the whole path: taking it apart again for every row would cost more than reading the row
+    return words.join(F.broadcast(tags), "_path", "left").drop("_path")

@@ -366,3 +366,18 @@ def test_the_first_arrival_stays(spark, tmp_path):
     intake.stream_annotations(stream, sink, cp).awaitTermination()
     got = {r.row_id: r.text for r in writers.read_annotations(spark, sink).collect()}
     assert got == {1: "zulu", 10: "zulu", 11: "alpha", 12: "mike"}
+
+
+def test_corpus_tags_are_looked_up_by_file(spark, tmp_path):
+    from corpusloom.sources.corpus import scan_corpus
+
+    header = "index\tlabel\tsentence\tpos\tw_index\ttarget\tword_sense\tdefinition\n"
+    for folder in ("a+b", "c d%2F_pos/adj", "c d%2F_pos"):
+        (tmp_path / "x.tsv" / folder / "train.tsv").mkdir(parents=True)
+        for part in ("p1.csv", "p2.csv"):
+            (tmp_path / "x.tsv" / folder / "train.tsv" / part).write_text(header + f"{folder}\t1\ts t\tx\t0\ts\t\t\n")
+    words = scan_corpus(spark, str(tmp_path / "x.tsv"), ("c d%2F_pos", "a+b", "none"), ("adj",))
+    got = sorted(tuple(r) for r in words.select("index", "source", "pos_folder", "split", "source_rank", "pos_rank").collect())
+    one = [("a+b", "a+b", None, "train", 1, -1), ("c d%2F_pos", "c d%2F_pos", None, "train", 0, -1), ("c d%2F_pos/adj", "c d%2F_pos", "adj", "train", 0, 0)]
+    assert got == sorted(one * 2, key=str)
+    assert "regexp" not in words._jdf.queryExecution().toString()
