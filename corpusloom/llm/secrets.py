@@ -1,15 +1,15 @@
 """Secret scanning: patterns propose candidates, a random forest removes the false ones.
 
 A forest is trained on labelled findings. Its features are a candidate's length, its character transitions, how much of
-it words cover that also stand close to it (in place of a dictionary), what kind of place it stands in and which words
-stand before it.
+it words of a dictionary cover, what kind of place it stands in and which words stand before it. The dictionary is counted
+over the whole corpus.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +24,10 @@ from corpusloom.session import materialize
 
 #: Findings that the forest is trained on at most: those with the least hashes.
 TRAIN_ROWS = 20_000
+#: Words of the dictionary at most: those in most documents. It goes to every worker, some 0.3 MB.
+DICTIONARY_WORDS = 20_000
+#: Documents that a word of the dictionary is in, at least.
+DICTIONARY_LEAST = 2
 #: What introduces a secret, and what introduces strings that only look like one.
 SECRET_NAMES = ("api_key", "apikey", "auth", "credential", "passwd", "password", "pwd", "secret", "token")
 OTHER_NAMES = ("checksum", "commit", "digest", "etag", "guid", "hash", "id", "isbn", "md5", "ref", "sha", "sha1", "sha256", "uuid")
@@ -45,7 +49,8 @@ _VALUE = re.compile(r"[^\s\"',;]{8,}")
 #: The least length of a candidate without a well-known form.
 LEAST = 12
 _NAME = re.compile(r"([A-Za-z0-9_]+)[\s\"']*[:=][\s\"']*$")
-_WORD = re.compile(r"[a-z]{3,}")
+#: Words inside a candidate, cut where the case changes as in ``getUserName``.
+_PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 FEATURES = (
     "length", "digits", "upper", "hex", "entropy", "changes", "rare_pairs", "covered", "known_form", "named_secret",
     "named_other", "assigned", "quoted", "in_url", "in_path", "is_email", "near_secret", "near_other",
@@ -100,8 +105,46 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def measure(text: str, start: int, end: int, kind: str) -> list[float]:
-    """The features of a candidate, in the order of ``FEATURES``."""
+def dictionary(df: DataFrame, text: str, size: int = DICTIONARY_WORDS, least: int = DICTIONARY_LEAST) -> frozenset[str]:
+    """The ``size`` words of 3 to 20 letters that most documents have, and ``least`` of them at least.
+
+    Every text is counted, before the shuffle and after it. How many words have a count tells the count to cut at, so that
+    no task sends words that do not reach it. A word stands by itself: parts of longer runs of key-like signs are
+    none, so that no key adds its own pieces.
+    """
+    runs = F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"[\p{L}\p{N}_+/=-]++"), F.lit(0))
+    words = df.select(F.explode(F.array_distinct(runs)).alias("w")).where(F.col("w").rlike("^[a-z]{3,20}$"))
+    counts = words.groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    counts = materialize(counts, "words")
+    cut, above = least, 0
+    for n, times in counts.groupBy("n").agg(F.count("*")).orderBy(F.desc("n")).limit(size).collect():
+        cut = n
+        if above + times >= size:
+            break
+        above += times
+    most = counts.where(F.col("n") >= cut).orderBy(F.desc("n"), "w").limit(size)
+    return frozenset(r.w for r in most.select("w").collect())
+
+
+def coverage(s: str, words: Collection[str]) -> int:
+    """How many characters of ``s`` words of the dictionary cover: whole pieces, or else, inside a piece that words run
+    together in, the longest words of four letters or more from its left."""
+    covered = 0
+    for piece in _PIECE.findall(s):
+        piece = piece.lower()
+        if len(piece) >= 3 and piece in words:
+            covered += len(piece)
+            continue
+        at = 0
+        while at <= len(piece) - 4:
+            n = next((n for n in range(min(20, len(piece) - at), 3, -1) if piece[at : at + n] in words), 0)
+            covered += n
+            at += n or 1
+    return covered
+
+
+def measure(text: str, start: int, end: int, kind: str, words: Collection[str]) -> list[float]:
+    """The features of a candidate, in the order of ``FEATURES``; ``words`` is the dictionary."""
     s = text[start:end]
     n = len(s)
     classes = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "o" for c in s]
@@ -110,25 +153,23 @@ def measure(text: str, start: int, end: int, kind: str) -> list[float]:
     around = text[max(0, start - 80) : start].lower()
     near = set(re.findall(r"[a-z0-9_]+", around)[-6:])
     lower = s.lower()
-    # letters of the candidate that are in words the text also has elsewhere
-    words = set(_WORD.findall(around)) | set(_WORD.findall(text[end : end + 80].lower()))
-    covered = sum(len(w) for w in _WORD.findall(lower) if w in words)
     vowels = set("aeiou")
     rare = sum(a.isalpha() and b.isalpha() and a not in vowels and b not in vowels for a, b in zip(lower, lower[1:], strict=False))
     before = text[start - 1] if start else ""
     return [
         n, classes.count("d") / n, classes.count("u") / n, sum(c in "0123456789abcdefABCDEF" for c in s) / n,
         -sum(p * np.log2(p) for p in shares), sum(a != b for a, b in zip(classes, classes[1:], strict=False)) / n,
-        rare / n, covered / n, kind in FORMS, any(w in name for w in SECRET_NAMES), name in OTHER_NAMES,
+        rare / n, coverage(s, words) / n, kind in FORMS, any(w in name for w in SECRET_NAMES), name in OTHER_NAMES,
         bool(name), before in ("'", '"'), "://" in text[max(0, start - 80) : end].rsplit(" ", 1)[-1],
         before == "/" or "/" in s, text[end : end + 1] == "@" or before == "@", any(w in SECRET_NAMES for w in near),
         any(w in OTHER_NAMES for w in near),
     ]
 
 
-def findings(df: DataFrame, key: str, text: str) -> DataFrame:
+def findings(df: DataFrame, key: str, text: str, words: Collection[str] | None = None) -> DataFrame:
     """All candidates of every whole text: ``id``, ``tag`` (the document), ``s``, ``e`` (characters), ``kind``,
-    ``name`` and the features. Null and empty texts have none."""
+    ``name`` and the features. Null and empty texts have none. ``words`` is by default the texts' own dictionary."""
+    words = dictionary(df, text) if words is None else frozenset(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,7 +177,7 @@ def findings(df: DataFrame, key: str, text: str) -> DataFrame:
             for i, tag, body in zip(*(batch.column(j).to_pylist() for j in range(3)), strict=True):
                 for start, end, kind in candidates(body or ""):
                     row = [i, tag, start, end, kind, name_before(body, start)]
-                    row += map(float, measure(body, start, end, kind))
+                    row += map(float, measure(body, start, end, kind, words))
                     for column, x in zip(rows, row, strict=True):
                         column.append(x)
             kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()] * len(FEATURES)
@@ -166,14 +207,22 @@ def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> RandomForestClassi
     return forest.fit(rows.coalesce(2))
 
 
-def scan(df: DataFrame, key: str, text: str, labelled: DataFrame | None = None, train_rows: int = TRAIN_ROWS) -> DataFrame:
+def scan(
+    df: DataFrame,
+    key: str,
+    text: str,
+    labelled: DataFrame | None = None,
+    train_rows: int = TRAIN_ROWS,
+    words: Collection[str] | None = None,
+) -> DataFrame:
     """Every candidate of every document: ``id``, ``tag``, ``s``, ``e``, ``kind``, ``name``, ``score`` and ``secret``.
 
     ``labelled`` are findings with a ``label``; by default those of the same documents that ``by_rule`` labels. Where
     labels are all the same or missing, the rule decides, and what it leaves open is no secret. Rows with the same key
-    and text have the same findings.
+    and text have the same findings. ``words`` is the dictionary, the one that labelled findings were measured with; by
+    default it is counted over these documents.
     """
-    found = materialize(findings(df, key, text), "findings")
+    found = materialize(findings(df, key, text, words), "findings")
     model = fit(found.withColumn("label", by_rule()) if labelled is None else labelled, train_rows)
     out = ("id", "tag", "s", "e", "kind", "name")
     if model is None:

@@ -154,3 +154,19 @@ def test_candidates_are_disjoint():
     assert all(a[1] <= b[0] for a, b in zip(found, found[1:], strict=False))
     long = "a1" * 40_000
     assert secrets.candidates(long) == [(0, 80_000, "generic")]
+
+
+def test_coverage_is_of_a_corpus_dictionary(spark):
+    texts = ["The order of a total amount, paid; für Geld", "total ORDER amount x9orderly-key42", "Order amount\ntotal", None, "", "alone"]
+    words = secrets.dictionary(rows.frame(spark, list(enumerate(texts))), "text")
+    assert words == {"order", "total", "amount"}
+    assert secrets.dictionary(rows.frame(spark, [(None, "b a cde cde fgh"), (None, "fgh cde")]), "text", size=1) == {"cde"}
+    assert secrets.coverage("OrderTotalAmount42", words) == 16 and secrets.coverage("xtotalorderq_AMOUNTPaid", words) == 16
+    assert secrets.coverage("k3xq9zzt0rde", words) == 0
+    covered = secrets.FEATURES.index("covered")
+    text = "nothing near: OrderTotalAmount42 ends"  # none of its words stands close to it
+    (start, end, kind) = secrets.candidates(text)[0]
+    assert secrets.measure(text, start, end, kind, words)[covered] == 16 / 18
+    data = [(i, t) for i, t in enumerate([*texts, text])]
+    found = {r.s: r.covered for r in secrets.findings(rows.frame(spark, data), "doc_id", "text").where("id = 6").collect()}
+    assert found == {start: 16 / 18}
