@@ -64,6 +64,21 @@ def test_bytes(spark, monkeypatch, group):
     same(got, brute_bytes(data, 40))
 
 
+def test_frequent_anchors_in_unlike_places_make_no_row_per_window(spark, monkeypatch):
+    """Classes that share an anchor but no window are told apart by what the ranges of their windows hold."""
+    rng = random.Random(6)
+    fresh = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    often, pair = fresh(24), fresh(60)
+    data = [(i, fresh(50) + often + fresh(50)) for i in range(40)] + [(100, fresh(9) + pair), (101, pair + fresh(9))]
+    data += [(102, fresh(50) + often + "xyz" * 5 + fresh(50)), (103, fresh(50) + often + "xyz" * 5 + fresh(50))]
+    counted, hashes = [], suffixes.repeats.window_hashes
+    monkeypatch.setattr(suffixes, "GROUP", 5)
+    monkeypatch.setattr(suffixes.repeats, "window_hashes", lambda reps, *a: counted.append(reps.count()) or hashes(reps, *a))
+    got = collect(suffixes.remove_repeats(rows.frame(spark, data), "doc_id", "text", 40, 20), "n_bytes")
+    same(got, brute_bytes(data, 40))
+    assert counted == [0]
+
+
 def test_words(spark):
     data = rows.documents(2)
     got = collect(doubling.remove_repeats(rows.frame(spark, data), "doc_id", "text", 8), "n_words")
