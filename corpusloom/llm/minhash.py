@@ -255,6 +255,8 @@ def linked(df: DataFrame, key: str, text: str, size: int = 4, percent: int = 80)
     left = labelled.join(mixed, "bucket", "left_semi").select("bucket", "doc", "c", "n")
     more = _tiles(left, sets, percent)
     copies = same.where("doc <> node").select(F.col("doc").alias("u"), F.col("node").alias("v"))
-    every = components(links.union(more).union(copies)).withColumnRenamed("id", "doc")
+    # the links so far are passed on as their components: one step from each member to its smallest, so fewer rounds
+    so_far = grouped.select(F.col("doc").alias("u"), F.col("component").alias("v"))
+    every = components(so_far.union(more).union(copies)).withColumnRenamed("id", "doc")
     out = signed.select("id", "tag", "n", "doc").join(every, "doc", "left")
     return out.select("id", "tag", "n", F.coalesce("component", "doc").alias("head"))

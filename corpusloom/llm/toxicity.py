@@ -33,6 +33,8 @@ _LETTERS = 64
 KEYS = 2 * _LETTERS**3
 _EDGE = re.compile(r"^\W+|\W+$")
 REMEMBERED = 200_000
+#: Words whose subsequences meet the landmarks at a time: some 200 rows of landmarks each, on the driver.
+PRODUCTS = 20
 
 
 def _codes() -> np.ndarray:
@@ -130,13 +132,14 @@ class Model:
 def _landmark_products(words: list[str], rows: np.ndarray, table: np.ndarray) -> np.ndarray:
     """The kernel of each word with each landmark; ``rows`` finds a subsequence's row in ``table``."""
     out = np.zeros((len(words), table.shape[1]), np.float32)
-    for i in range(0, len(words), 100):
-        which, key, weight = subsequences(words[i : i + 100])
+    for i in range(0, len(words), PRODUCTS):
+        which, key, weight = subsequences(words[i : i + PRODUCTS])
         hit = rows[key] > 0
         which, key, weight = which[hit], key[hit], weight[hit]
         order = np.argsort(which, kind="stable")
         which = which[order]
-        values = table[rows[key[order]]] * weight[order, None].astype(np.float32)
+        values = table[rows[key[order]]]
+        values *= weight[order, None].astype(np.float32)
         starts = np.nonzero(np.concatenate([[True], which[1:] != which[:-1]]))[0] if len(which) else []
         if len(which):
             out[i + which[starts]] = np.add.reduceat(values, starts, axis=0)
@@ -161,8 +164,9 @@ def fit_words(words: list[str], toxic: np.ndarray, clean: np.ndarray, landmarks:
     good = values > 1e-5 * values.max()
     root = (vectors[:, good] / np.sqrt(values[good])).astype(np.float32)
     x = np.ones((len(words), root.shape[1] + 1), np.float32)
-    np.matmul(_landmark_products(words, rows, table), root, out=x[:, :-1])
     blocks = [slice(i, i + 2000) for i in range(0, len(words), 2000)]
+    for b in blocks:
+        np.matmul(_landmark_products(words[b], rows, table), root, out=x[b, :-1])
     # squared hinge loss, by Newton's method; a word is an example once per text it is in
     v, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], 1e-5 * n.sum())
     ridge[-1] = 1e-6 * n.sum()
@@ -223,11 +227,13 @@ def learn(
                 y += [label_] * len(own)
             yield pa.RecordBatch.from_arrays([pa.array(w, pa.string()), pa.array(y, pa.int32())], ["w", "y"])
 
-    counts = (
+    # written first: collected at once, every task would send its own most frequent words to the driver
+    counts = materialize(
         known.where("part > 0").select("t", "y").mapInArrow(words, "w string, y int").where("w <> ''")
         .groupBy("w").agg(F.sum("y").alias("toxic"), F.count("*").alias("n"))
-        .where("n > 1").orderBy(F.desc("n"), "w").limit(TRAIN_WORDS).collect()
-    )
+        .where("n > 1").orderBy(F.desc("n"), "w").limit(TRAIN_WORDS),
+        "frequent",
+    ).orderBy(F.desc("n"), "w").collect()
     toxic = np.array([r.toxic for r in counts], float)
     n = np.array([r.n for r in counts], float)
     share = known.agg(F.avg("y")).first()[0] or 0.0

@@ -170,3 +170,18 @@ def test_coverage_is_of_a_corpus_dictionary(spark):
     data = [(i, t) for i, t in enumerate([*texts, text])]
     found = {r.s: r.covered for r in secrets.findings(rows.frame(spark, data), "doc_id", "text").where("id = 6").collect()}
     assert found == {start: 16 / 18}
+
+
+def test_fit_holds_the_products_with_the_landmarks_once():
+    """The fit runs on the driver: beside its one matrix it needs little."""
+    import tracemalloc
+
+    rng = np.random.default_rng(8)
+    words = sorted({"".join(rng.choice(list("abcdefghijklmnop"), rng.integers(5, 10))) for _ in range(12000)})
+    toxic = np.array(["aa" in w or "bc" in w for w in words], float)
+    tracemalloc.start()
+    weights, _ = toxicity.fit_words(words, toxic, 2 - toxic, 384)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.abs(weights).max() > 0
+    assert peak < 70e6
